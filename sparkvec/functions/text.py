@@ -48,17 +48,21 @@ def text_windows(
         return F.array(text)
     step = chunk_size - overlap
     span = math.ceil(chunk_size / step)
-    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
     count = window_count(F.length(text), chunk_size, overlap, emit_tail)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
 
-    def window(k: Column) -> Column:
-        return F.substring(
-            F.array_join(F.slice(blocks, k + F.lit(1), F.lit(span)), ""), 1, chunk_size
+    def join_blocks(cut: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), count - F.lit(1)),
+            lambda k: F.substring(
+                F.array_join(F.slice(cut, k + F.lit(1), F.lit(span)), ""), 1, chunk_size
+            ),
         )
 
-    return F.when(F.length(text) <= chunk_size, F.array(text)).otherwise(
-        F.transform(F.sequence(F.lit(0), count - F.lit(1)), window)
-    )
+    # The one-element array binds the cut blocks to a name, so that they are
+    # computed once per text and not once per window.
+    windows = F.element_at(F.transform(F.array(blocks), join_blocks), 1)
+    return F.when(F.length(text) <= chunk_size, F.array(text)).otherwise(windows)
 
 
 def sanitize_text(text: Column) -> Column:
