@@ -7,12 +7,12 @@ worker, so an expensive model is loaded once and not once per batch or task.
 """
 
 import hashlib
-import pickle
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +22,16 @@ from sparkvec.operators.checks import check_dimensions, check_query_text
 BATCH_SIZE = 32
 EncoderFactory = Callable[[], Any]
 
-_built: dict[bytes, Any] = {}
+_built: dict[str, Any] = {}
 
 
-def build_once(factory: Callable[[], Any]) -> Any:
-    """The factory's product, kept for the life of this Python worker."""
-    key = pickle.dumps(factory)
+def factory_key(factory: Callable[[], Any]) -> str:
+    """Identity of a factory, computed on the driver and shipped with the UDF."""
+    return hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
+
+
+def build_once(key: str, factory: Callable[[], Any]) -> Any:
+    """The factory's product, kept for the life of this Python process."""
     if key not in _built:
         _built[key] = factory()
     return _built[key]
@@ -93,9 +97,11 @@ def encode_text(
     sanitizing runs in the JVM, and only that one column goes to Python.
     """
 
+    key = factory_key(encoder_factory)
+
     @F.arrow_udf("array<float>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = build_once(encoder_factory)
+        encoder = build_once(key, encoder_factory)
         for batch in batches:
             if len(batch) == 0:
                 yield pa.array([], pa.list_(pa.float32()))
@@ -121,7 +127,8 @@ def encode_query(text: str, encoder_factory: EncoderFactory) -> list[float]:
     check_query_text(text)
     clean = " ".join(text.replace("\x00", "").split())
     check_query_text(clean)
-    vector = np.asarray(build_once(encoder_factory).encode([clean], 1), dtype=np.float32)[0]
+    encoder = build_once(factory_key(encoder_factory), encoder_factory)
+    vector = np.asarray(encoder.encode([clean], 1), dtype=np.float32)[0]
     return vector.astype(np.float64).tolist()
 
 
