@@ -19,7 +19,7 @@ from sparkvec.functions.vectors import as_matrix, check_metric, l2_normalize
 from sparkvec.operators.checks import check_probes
 from sparkvec.operators.knn import BROADCAST_BYTES, batch_topk
 
-MAX_CENTROID_BYTES = 256 << 20
+MAX_CENTROID_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)

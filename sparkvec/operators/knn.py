@@ -20,6 +20,7 @@ from sparkvec.operators.checks import check_top_k
 from sparkvec.session import ensure_checkpoint_dir
 
 BROADCAST_BYTES = 64 << 20
+WINNER_BYTES = 64  # one (query, rank, id, distance) row in a broadcast relation
 PRODUCT_CELLS = 1 << 23  # doubles in one (queries x rows) product, 64 MB
 
 _PARTIAL = "_q long, id long, distance double"
@@ -153,11 +154,16 @@ def batch_topk(
     vector_col: str = "embedding",
     qid_col: str = "qid",
     query_vector_col: str = "embedding",
+    keep: tuple[str, ...] = (),
     probes: dict | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``top_k`` nearest store rows of every query: ``qid, rn, id, distance``.
 
+    ``keep`` names further store columns to add. The search itself moves ids and
+    distances only; the columns are fetched afterwards for the rows that won, by
+    a broadcast of the winners where their number is within the bound.
+
     Ids are integers. Rank is by distance (last-bit noise removed), then id;
     undefined distances rank last and are NULL. ``exclude_same_id`` leaves out
     the row whose id equals the query's. ``probes`` restricts each query to
@@ -180,7 +186,13 @@ def batch_topk(
         merged = _blocked_topk(
             spark, rows, asked, top_k, metric, exclude_same_id, probes, broadcast_bytes
         )
-    return merged.select(F.col("_q").alias(qid_col), "rn", "id", "distance")
+    found = merged.select(F.col("_q").alias(qid_col), "rn", "id", "distance")
+    if not keep:
+        return found
+    if table is not None and table.num_rows * top_k * WINNER_BYTES <= broadcast_bytes:
+        found = F.broadcast(found)
+    fetched = store.select(F.col(id_col).cast("long").alias("id"), *keep)
+    return fetched.join(found, "id").select(qid_col, "rn", "id", *keep, "distance")
 
 
 def _offer_batch(running: RunningTopK, batch, own_ids, probe_lists) -> None:

@@ -51,20 +51,20 @@ def retrieve_context(
     question_col: str = "question",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``qid, rn, id, document_text, metadata, distance`` for every question that is not blank.
-
-    The search moves only ids and distances; texts are fetched afterwards for
-    the rows that won.
-    """
+    """``qid, rn, id, document_text, metadata, distance`` for every question that is not blank."""
     check_top_k(top_k)
     df, metric = resolve_store(store, metric)
     asked = questions.filter(~tx.is_blank(F.col(question_col))).select(
         F.col(qid_col).cast("long").alias("qid"),
         encode_text(F.col(question_col), encoder_factory).alias("embedding"),
     )
-    found = batch_topk(df, asked, top_k=top_k, metric=metric, broadcast_bytes=broadcast_bytes)
-    return found.join(df.select("id", "document_text", "metadata"), "id").select(
-        "qid", "rn", "id", "document_text", "metadata", "distance"
+    return batch_topk(
+        df,
+        asked,
+        top_k=top_k,
+        metric=metric,
+        keep=("document_text", "metadata"),
+        broadcast_bytes=broadcast_bytes,
     )
 
 
@@ -89,9 +89,7 @@ def build_context(retrieved: DataFrame, *, cut: int | None = CONTEXT_LENGTH) ->
         ).alias("hit"),
     )
     grouped = rows.groupBy("qid").agg(
-        F.array_sort(
-            F.collect_list("hit"), lambda a, b: (a["rn"] - b["rn"]).cast("int")
-        ).alias("hits")
+        F.array_sort(F.collect_list("hit")).alias("hits")  # rn comes first and is unique
     )
     return grouped.select(
         "qid",

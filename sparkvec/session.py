@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,7 +25,7 @@ def local_session(cores: str | int = 8, app: str = "sparkvec", **conf: str) -> S
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return ship_package(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,3 +50,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping a folder the cluster already set."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in Python workers, wherever they run.
+
+    Spark copies the archive to every executor. Needed once per application
+    unless the package is installed there.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="sparkvec-zip-"), "sparkvec_package")
+        archive = shutil.make_archive(target, "zip", os.path.dirname(here), "sparkvec")
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+    return spark

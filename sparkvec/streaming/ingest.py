@@ -25,9 +25,13 @@ def document_stream(
     *,
     schema: str = DOCUMENT_SCHEMA,
     source_format: str = "parquet",
+    files: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
+    """New document files of a folder; ``files`` is a glob on their names."""
     reader = spark.readStream.schema(schema).format(source_format)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path).select("doc_id", "text")
