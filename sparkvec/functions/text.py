@@ -13,6 +13,7 @@ EMPTY_TEXT = "[EMPTY]"
 # Unicode-aware whitespace, the same class that Python's str.split() uses for
 # ordinary text. Java's plain \s is ASCII only.
 SPACES = r"(?U)[\s\x1c-\x1f]+"
+NOT_SPACE = r"(?U)[^\s\x1c-\x1f]"
 
 
 def check_window(chunk_size: int, overlap: int) -> None:
@@ -72,14 +73,15 @@ def sanitize_text(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    """Null or nothing but whitespace."""
-    return F.coalesce(F.trim(F.regexp_replace(text, SPACES, " ")) == "", F.lit(True))
+    """Null or nothing but whitespace. Stops at the first other character."""
+    return F.coalesce(~text.rlike(NOT_SPACE), F.lit(True))
 
 
 def encoder_input(text: Column) -> Column:
     """Sanitized text, or the placeholder where nothing is left."""
-    clean = sanitize_text(text)
-    return F.when(F.coalesce(clean, F.lit("")) == "", F.lit(EMPTY_TEXT)).otherwise(clean)
+    clean = F.coalesce(sanitize_text(text), F.lit(""))
+    # One expression, as a CASE over the cleaned text would clean it twice.
+    return F.regexp_replace(clean, r"\A\z", F.lit(EMPTY_TEXT))
 
 
 def preview(text: Column, length: int, ellipsis: str = "") -> Column:

@@ -146,4 +146,6 @@ def distance_to(vector: Column, query: list[float], metric: str = "cosine") -> C
         values = distance_matrix(target, rows, valid, name)[0]
         return pa.array(values, mask=np.isinf(values))
 
-    return kernel(vector)
+    # Declared nondeterministic only so that a filter on the distance is not
+    # pushed below its projection, which would compute it twice.
+    return kernel.asNondeterministic()(vector)

@@ -58,7 +58,7 @@ def fit_cells(
     metric: str = "cosine",
     vector_col: str = "embedding",
     train_fraction: float = 1.0,
-    max_iter: int = 20,
+    max_iter: int = 10,
     seed: int = 42,
 ) -> CellIndex:
     """Fit cell centres with k-means, optionally on a share of the rows.

@@ -37,37 +37,42 @@ def build_once(key: str, factory: Callable[[], Any]) -> Any:
     return _built[key]
 
 
+class _Slots(dict):
+    """word -> 2 * bucket + (1 if its sign is negative), filled in on demand."""
+
+    LIMIT = 1 << 19
+
+    def __init__(self, dimension: int):
+        super().__init__()
+        self.dimension = dimension
+
+    def __missing__(self, word: str) -> int:
+        digest = hashlib.md5(word.encode("utf-8", "surrogatepass")).digest()
+        slot = 2 * (int.from_bytes(digest[:4], "big") % self.dimension) + (digest[4] >= 0x80)
+        if len(self) >= self.LIMIT:
+            self.clear()
+        self[word] = slot
+        return slot
+
+
 class HashEncoder:
     """Offline stand-in for a model: signed hashing of words into a unit vector.
 
-    Word -> md5; the first 8 hex digits modulo ``dimension`` choose the bucket,
-    the ninth digit the sign. Deterministic, so jobs can be tested without a
-    model; :func:`hash_weights` is the same definition in SQL.
+    Word -> md5; its first four bytes modulo ``dimension`` choose the bucket,
+    the top bit of the fifth the sign. Deterministic, so jobs can be tested
+    without a model; :func:`hash_weights` is the same definition in SQL.
     """
 
-    CACHE_LIMIT = 1 << 18
-
     def __init__(self, dimension: int = 64):
         self.dimension = check_dimensions(dimension)
-        self._cache: dict[str, tuple[int, float]] = {}
-
-    def _slot(self, word: str) -> tuple[int, float]:
-        slot = self._cache.get(word)
-        if slot is None:
-            digest = hashlib.md5(word.encode("utf-8", "surrogatepass")).hexdigest()
-            slot = (int(digest[:8], 16) % self.dimension, 1.0 if digest[8] < "8" else -1.0)
-            if len(self._cache) >= self.CACHE_LIMIT:
-                self._cache.clear()
-            self._cache[word] = slot
-        return slot
+        self._slot_of = _Slots(dimension).__getitem__
 
     def encode(self, texts: list[str], batch_size: int = BATCH_SIZE) -> np.ndarray:
         out = np.zeros((len(texts), self.dimension))
         for row, text in enumerate(texts):
-            slots = [self._slot(word) for word in text.lower().split()]
-            if slots:
-                buckets, signs = zip(*slots)
-                out[row] = np.bincount(buckets, signs, self.dimension)
+            slots = np.fromiter(map(self._slot_of, text.lower().split()), dtype=np.int64)
+            counts = np.bincount(slots, minlength=2 * self.dimension)
+            out[row] = counts[0::2] - counts[1::2]
         norms = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, norms, out=out, where=norms > 0)
 
@@ -108,7 +113,9 @@ def encode_text(
                 continue
             yield _as_arrow(encoder.encode(batch.to_pylist(), batch_size), len(batch))
 
-    return encode(tx.encoder_input(text))
+    # Declared nondeterministic only so that Catalyst neither repeats the call
+    # nor moves it when a later filter or projection mentions the vector.
+    return encode.asNondeterministic()(tx.encoder_input(text))
 
 
 def encode_documents(

@@ -150,7 +150,8 @@ def generate_answers(
                 ["answer", "error"],
             )
 
-    return generate(prompt)
+    # Declared nondeterministic so that Catalyst never calls the generator twice.
+    return generate.asNondeterministic()(prompt)
 
 
 class ExtractiveGenerator:

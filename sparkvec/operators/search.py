@@ -163,7 +163,7 @@ def text_score(
     tokens = [t for t in query_tokens(query, min_token_length) if t not in stop_words]
     if not tokens:
         return df.withColumn(output, F.lit(0.0))
-    hits = F.filter(tx.words(F.col(text_col)), lambda w: w.isin(tokens))
+    hits = F.filter(F.split(F.lower(F.col(text_col)), tx.SPACES), lambda w: w.isin(tokens))
     rows = df.agg(F.count(F.lit(1)))
     frequency = (
         df.select(F.explode(F.array_distinct(hits)).alias("word"))
@@ -171,7 +171,7 @@ def text_score(
         .agg(F.count(F.lit(1)).alias("df"))
     )
     idf = F.log10(rows.scalar() / F.col("df"))
-    weights = frequency.select("word", (idf * idf).alias("weight")).agg(
+    weights = frequency.select("word", F.pow(idf, F.lit(2.0)).alias("weight")).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "weight")))
     )
     score = F.aggregate(

@@ -194,7 +194,8 @@ FROM embedded e JOIN dv v USING (id)""",
     "batch_search": f"""WITH {RETRIEVED}
 SELECT qid, rn, id, round(d, 6) AS distance FROM ranked WHERE rn <= 10""",
     "text_score": f"""WITH {TEXT_SCORE}
-SELECT id, round(match, 6) AS match FROM scores WHERE match > 0""",
+SELECT d.doc_id AS id, round(coalesce(s.match, 0), 6) AS match
+FROM documents d LEFT JOIN scores s ON s.id = d.doc_id""",
     "hybrid_search": f"""WITH {STORE}, {DOC_VECTORS}, {FIRST_VECTOR},
 {TEXT_SCORE.replace(FIRST + ",", "", 1)},
 ranked AS (

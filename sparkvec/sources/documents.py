@@ -42,3 +42,14 @@ def read_documents(
 def documents_from_list(spark: SparkSession, texts: list[str]) -> DataFrame:
     """A list the caller already holds, numbered from 0."""
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input of a few files over all cores, for work that is heavy per row.
+
+    A large input has more files than there are cores and is left as it is, so
+    this never shuffles it.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if 2 * len(df.inputFiles()) <= cores else df

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkvec.operators.encoding import HashEncoderFactory, encode_documents
+from sparkvec.sources.documents import spread
 
 DIMENSIONS = 64
 ENCODER = HashEncoderFactory(DIMENSIONS)
 
 
+# Tables with long texts or vectors, by their key.
+HEAVY = {"documents": "doc_id", "embeddings": "vec_id", "pages": "page_id"}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(df, HEAVY[table]) if table in HEAVY else df
 
 
 def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
