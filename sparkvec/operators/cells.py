@@ -20,6 +20,7 @@ from sparkvec.operators.checks import check_probes
 from sparkvec.operators.knn import BROADCAST_BYTES, batch_topk
 
 MAX_CENTROID_BYTES = 64 << 20
+TRAIN_ROWS_PER_CELL = 1000
 
 
 @dataclass(frozen=True)
@@ -57,14 +58,16 @@ def fit_cells(
     cells: int,
     metric: str = "cosine",
     vector_col: str = "embedding",
-    train_fraction: float = 1.0,
+    train_rows_per_cell: int | None = TRAIN_ROWS_PER_CELL,
     max_iter: int = 10,
     seed: int = 42,
 ) -> CellIndex:
-    """Fit cell centres with k-means, optionally on a share of the rows.
+    """Fit cell centres with k-means.
 
-    A share only makes the centres a little coarser: :func:`assign_cells`
-    places every row.
+    K-means keeps its training rows in memory, so a large store is fitted on a
+    random share of about ``train_rows_per_cell`` rows per cell (None: on all).
+    That only makes the centres a little coarser: :func:`assign_cells` places
+    every row.
     """
     check_metric(metric)
     if cells < 2:
@@ -73,8 +76,10 @@ def fit_cells(
     if metric == "cosine":
         vector = l2_normalize(vector)
     rows = store.filter(F.col(vector_col).isNotNull())
-    if train_fraction < 1.0:
-        rows = rows.sample(fraction=train_fraction, seed=seed)
+    if train_rows_per_cell is not None:
+        share = cells * train_rows_per_cell / max(1, store.count())
+        if share < 1.0:
+            rows = rows.sample(fraction=share, seed=seed)
     features = rows.select(array_to_vector(vector.cast("array<double>")).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(features)
     centroids = np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
@@ -96,17 +101,14 @@ def assign_cells(store: DataFrame, index: CellIndex, vector_col: str = "embeddin
     return store.withColumn("cell", cell(F.col(vector_col)))
 
 
-def write_cells(
-    store: DataFrame, index: CellIndex, path: str, *, files_per_cell: int = 1
-) -> None:
+def write_cells(store: DataFrame, index: CellIndex, path: str) -> None:
     """Write the store partitioned by cell, so that a search reads only probed folders.
 
-    Rows of a cell go to ``files_per_cell`` tasks by id hash; raise it for
-    large stores, so that a crowded cell is not written by one task.
+    Rows are rebalanced by cell: adaptive execution splits a crowded cell over
+    several tasks and files, and packs small ones together.
     """
-    placed = assign_cells(store, index)
-    part = F.pmod(F.xxhash64("id"), F.lit(files_per_cell))
-    placed.repartition("cell", part).write.partitionBy("cell").mode("errorifexists").parquet(path)
+    placed = assign_cells(store, index).hint("rebalance", "cell")
+    placed.write.partitionBy("cell").mode("errorifexists").parquet(path)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:

@@ -123,18 +123,22 @@ def _salts(spark: SparkSession, queries: int) -> int:
     return max(1, parallelism // max(1, queries))
 
 
-def _bounded_queries(queries: DataFrame, limit_bytes: int) -> pa.Table | None:
-    """The query set if it is within the bound, else None. Never fetches more than the bound."""
+def _bounded_queries(queries: DataFrame, limit_bytes: int) -> tuple[pa.Table | None, DataFrame]:
+    """The query set itself if it is within the bound, else None; and the set as a DataFrame.
+
+    More than a few queries are checkpointed before they are measured, so that
+    an encoder behind them runs once. What is fetched never exceeds the bound.
+    """
     few = 1024
     head = queries.limit(few + 1).toArrow()
-    width = max([8, *[8 * n for n in head["_v"].combine_chunks().value_lengths().to_pylist() if n]])
-    most = max(1, limit_bytes // width)
     if head.num_rows <= few:
-        return head if head.num_rows <= most else None
-    if most <= few:
-        return None
-    table = queries.limit(most + 1).toArrow()
-    return table if table.num_rows <= most else None
+        lengths = head["_v"].combine_chunks().value_lengths().to_pylist()
+        held = 8 * sum(n or 0 for n in lengths)
+        return (head if held <= limit_bytes else None), queries
+    ensure_checkpoint_dir(queries.sparkSession)
+    queries = queries.checkpoint()
+    held = 8 * queries.agg(F.sum(F.size("_v").cast("long"))).head()[0]
+    return (queries.toArrow() if held <= limit_bytes else None), queries
 
 
 def _query_matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +183,7 @@ def batch_topk(
     if probes is not None:
         columns.append(F.col("cell").cast("int").alias("cell"))
     rows = store.select(*columns)
-    table = _bounded_queries(asked, broadcast_bytes)
+    table, asked = _bounded_queries(asked, broadcast_bytes)
     if table is not None:
         merged = _broadcast_topk(spark, rows, table, top_k, metric, exclude_same_id, probes)
     else:
@@ -243,8 +247,6 @@ def _blocked_topk(
     sorted first and held, the rows are streamed past them. What is held is one
     block; a slice may have any length.
     """
-    ensure_checkpoint_dir(spark)
-    asked = asked.checkpoint()  # the encoder must not run once per slice
     sizes = asked.agg(F.count(F.lit(1)), F.max(F.size("_v"))).head()
     blocks = max(1, math.ceil(2 * sizes[0] * 8 * max(1, sizes[1] or 1) / block_bytes))
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from sparkvec.functions import text as tx
 from sparkvec.functions.jsons import metadata_matches
 from sparkvec.functions.vectors import check_metric, distance_to, rank_key
-from sparkvec.operators.checks import check_query_text, check_top_k, check_weights
+from sparkvec.operators.checks import (
+    MAX_TOP_K,
+    check_query_text,
+    check_top_k,
+    check_weights,
+)
 from sparkvec.operators.encoding import EncoderFactory, encode_query
 from sparkvec.sources.store import resolve_store
 
@@ -34,6 +39,33 @@ def _query_vector(query: str | list[float], encoder_factory: EncoderFactory | No
     return encode_query(query, encoder_factory)
 
 
+def fetch_rows(df: DataFrame, winners: DataFrame, keep: list[str]) -> DataFrame:
+    """Attach ``keep`` columns to a ranked, at most ``MAX_TOP_K`` long, list of ids.
+
+    The ids become literals in the scan's filter (in groups small enough for
+    Parquet to test each value), so a store ordered by id reads the long text
+    columns of only the row groups that hold a winner.
+    """
+    spark = df.sparkSession
+    names = winners.columns
+    ranked = [(i, *row) for i, row in enumerate(winners.collect())]
+    found = [row[1 + names.index("id")] for row in ranked]
+    hit = F.lit(False)
+    for start in range(0, len(found), 10):
+        hit = hit | F.col("id").isin(found[start : start + 10])
+    schema = winners.schema
+    listed = spark.createDataFrame(
+        ranked, "_rank int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    )
+    fetched = df.select("id", *keep).filter(hit).join(F.broadcast(listed), "id")
+    rest = [n for n in names if n != "id"]
+    return (
+        fetched.orderBy("_rank")
+        .limit(max(1, len(ranked)))
+        .select("id", *keep, *rest)
+    )
+
+
 def nearest(
     df: DataFrame,
     vector: list[float],
@@ -43,18 +75,22 @@ def nearest(
     keep: list[str],
     id_col: str = "id",
     vector_col: str = "embedding",
+    late_fetch: bool = False,
 ) -> DataFrame:
     """The ``top_k`` rows nearest to one vector, with a ``distance`` column.
 
     The distance is computed once per row; each task keeps its best ``top_k``
-    rows and only those are merged.
+    rows and only those are merged. ``late_fetch`` searches ids and vectors
+    first and reads the other columns of the winners afterwards.
     """
     check_top_k(top_k)
-    return (
-        df.select(*keep, distance_to(F.col(vector_col), vector, metric).alias("distance"))
+    carried = [id_col] if late_fetch else [id_col, *keep]
+    ranked = (
+        df.select(*carried, distance_to(F.col(vector_col), vector, metric).alias("distance"))
         .orderBy(rank_key("distance"), id_col)
         .limit(top_k)
     )
+    return fetch_rows(df, ranked, keep) if late_fetch else ranked
 
 
 def semantic_search(
@@ -69,6 +105,10 @@ def semantic_search(
 ) -> DataFrame:
     """Nearest documents to a text (or to a ready vector), nearest first.
 
+    For a table the search runs at once, over ids and vectors only, and the
+    texts of the winners are read by id; a DataFrame is searched lazily in one
+    pass.
+
     Rows beyond ``distance_threshold`` are dropped after the limit; as rows are
     ranked by the filtered value this equals filtering first.
     """
@@ -78,7 +118,8 @@ def semantic_search(
         _query_vector(query, encoder_factory),
         top_k=top_k,
         metric=metric,
-        keep=["id", "document_text", "metadata"],
+        keep=["document_text", "metadata"],
+        late_fetch=isinstance(store, str),
     )
     if distance_threshold is not None:
         found = found.filter(F.col("distance") <= F.lit(float(distance_threshold)))
@@ -102,7 +143,7 @@ def similarity_search(
         _query_vector(query, encoder_factory),
         top_k=top_k,
         metric=check_metric(metric),
-        keep=[index_col, text_col],
+        keep=[text_col],
         id_col=index_col,
         vector_col=vector_col,
     )
@@ -133,7 +174,8 @@ def find_similar_documents(
         [float(x) for x in row[0]],
         top_k=top_k,
         metric=metric,
-        keep=["id", "document_text", "metadata"],
+        keep=["document_text", "metadata"],
+        late_fetch=isinstance(store, str),
     )
     return found if include_distance else found.drop("distance")
 
@@ -247,9 +289,12 @@ def search_by_metadata(
     if top_k < 1:
         raise ValueError("top_k must be positive")
     df, _ = resolve_store(store)
-    return (
+    late = isinstance(store, str) and top_k <= MAX_TOP_K
+    keep = ["document_text", "metadata", "created_at"]
+    newest = (
         df.filter(metadata_condition(filters))
-        .select("id", "document_text", "metadata", "created_at")
+        .select("id", *(["created_at"] if late else keep))
         .orderBy(F.col("created_at").desc(), "id")
         .limit(top_k)
     )
+    return fetch_rows(df, newest.select("id"), keep) if late else newest

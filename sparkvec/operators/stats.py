@@ -20,9 +20,7 @@ def metadata_fields(store: DataFrame | str, sample_rows: int | None = None) -> D
     rows = df.select("metadata").filter(F.col("metadata").isNotNull())
     if sample_rows is not None:
         rows = rows.limit(sample_rows)
-    keys = F.when(
-        F.try_parse_json("metadata").isNotNull(), F.json_object_keys("metadata")
-    )
+    keys = F.json_object_keys("metadata")  # NULL, hence no row, unless it is a JSON object
     return rows.select(F.explode(keys).alias("field")).distinct().orderBy("field")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sparkvec.functions import text as tx
 from sparkvec.operators.chunking import (
     CHUNK_SIZE,
     OVERLAP,
@@ -88,18 +89,26 @@ def embed_table(
     batch_size: int = BATCH_SIZE,
     dense_ids: bool = True,
     rebalance: bool = True,
+    validate_first: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> dict:
     """Validate, chunk, encode and append documents to a store; returns the counts.
 
+    A null or blank document fails the job and nothing is appended. It is found
+    while the job runs, without a pass of its own; ``validate_first`` spends
+    that pass and names the smallest bad id before any encoding.
+
     ``dense_ids`` numbers the chunks on from the table's largest id, in document
     order; the numbering needs one more shuffle. Without it, ids are made of
     document id and chunk number.
     """
-    documents = require_valid_documents(docs, id_col=id_col, text_col=text_col)
+    if validate_first:
+        require_valid_documents(docs, id_col=id_col, text_col=text_col)
+    text = F.col(text_col)
+    invalid = F.raise_error(F.concat(F.lit(f"invalid document, null or empty: {id_col}="), F.col(id_col)))
     rows = embed_documents(
-        docs,
+        docs.withColumn(text_col, F.when(tx.is_blank(text), invalid.cast("string")).otherwise(text)),
         encoder_factory,
         chunk_size=chunk_size,
         overlap=overlap,
@@ -113,9 +122,13 @@ def embed_table(
         rows = rows.withColumn("id", F.lit(st.next_id(spark, table)) + F.col("chunk_index"))
     else:
         rows = rows.withColumn("id", packed_id(F.col(id_col), F.col("chunk_no")))
-    written = st.insert_embeddings(spark, table, rows)
+    whole = Observation()
+    counted = rows.observe(whole, F.count_if(F.col("chunk_no") == 0).alias("documents"))
+    written = st.insert_embeddings(spark, table, counted)
+    if written == 0:
+        raise ValueError("there are no documents")
     return {
-        "documents_processed": documents,
+        "documents_processed": whole.get["documents"],
         "chunks_created": written,
         "embeddings_generated": written,
         "records_inserted": written,

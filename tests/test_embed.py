@@ -73,8 +73,15 @@ def test_embed_table(spark, dense):
         assert meta["chunk_index"] == 2 and meta["original_doc_index"] == 1
         embed_table(spark, docs, "embedded", ENCODER)
         assert spark.table("embedded").agg(F.max("id")).head()[0] == 2 * len(rows) - 1
-    with pytest.raises(ValueError, match="invalid"):
-        embed_table(spark, documents_from_list(spark, ["a", " "]), "embedded", ENCODER)
+    before = spark.table("embedded").count()
+    bad = documents_from_list(spark, ["a", " ", None])
+    with pytest.raises(ValueError, match="doc_id=1: empty"):
+        embed_table(spark, bad, "embedded", ENCODER, validate_first=True)
+    with pytest.raises(Exception, match="invalid document"):
+        embed_table(spark, bad, "embedded", ENCODER, dense_ids=dense)
+    with pytest.raises(ValueError, match="no documents"):
+        embed_table(spark, bad.filter("false"), "embedded", ENCODER, dense_ids=dense)
+    assert spark.table("embedded").count() == before
     st.drop_table(spark, "embedded")
 
 

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from sparkvec.operators import search
 from sparkvec.sources import store as st
 from sparkvec.sources.documents import documents_from_list, read_documents
 
@@ -128,6 +129,24 @@ def test_optimize_keeps_rows_and_one_generation(spark, table):
     assert len(os.listdir(folder)) == 1
 
 
+def test_search_by_table_name(spark, table):
+    """The table's own metric, and winners fetched by id."""
+    st.insert_embeddings(spark, table, rows(spark, 30), order_by="pos")
+    found = search.semantic_search(table, [3.2, 3.2, 3.2], top_k=12, include_distance=True)
+    got = found.collect()
+    assert [r.id for r in got][:5] == [3, 4, 2, 5, 1]
+    assert got[0].distance == pytest.approx(0.2 * 3**0.5, abs=1e-6)  # euclidean
+    assert [r.document_text for r in got] == [f"text {r.id}" for r in got]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(In(id, [" in plan and "embedding" not in plan.split("ReadSchema")[1]
+    near = search.semantic_search(table, [3.2, 3.2, 3.2], distance_threshold=1.0)
+    assert [r.id for r in near.collect()] == [3]
+    assert [r.id for r in search.find_similar_documents(table, 8, top_k=2).collect()] == [7, 9]
+    newest = search.search_by_metadata(table, {"n": [4, 9]}).collect()
+    assert [r.id for r in newest] == [4, 9]
+    assert search.search_by_metadata(table, {"n": "none"}).collect() == []
+
+
 def test_parameterised_sql(spark, table):
     st.insert_embeddings(spark, table, rows(spark), order_by="pos")
     got = st.execute_query(spark, f"SELECT id FROM {table} WHERE id < ? ORDER BY id", [2])
