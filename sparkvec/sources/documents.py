@@ -45,11 +45,10 @@ def documents_from_list(spark: SparkSession, texts: list[str]) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input of a few files over all cores, for work that is heavy per row.
+    """Spread a small file input over all cores, for work that is heavy per row.
 
-    A large input has more files than there are cores and is left as it is, so
-    this never shuffles it.
+    An input that already scans in more pieces than half the cores is left as
+    it is, so this never shuffles a large one.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if 2 * len(df.inputFiles()) <= cores else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if 2 * df.rdd.getNumPartitions() <= cores else df
