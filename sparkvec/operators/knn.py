@@ -15,27 +15,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkvec.functions.vectors import TIE_DECIMALS, as_matrix, check_metric, distance_matrix
+from sparkvec.functions.vectors import TIE_DECIMALS, as_matrix, check_metric
 from sparkvec.operators.checks import check_top_k
 from sparkvec.session import ensure_checkpoint_dir
 
 BROADCAST_BYTES = 64 << 20
 WINNER_BYTES = 64  # one (query, rank, id, distance) row in a broadcast relation
-PRODUCT_CELLS = 1 << 23  # doubles in one (queries x rows) product, 64 MB
+PRODUCT_CELLS = 1 << 23  # floats in one (queries x rows) product, 32 MB
 
 _PARTIAL = "_q long, id long, distance double"
 _PARTIAL_TYPES = pa.schema([("_q", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())])
 
 
 class RunningTopK:
-    """The k nearest rows seen so far for each query of a block."""
+    """The k nearest rows seen so far for each query of a block.
+
+    Pairs are screened by one single-precision matrix product per batch, with a
+    bound on its rounding error; only pairs that may still enter are computed
+    in double precision. What comes out is exact.
+
+    The product is arranged so that a larger value means nearer and so that
+    one threshold per query is enough: unit vectors for cosine; for euclidean,
+    rows carry an extra element ``-|r|^2 / 2`` against a 1 in the query, which
+    makes the product ``(|q|^2 - distance^2) / 2``.
+    """
 
     def __init__(self, queries: np.ndarray, valid: np.ndarray, k: int, metric: str):
-        self.queries, self.valid, self.k, self.metric = queries, valid, k, metric
+        self.queries, self.k, self.metric = queries, k, metric
+        self.norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        self.defined = valid & (self.norms > 0) if metric == "cosine" else valid
+        self.screen = self._screen_form(queries, self.norms, 1.0)
         self.bound = np.full(len(queries), np.inf)  # rank key of the k-th best so far
         self.count = np.zeros(len(queries), dtype=np.int64)
         self.best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0))
 
+    def _screen_form(self, matrix, norms, extra) -> np.ndarray:
+        if self.metric == "cosine":
+            unit = np.zeros(matrix.shape, dtype=np.float32)
+            np.divide(matrix, norms[:, None], out=unit, where=norms[:, None] > 0, casting="unsafe")
+            return unit
+        tail = np.broadcast_to(extra, norms.shape)[:, None]
+        return np.hstack([matrix, tail]).astype(np.float32)
+
     def add(
         self,
         ids: np.ndarray,
@@ -46,37 +67,83 @@ class RunningTopK:
     ) -> None:
         """Offer rows to the queries, or to those numbered in ``only``."""
         numbers = np.arange(len(self.queries)) if only is None else only
-        width = max(1, PRODUCT_CELLS // max(1, len(rows)))
-        for start in range(0, len(numbers), width):
-            self._offer(numbers[start : start + width], ids, rows, row_valid, skip_own_id)
-
-    def _offer(self, numbers, ids, rows, row_valid, skip_own_id) -> None:
-        exact = distance_matrix(self.queries[numbers], rows, row_valid, self.metric)
-        exact[~self.valid[numbers]] = np.inf
-        take = None
+        norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        defined = row_valid & (norms > 0) if self.metric == "cosine" else row_valid
+        near = np.flatnonzero(defined)
+        if near.size:
+            part = (ids[near], rows[near], norms[near])
+            screen = self._screen_form(part[1], part[2], -0.5 * part[2] ** 2)
+            width = max(1, PRODUCT_CELLS // near.size)
+            able = numbers[self.defined[numbers]]
+            for start in range(0, len(able), width):
+                self._offer(able[start : start + width], *part, screen, skip_own_id)
+        self._offer_undefined(numbers, ids, ids[~defined], skip_own_id)
+
+    def _offer(self, numbers, ids, rows, norms, screen, skip_own_id) -> None:
+        product = self.screen[numbers] @ screen.T
         if skip_own_id is not None:
-            take = ids[None, :] != skip_own_id[numbers][:, None]
-        # A row can only enter with a key up to the k-th best. Ties with that
-        # one stay in: the id decides between them below.
-        full = self.count[numbers] >= self.k
-        limit = np.where(full, self.bound[numbers], np.inf)
-        if exact.shape[1] > self.k and not full.all():
-            masked = exact if take is None else np.where(take, exact, np.inf)
-            kth = np.partition(masked, self.k - 1, axis=1)[:, self.k - 1]
-            limit = np.minimum(limit, np.round(kth, TIE_DECIMALS))
-        near = exact <= (limit + 10.0**-TIE_DECIMALS)[:, None]
-        q, r = np.nonzero(near if take is None else near & take)
-        key = np.round(exact[q, r], TIE_DECIMALS)
-        enter = key <= limit[q]
-        q, r, key = q[enter], r[enter], key[enter]
+            _, own_q, own_r = np.intersect1d(skip_own_id[numbers], ids, return_indices=True)
+            product[own_q, own_r] = -np.inf
+        limit = self.bound[numbers]
+        full = (self.count[numbers] >= self.k) & np.isfinite(limit)
+        tie = 2 * 10.0**-TIE_DECIMALS
+        # Rounding of the inputs and of the sum, both ways.
+        unit_error = 2.0 * (screen.shape[1] + 4) * np.finfo(np.float32).eps
+        if self.metric == "cosine":
+            slack = np.full(len(numbers), unit_error + tie)
+            floor = 1.0 - limit
+        else:
+            q_norm, r_norm = self.norms[numbers], norms.max()
+            slack = unit_error * (q_norm + r_norm) * (r_norm + 1e-30) + tie * (q_norm + r_norm + 1)
+            with np.errstate(over="ignore"):
+                floor = (q_norm**2 - limit**2) / 2
+        floor = np.where(full, floor - slack, -np.inf)
+        if len(ids) > self.k and not full.all():
+            open_ = np.flatnonzero(~full)
+            kth = np.partition(product[open_], len(ids) - self.k, axis=1)[:, len(ids) - self.k]
+            floor[open_] = kth - 2 * slack[open_]
+        floor = np.nextafter(floor.astype(np.float32), np.float32(-np.inf))
+        q, r = np.nonzero(product >= floor[:, None])
+        kept = product[q, r] > -np.inf
+        q, r = q[kept], r[kept]
+        exact = np.empty(q.size)
+        for start in range(0, q.size, 65536):
+            piece = slice(start, start + 65536)
+            exact[piece] = self._distance(numbers[q[piece]], rows[r[piece]], norms[r[piece]])
+        key = np.round(exact, TIE_DECIMALS)
+        enter = key <= np.where(full, limit, np.inf)[q]
+        self._merge(numbers, numbers[q[enter]], ids[r[enter]], key[enter], exact[enter])
+
+    def _distance(self, q, rows, norms) -> np.ndarray:
+        queries = self.queries[q]
+        if self.metric == "cosine":
+            return 1.0 - np.einsum("ij,ij->i", queries, rows) / (self.norms[q] * norms)
+        gap = queries - rows
+        return np.sqrt(np.einsum("ij,ij->i", gap, gap))
+
+    def _offer_undefined(self, numbers, ids, undefined_ids, skip_own_id) -> None:
+        """Rows without a distance come last, in id order, while there is room for them."""
+        lacking = numbers[(self.count[numbers] < self.k) | np.isinf(self.bound[numbers])]
+        for number in lacking:
+            offered = undefined_ids if self.defined[number] else ids
+            if skip_own_id is not None:
+                offered = offered[offered != skip_own_id[number]]
+            if not offered.size:
+                continue
+            first = np.sort(offered)[: self.k]
+            last = np.full(first.size, np.inf)
+            one = np.array([number])
+            self._merge(one, np.full(first.size, number), first, last, last)
+
+    def _merge(self, numbers, q, ids, key, exact) -> None:
         if not q.size:
             return
         mine = np.isin(self.best[0], numbers)
         merged = (
-            np.concatenate([self.best[0][mine], numbers[q]]),
-            np.concatenate([self.best[1][mine], ids[r]]),
+            np.concatenate([self.best[0][mine], q]),
+            np.concatenate([self.best[1][mine], ids]),
             np.concatenate([self.best[2][mine], key]),
-            np.concatenate([self.best[3][mine], exact[q, r]]),
+            np.concatenate([self.best[3][mine], exact]),
         )
         order = np.lexsort((merged[1], merged[2], merged[0]))
         merged = tuple(column[order] for column in merged)
@@ -84,8 +151,7 @@ class RunningTopK:
         rank = np.arange(len(merged[0])) - np.repeat(first, sizes)
         kept = tuple(column[rank < self.k] for column in merged)
         self.count[heads] = np.minimum(sizes, self.k)
-        last = first + np.minimum(sizes, self.k) - 1
-        self.bound[heads] = merged[2][last]
+        self.bound[heads] = merged[2][first + np.minimum(sizes, self.k) - 1]
         self.best = tuple(
             np.concatenate([old[~mine], new]) for old, new in zip(self.best, kept)
         )

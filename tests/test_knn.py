@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkvec.operators.knn import batch_topk
+from sparkvec.operators.knn import RunningTopK, batch_topk
 
 ROWS, QUERIES, DIM = 700, 23, 12
 
@@ -95,6 +95,63 @@ def test_prefix_of_larger_k(frames):
     assert all(large[q][:5] == small[q] for q in small)
 
 
+def _local(rows, queries, k, metric, batch, own=None):
+    """The task-side accumulator alone, fed in batches."""
+    running = RunningTopK(
+        queries.astype(np.float64), np.ones(len(queries), dtype=bool), k, metric
+    )
+    for start in range(0, len(rows), batch):
+        part = rows[start : start + batch].astype(np.float64)
+        ids = np.arange(start, start + len(part))
+        running.add(ids, part, np.ones(len(part), dtype=bool), skip_own_id=own)
+    got = {q: [] for q in range(len(queries))}
+    table = running.result()
+    for q, i, _ in zip(*(table.column(c).to_pylist() for c in range(3))):
+        got[q].append(i)
+    return got
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("scale,shift", [(1.0, 0.0), (1e-3, 0.0), (1.0, 50.0), (300.0, 1e4)])
+def test_screening_loses_nothing(metric, scale, shift):
+    """Also where single precision cannot tell the rows apart."""
+    rng = np.random.default_rng(11)
+    rows = (rng.standard_normal((400, 8)) * scale + shift).astype(np.float32)
+    rows[50:180] = rows[3]
+    queries = np.vstack([rows[:12], rng.standard_normal((6, 8)).astype(np.float32)])
+    for k, batch in [(1, 64), (7, 31), (60, 400)]:
+        assert _local(rows, queries, k, metric, batch) == brute(rows, queries, k, metric)
+    own = np.arange(len(queries))
+    got = _local(rows, queries, 7, metric, 31, own)
+    assert got == brute(rows, queries, 7, metric, own=True)
+
+
+def test_undefined_rows_come_last():
+    rows, queries = np.zeros((9, 3), np.float32), np.ones((2, 3), np.float32)
+    rows[4], rows[7] = [1, 0, 0], [1, 1, 1]
+    queries[1] = 0
+    for batch in (1, 4, 9):
+        got = _local(rows, queries, 4, "cosine", batch)
+        assert got == {0: [7, 4, 0, 1], 1: [0, 1, 2, 3]}
+
+
+def test_more_queries_than_fit_in_one_look(spark):
+    rng = np.random.default_rng(3)
+    rows = rng.standard_normal((90, 4)).astype(np.float32)
+    queries = rng.standard_normal((1300, 4)).astype(np.float32)
+
+    def frame(matrix, name):
+        data = [(i, [float(x) for x in v]) for i, v in enumerate(matrix)]
+        return spark.createDataFrame(data, f"{name} long, embedding array<float>")
+
+    want = brute(rows, queries, 2, "cosine")
+    for bound in (1 << 20, 20_000):
+        got = collect(
+            batch_topk(frame(rows, "id"), frame(queries, "qid"), top_k=2, broadcast_bytes=bound)
+        )
+        assert got == want
+
+
 def test_wrong_dimension_is_an_error(spark, frames):
     _, _, store, _ = frames
     bad = spark.createDataFrame([(1, [1.0, 2.0])], "qid long, embedding array<float>")
