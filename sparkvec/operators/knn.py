@@ -19,7 +19,8 @@ from sparkvec.functions.vectors import TIE_DECIMALS, as_matrix, check_metric
 from sparkvec.operators.checks import check_top_k
 from sparkvec.session import ensure_checkpoint_dir
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 64 << 20  # vectors and running lists of the queries one task holds
+LIST_BYTES = 24  # one place of a running list
 WINNER_BYTES = 64  # one (query, rank, id, distance) row in a broadcast relation
 PRODUCT_CELLS = 1 << 23  # floats in one (queries x rows) product, 32 MB
 
@@ -47,7 +48,10 @@ class RunningTopK:
         self.screen = self._screen_form(queries, self.norms, 1.0)
         self.bound = np.full(len(queries), np.inf)  # rank key of the k-th best so far
         self.count = np.zeros(len(queries), dtype=np.int64)
-        self.best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0))
+        # Best rows in rank order; the first `count` places of a query are filled.
+        self.ids = np.zeros((len(queries), k), dtype=np.int64)
+        self.keys = np.full((len(queries), k), np.inf)
+        self.exact = np.full((len(queries), k), np.inf)
 
     def _screen_form(self, matrix, norms, extra) -> np.ndarray:
         if self.metric == "cosine":
@@ -112,7 +116,7 @@ class RunningTopK:
             exact[piece] = self._distance(numbers[q[piece]], rows[r[piece]], norms[r[piece]])
         key = np.round(exact, TIE_DECIMALS)
         enter = key <= np.where(full, limit, np.inf)[q]
-        self._merge(numbers, numbers[q[enter]], ids[r[enter]], key[enter], exact[enter])
+        self._merge(numbers[q[enter]], ids[r[enter]], key[enter], exact[enter])
 
     def _distance(self, q, rows, norms) -> np.ndarray:
         queries = self.queries[q]
@@ -132,35 +136,35 @@ class RunningTopK:
                 continue
             first = np.sort(offered)[: self.k]
             last = np.full(first.size, np.inf)
-            one = np.array([number])
-            self._merge(one, np.full(first.size, number), first, last, last)
+            self._merge(np.full(first.size, number), first, last, last)
 
-    def _merge(self, numbers, q, ids, key, exact) -> None:
+    def _merge(self, q, ids, key, exact) -> None:
+        """Work the offered rows into the lists of the queries they are for."""
         if not q.size:
             return
-        mine = np.isin(self.best[0], numbers)
-        merged = (
-            np.concatenate([self.best[0][mine], q]),
-            np.concatenate([self.best[1][mine], ids]),
-            np.concatenate([self.best[2][mine], key]),
-            np.concatenate([self.best[3][mine], exact]),
-        )
-        order = np.lexsort((merged[1], merged[2], merged[0]))
-        merged = tuple(column[order] for column in merged)
-        heads, first, sizes = np.unique(merged[0], return_index=True, return_counts=True)
-        rank = np.arange(len(merged[0])) - np.repeat(first, sizes)
-        kept = tuple(column[rank < self.k] for column in merged)
+        heads = np.unique(q)
+        held = np.arange(self.k) < self.count[heads][:, None]
+        q = np.concatenate([np.repeat(heads, self.count[heads]), q])
+        ids = np.concatenate([self.ids[heads][held], ids])
+        key = np.concatenate([self.keys[heads][held], key])
+        exact = np.concatenate([self.exact[heads][held], exact])
+        order = np.lexsort((ids, key, q))
+        q, ids, key, exact = q[order], ids[order], key[order], exact[order]
+        _, first, sizes = np.unique(q, return_index=True, return_counts=True)
+        rank = np.arange(len(q)) - np.repeat(first, sizes)
+        top = rank < self.k
+        place = (q[top], rank[top])
+        self.ids[place], self.keys[place], self.exact[place] = ids[top], key[top], exact[top]
         self.count[heads] = np.minimum(sizes, self.k)
-        self.bound[heads] = merged[2][first + np.minimum(sizes, self.k) - 1]
-        self.best = tuple(
-            np.concatenate([old[~mine], new]) for old, new in zip(self.best, kept)
-        )
+        self.bound[heads] = key[first + self.count[heads] - 1]
 
     def result(self, number_of: np.ndarray | None = None) -> pa.RecordBatch:
-        q, ids, _, exact = self.best
+        held = np.arange(self.k) < self.count[:, None]
+        q = np.repeat(np.arange(len(self.queries)), self.count)
         q = q if number_of is None else number_of[q]
+        exact = self.exact[held]
         return pa.RecordBatch.from_arrays(
-            [pa.array(q), pa.array(ids), pa.array(exact, mask=np.isinf(exact))],
+            [pa.array(q), pa.array(self.ids[held]), pa.array(exact, mask=np.isinf(exact))],
             schema=_PARTIAL_TYPES,
         )
 
@@ -189,7 +193,9 @@ def _salts(spark: SparkSession, queries: int) -> int:
     return max(1, parallelism // max(1, queries))
 
 
-def _bounded_queries(queries: DataFrame, limit_bytes: int) -> tuple[pa.Table | None, DataFrame]:
+def _bounded_queries(
+    queries: DataFrame, k: int, limit_bytes: int
+) -> tuple[pa.Table | None, DataFrame]:
     """The query set itself if it is within the bound, else None; and the set as a DataFrame.
 
     More than a few queries are checkpointed before they are measured, so that
@@ -199,11 +205,12 @@ def _bounded_queries(queries: DataFrame, limit_bytes: int) -> tuple[pa.Table | N
     head = queries.limit(few + 1).toArrow()
     if head.num_rows <= few:
         lengths = head["_v"].combine_chunks().value_lengths().to_pylist()
-        held = 8 * sum(n or 0 for n in lengths)
+        held = 8 * sum(n or 0 for n in lengths) + LIST_BYTES * k * len(lengths)
         return (head if held <= limit_bytes else None), queries
     ensure_checkpoint_dir(queries.sparkSession)
     queries = queries.checkpoint()
-    held = 8 * queries.agg(F.sum(F.size("_v").cast("long"))).head()[0]
+    need = F.lit(8) * F.size("_v").cast("long") + F.lit(LIST_BYTES * k)
+    held = queries.agg(F.sum(need)).head()[0]
     return (queries.toArrow() if held <= limit_bytes else None), queries
 
 
@@ -249,7 +256,7 @@ def batch_topk(
     if probes is not None:
         columns.append(F.col("cell").cast("int").alias("cell"))
     rows = store.select(*columns)
-    table, asked = _bounded_queries(asked, broadcast_bytes)
+    table, asked = _bounded_queries(asked, top_k, broadcast_bytes)
     if table is not None:
         merged = _broadcast_topk(spark, rows, table, top_k, metric, exclude_same_id, probes)
     else:
@@ -314,7 +321,8 @@ def _blocked_topk(
     block; a slice may have any length.
     """
     sizes = asked.agg(F.count(F.lit(1)), F.max(F.size("_v"))).head()
-    blocks = max(1, math.ceil(2 * sizes[0] * 8 * max(1, sizes[1] or 1) / block_bytes))
+    need = 8 * max(1, sizes[1] or 1) + LIST_BYTES * k
+    blocks = max(1, math.ceil(2 * sizes[0] * need / block_bytes))
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slices = max(1, math.ceil(4 * parallelism / blocks))
     parts = blocks * slices
