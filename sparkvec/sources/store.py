@@ -205,10 +205,8 @@ def execute_query(spark: SparkSession, sql: str, params: list | dict | None = No
 
 def execute_command(spark: SparkSession, sql: str, params: list | dict | None = None) -> int:
     """A parameterised DDL or INSERT statement; the number of rows it reports, else 0."""
-    rows = execute_query(spark, sql, params).collect()
-    if rows and "num_affected_rows" in rows[0].asDict():
-        return rows[0]["num_affected_rows"]
-    return 0
+    row = execute_query(spark, sql, params).head()
+    return row.asDict().get("num_affected_rows", 0) if row else 0
 
 
 # --- appending -------------------------------------------------------------
@@ -300,17 +298,18 @@ def _publish(spark: SparkSession, table: str, rows: DataFrame, *metrics: Column)
         raise ValueError(f"table {table!r} is not a vector store")
     old = _location(spark, table)
     new = f"{folder}/{uuid.uuid4().hex}"
-    if metrics:
-        observed = Observation()
-        rows.observe(observed, *metrics).select(*COLUMNS).write.parquet(new)
-        result = observed.get
-    else:
+    observed = Observation() if metrics else None
+    if observed is not None:
+        rows = rows.observe(observed, *metrics)
+    try:
         rows.select(*COLUMNS).write.parquet(new)
-        result = {}
+    except Exception:
+        _delete_folder(spark, new)
+        raise
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     spark.catalog.refreshTable(table)
     _delete_folder(spark, old)
-    return result
+    return observed.get if observed is not None else {}
 
 
 def _location(spark: SparkSession, table: str) -> str:

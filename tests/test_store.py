@@ -105,6 +105,18 @@ def test_delete(spark, table):
     assert st.get_record_by_id(spark, table, 7)["document_text"] == "text 0"
 
 
+def test_failed_rewrite_changes_nothing(spark, table):
+    st.insert_embeddings(spark, table, rows(spark), order_by="pos")
+    folder = st._properties(spark, table)["vector.folder"].removeprefix("file:")
+    broken = spark.table(table).withColumn(
+        "metadata", F.when(F.col("id") == 5, F.raise_error(F.lit("boom")).cast("string"))
+    )
+    with pytest.raises(Exception, match="boom"):
+        st._publish(spark, table, broken)
+    assert spark.table(table).filter("metadata is not null").count() == 10
+    assert len(os.listdir(folder)) == 1
+
+
 def test_update_replaces_metadata(spark, table):
     st.insert_embeddings(spark, table, rows(spark), order_by="pos")
     assert st.update_metadata(spark, table, 2, {"a": "b"})
