@@ -324,7 +324,8 @@ def _blocked_topk(
     need = 8 * max(1, sizes[1] or 1) + LIST_BYTES * k
     blocks = max(1, math.ceil(2 * sizes[0] * need / block_bytes))
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(1, math.ceil(4 * parallelism / blocks))
+    # Long slices: a running list that is already good screens most pairs out.
+    slices = max(1, math.ceil(2 * parallelism / blocks))
     parts = blocks * slices
     has_cells = probes is not None
     cell = F.col("cell") if has_cells else F.lit(None).cast("int")
