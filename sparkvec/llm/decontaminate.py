@@ -32,9 +32,20 @@ from sparkvec.llm.common import lower_ascii, saved
 WINDOW = 10
 GRAM = 5
 BROADCAST_ROWS = 200_000
-#: Runs of the same bytes before and after lower-casing.
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: ASCII characters that separate words: all but digits and letters. Listed one by
+#: one in the patterns, since Java tests a list by one look-up and ranges in turn.
+_GAPS = [c for c in range(128) if not chr(c).isalnum()]
+_UPPER = range(ord("A"), ord("Z") + 1)
+
+
+def _outside(codes) -> str:
+    return "[^" + "".join(f"\\x{c:02X}" for c in codes) + "]+"
+
+
+#: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``, for lower-cased texts.
+WORD = _outside([*_GAPS, *_UPPER])
+#: The same words before lower-casing.
+ANY_CASE = _outside(_GAPS)
 
 
 def words(text: Column) -> Column:
