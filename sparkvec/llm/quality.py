@@ -1,10 +1,9 @@
 """Quality classifier: learned vectors of hashed words and character n-grams, averaged, softmax.
 
-A document is the mean of the vectors of its words and of its byte 3-grams and
-5-grams, each looked up by hash; a softmax over two outputs reads that mean. The
+A document is the mean of the vectors of its words, word pairs and byte 3-grams
+and 5-grams, each looked up by hash; a softmax over two outputs reads that mean. The
 vectors and the outputs are trained together by stochastic gradient descent in
-numpy, on at most ``SAMPLE_ROWS`` labelled rows (those of least hash), whose
-features executors compute. Scoring reads whole texts: the product of vectors and
+numpy, on at most ``SAMPLE_ROWS`` labelled rows (those of least hash), in one task. Scoring reads whole texts: the product of vectors and
 outputs is one number per bucket, so a text needs one look-up per feature.
 
 Defined results: null and empty texts score what the model says of no features;
@@ -51,8 +50,8 @@ def _ngrams(block: np.ndarray, ends: np.ndarray, order: int, bits: int) -> tuple
     return code, inside
 
 
-def _words(block: np.ndarray, starts: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and position of each word that white space or the edge of a row delimits."""
+def _words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and position of each word that white space or the edge of a row delimits."""
     first = ~SPACE[block]
     gap = SPACE[block]
     head = first.copy()
@@ -66,7 +65,7 @@ def _words(block: np.ndarray, starts: np.ndarray, bits: int) -> tuple[np.ndarray
     place[at[0] :] = np.arange(at[0], len(block)) - np.repeat(at, np.diff(np.append(at, len(block))))
     value = (block.astype(np.uint32) + np.uint32(1)) * _POWERS[place & 63]
     value[gap] = 0
-    return (np.add.reduceat(value, at, dtype=np.uint32) * _ODD) >> np.uint32(32 - bits), at
+    return np.add.reduceat(value, at, dtype=np.uint32), at
 
 
 def _features(block: np.ndarray, bounds: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -74,7 +73,11 @@ def _features(block: np.ndarray, bounds: np.ndarray, bits: int) -> Iterator[tupl
     starts, ends = bounds[:-1], bounds[1:]
     filled = ends > starts
     starts, ends = starts[filled], ends[filled]
-    yield _words(block, starts, bits)
+    words, at = _words(block, starts)
+    yield (words * _ODD) >> np.uint32(32 - bits), at
+    # word pairs are hashed by the difference of their words: all repetitions share a bucket
+    pair = np.flatnonzero(np.searchsorted(starts, at[1:], "right") == np.searchsorted(starts, at[:-1], "right"))
+    yield ((words[pair + 1] - words[pair]) * _ODD) >> np.uint32(32 - bits), at[pair]
     for order in (3, 5):
         code, inside = _ngrams(block, ends, order, bits)
         at = np.flatnonzero(inside)
@@ -175,12 +178,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                 names=["doc_id", "quality", "found", "share"],
             )
 
-    table = rows.mapInArrow(bags, "doc_id long, quality int, found array<int>, share array<float>").toArrow()
-    # a sampled id may occur in several rows of the documents: sample_rows holds for rows too
-    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")[:sample_rows]
-    found, share = table["found"].combine_chunks(), table["share"].combine_chunks()
-    pairs = [(found[int(i)].values.to_numpy(), share[int(i)].values.to_numpy()) for i in order]
-    return train(pairs, table["quality"].to_numpy()[order])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, labels, pairs = [], [], []
+        for batch in batches:
+            ids += batch["doc_id"].to_pylist()
+            labels += batch["quality"].to_pylist()
+            found, share = batch["found"], batch["share"]
+            pairs += [(found[i].values.to_numpy(), share[i].values.to_numpy()) for i in range(len(found))]
+        # a sampled id may stand in several rows of the documents: the bound holds for rows too
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], labels[i], len(pairs[i][0])))[:sample_rows]
+        model = train([pairs[i] for i in order], np.array([labels[i] for i in order]))
+        yield pa.record_batch([pa.array([model.weights.tobytes()]), pa.array([model.bias])], names=["weights", "bias"])
+
+    sample = rows.mapInArrow(bags, "doc_id long, quality int, found array<int>, share array<float>")
+    # the bounded sample goes to one task, and the driver sees the model only
+    fitted = sample.repartition(1).mapInArrow(learn, "weights binary, bias double").first()
+    if fitted is None:
+        return train([], np.zeros(0))
+    return Model(np.frombuffer(bytes(fitted.weights), np.float32), fitted.bias)
 
 
 def score(text: Column, model: Model, spark) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkvec.llm import decontaminate, mixing, quality, sharding, simhash
+from sparkvec.llm import decontaminate, langid, mixing, quality, sharding, simhash
 from sparkvec.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op6_mixing(spark, sf_dir):
     return mixing.shares(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
