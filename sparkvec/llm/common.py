@@ -13,6 +13,7 @@ from sparkvec.session import ensure_checkpoint_dir
 
 PIECE_BYTES = 1 << 20
 STRIDE = 1024
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,17 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def checked(small: DataFrame) -> DataFrame:
+    """A broadcast hint only where a count proves at most ``BROADCAST_ROWS`` short rows."""
+    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+
+
+def row_key() -> Column:
+    """What tells documents apart: id and text."""
+    doc_id, text = F.col("doc_id"), F.col("text")
+    return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), text))
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; -1 for a null id."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(divisor)), F.lit(-1))

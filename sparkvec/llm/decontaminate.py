@@ -12,7 +12,7 @@ lengths are handled the same way with a gram of that length and no winnowing.
 
 Copies share the work: documents are joined by the md5 of their text, and equal
 texts are one row in all steps after the first. The benchmark's fingerprints are
-broadcast only while a count shows at most ``BROADCAST_ROWS`` of them; beyond
+broadcast only while a count proves their number small; beyond
 that the join shuffles.
 
 Defined results: a null or wordless text has no words and is not contaminated;
@@ -27,11 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkvec.llm.common import lower_ascii, saved
+from sparkvec.llm.common import checked, lower_ascii, saved
 
 WINDOW = 10
 GRAM = 5
-BROADCAST_ROWS = 200_000
 #: ASCII characters that separate words: all but digits and letters. Listed one by
 #: one in the patterns, since Java tests a list by one look-up and ranges in turn.
 _GAPS = [c for c in range(128) if not chr(c).isalnum()]
@@ -75,11 +74,6 @@ def with_minima(frame: DataFrame, gram: int, width: int) -> DataFrame:
     return _doubled(frame, "minima", width, lambda a, b: F.least(a, b))
 
 
-def _checked(small: DataFrame) -> DataFrame:
-    """A broadcast hint only where a count proves the bound."""
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
-
-
 def _windows(frame: DataFrame, length: int, keep: Column, *also: str) -> DataFrame:
     """One row for each run of ``length`` of ``words`` whose start passes ``keep(start)``: start, run."""
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
@@ -95,7 +89,7 @@ def _occurrences(texts: DataFrame, items: DataFrame, length: int, gram: int) ->
     """
     width = length - gram + 1
     marks = with_minima(items.select(F.split("run", " ").alias("words")), gram, width)
-    marks = _checked(saved(marks.select(F.element_at("minima", 1).alias("mark")).distinct()))
+    marks = checked(saved(marks.select(F.element_at("minima", 1).alias("mark")).distinct()))
     # texts of fewer words than the length have no minima; a filter here would cut the words twice
     kept = with_minima(texts.select("key", words(F.col("text")).alias("words")), gram, width)
     kept = kept.select("key", F.explode(F.array_distinct("minima")).alias("mark"))
@@ -109,7 +103,7 @@ def _occurrences(texts: DataFrame, items: DataFrame, length: int, gram: int) ->
     back = with_minima(back, gram, width)
     rows = back.select("key", "words", F.explode(starts).alias("start"))
     rows = rows.select("key", "start", F.concat_ws(" ", F.slice("words", F.col("start"), F.lit(length))).alias("run"))
-    return rows.join(_checked(items), "run").select("key", "start", F.lit(length).alias("length"), "run")
+    return rows.join(checked(items), "run").select("key", "start", F.lit(length).alias("length"), "run")
 
 
 def _covered(spans: Column) -> Column:
@@ -139,7 +133,7 @@ def contamination(texts: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         runs = _windows(mine, length, None, "item_id").select("item_id", "run").distinct()
         some = _occurrences(texts, runs.select("run").distinct(), length, min(gram, length))
         spans = some.groupBy("key").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
-        named = some.select("key", "run").distinct().join(_checked(runs), "run")
+        named = some.select("key", "run").distinct().join(checked(runs), "run")
         named = named.groupBy("key").agg(F.collect_set("item_id").alias("items"))
         part = spans.join(named, "key")
         found = part if found is None else found.unionByName(part)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkvec.llm import decontaminate, langid, mixing, quality, sharding, simhash
+from sparkvec.llm import ann, decontaminate, langid, line_dedup, mixing, paragraph_dedup, quality, sharding, simhash
 from sparkvec.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,11 +36,26 @@ def op4_quality_classifier(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_ann_hilbert(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_mixing(spark, sf_dir):
     return mixing.shares(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_paragraph_minhash(spark, sf_dir):
+    return paragraph_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
