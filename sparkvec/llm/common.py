@@ -44,6 +44,26 @@ def row_key() -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), text))
 
 
+_NO_ID = 10**19
+
+
+def place(doc_id: Column, number: Column) -> Column:
+    """Where something stands in the corpus, as one ordered number that aggregates in place; null ids last."""
+    whole = F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(str(_NO_ID)).cast("decimal(20,0)"))
+    return (whole * F.lit(1 << 32).cast("decimal(11,0)") + number.cast("decimal(11,0)")).cast("decimal(38,0)")
+
+
+def place_id(at: Column) -> Column:
+    """The document id of a place."""
+    whole = F.floor(at / F.lit(1 << 32).cast("decimal(11,0)"))
+    return F.when(whole < F.lit(str(_NO_ID)).cast("decimal(20,0)"), whole).cast("long")
+
+
+def place_number(at: Column) -> Column:
+    """The number within its document of a place."""
+    return F.pmod(at, F.lit(1 << 32).cast("decimal(38,0)")).cast("int")
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; -1 for a null id."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(divisor)), F.lit(-1))

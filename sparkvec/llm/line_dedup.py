@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkvec.llm.common import row_key, saved
+from sparkvec.llm.common import place, place_number, row_key, saved
 
 EDITS = 1
 MIN_CHARS = 20
@@ -35,50 +35,47 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """One row per line that is not blank: row, place (null ids last), line."""
     split = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("number", "line")
     rows = docs.select("doc_id", row_key().alias("row"), split).where(F.trim("line") != "")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "number").alias("place")
-    return rows.select("row", place, "line")
+    return rows.select("row", place(F.col("doc_id"), F.col("number")).alias("place"), "line")
+
+
+def _half(shorter: Column) -> Column:
+    return F.floor((shorter - 1) / 2).cast("int")
 
 
 def _halves(length: Column, line: Column) -> Column:
-    """The four halves a line can share: as the shorter or equal one, and as the longer, in front and at the back."""
+    """Hashes of the halves a line can share: front and back as the shorter or equal line, front and back as the longer."""
 
-    def half(shorter: Column) -> tuple[Column, Column]:
-        size = F.floor((shorter - 1) / 2).cast("int")
+    def halves(shorter: Column) -> tuple[Column, Column]:
+        size = _half(shorter)
         return (
-            F.struct(shorter.alias("shorter"), F.lit("front").alias("side"), size.alias("size"), F.substring(line, F.lit(1), size).alias("half")),
-            F.struct(shorter.alias("shorter"), F.lit("back").alias("side"), size.alias("size"), F.substring(line, length - size + 1, size).alias("half")),
+            F.xxhash64(shorter, F.lit("front"), F.substring(line, F.lit(1), size)),
+            F.xxhash64(shorter, F.lit("back"), F.substring(line, length - size + 1, size)),
         )
 
-    return F.array(*half(length), *half(length - 1))
+    return F.array(*halves(length), *halves(length - 1))
 
 
 def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Per distinct line (``name``, its md5) with one within an edit at an earlier place: that ``place``.
+    """Per distinct line (``name``, a hash) with one within an edit at an earlier place: that ``place``.
 
     ``lines`` has ``place`` and ``line``.
     """
     long = lines.withColumn("length", F.char_length("line")).where(F.col("length") >= min_chars)
-    named = long.select(F.md5("line").alias("name"), "length", "line")
-    shared = named.select("name", F.explode(_halves(F.col("length"), F.col("line"))).alias("h"))
-    shared = shared.select("name", F.xxhash64("h.shorter", "h.side", "h.half").alias("key"))
+    long = long.withColumn("name", F.xxhash64("line"))
+    shared = long.select("name", F.explode(_halves(F.col("length"), F.col("line"))).alias("key"))
     crowded = shared.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("b")).where("a < b").select("key")
-    crowded = saved(crowded)
-    # which lines share which halves: two numbers and a name a row
-    sharing = saved(shared.join(crowded, "key").distinct())
-    texts = long.select(F.md5("line").alias("name"), "length", "line", "place").join(sharing.select("name").distinct(), "name", "left_semi")
-    # a line and its first place
+    # which lines share which halves: two numbers a row
+    sharing = saved(shared.join(saved(crowded), "key").distinct())
+    texts = long.join(sharing.select("name").distinct(), "name", "left_semi")
     texts = saved(texts.groupBy("name").agg(F.min("place").alias("place"), F.first("line").alias("line")))
-    halves = texts.select("name", "line", F.char_length("line").alias("length"))
-    halves = halves.select("name", "line", "length", F.explode(_halves(F.col("length"), F.col("line"))).alias("h"))
-    halves = halves.withColumn("key", F.xxhash64("h.shorter", "h.side", "h.half"))
-    halves = halves.join(sharing, ["name", "key"]).select(
-        "name",
-        "key",
-        (F.col("length") == F.col("h.shorter")).alias("short"),
-        F.when(F.col("h.side") == "front", F.substring("line", F.col("h.size") + 1, F.col("length")))
-        .otherwise(F.substring("line", F.lit(1), F.col("length") - F.col("h.size")))
-        .alias("rest"),
+    halves = texts.select("name", F.char_length("line").alias("length"), "line")
+    halves = halves.select("name", "line", "length", F.posexplode(_halves(F.col("length"), F.col("line"))).alias("side", "key"))
+    halves = halves.join(sharing, ["name", "key"]).withColumn("short", F.col("side") < 2)
+    half = _half(F.col("length") - F.when(F.col("short"), 0).otherwise(1))
+    rest = F.when(F.col("side") % 2 == 0, F.substring("line", half + 1, F.col("length"))).otherwise(
+        F.substring("line", F.lit(1), F.col("length") - half)
     )
+    halves = halves.select("name", "key", "short", rest.alias("rest"))
     size = F.char_length("rest")
     # for replaced characters the place counts (lines of equal length), for inserted ones it does not
     deleted = F.transform(
@@ -86,40 +83,46 @@ def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         lambda i: F.xxhash64(
             "key",
             F.when(F.col("short"), i).otherwise(0),
-            F.concat(F.substring("rest", F.lit(1), i - 1), F.substring("rest", i + 1, size)),
+            F.substring("rest", F.lit(1), i - 1),
+            F.substring("rest", i + 1, size),
         ),
     )
+    # the variants of an inserted character and the line without it are hashed alike: as one string
+    joined = F.transform(
+        F.sequence(F.lit(1), size),
+        lambda i: F.xxhash64("key", F.lit(0), F.concat(F.substring("rest", F.lit(1), i - 1), F.substring("rest", i + 1, size))),
+    )
     itself = F.array(F.xxhash64("key", F.lit(0), "rest"))
-    variants = halves.select("name", "short", F.when(F.col("short"), F.concat(deleted, itself)).otherwise(deleted).alias("variants"))
-    variants = variants.select("name", "short", F.explode(F.array_distinct("variants")).alias("variant"))
+    variants = F.when(F.col("short"), F.concat(deleted, itself)).otherwise(F.array_distinct(joined))
+    variants = halves.select("name", "short", F.explode(variants).alias("variant"))
     met = variants.groupBy("variant").agg(F.min("name").alias("a"), F.max("name").alias("b")).where("a < b").select("variant")
-    met = saved(variants.join(met, "variant").distinct())
-    members = met.join(texts.select("name", "place"), "name")
+    members = saved(variants.join(saved(met), "variant").distinct()).join(texts.select("name", "place"), "name")
     # A replaced character: all members are short. An inserted one: one short line, and longer ones that meet it alone.
-    least = members.groupBy("variant").agg(
-        F.min(F.when(F.col("short"), F.struct("place", "name"))).alias("short_first"),
-        F.min(F.when(~F.col("short"), F.struct("place", "name"))).alias("long_first"),
+    first = members.groupBy("variant").agg(
+        F.min(F.when(F.col("short"), F.col("place"))).alias("short_first"),
+        F.min(F.when(~F.col("short"), F.col("place"))).alias("long_first"),
     )
-    found = members.join(least, "variant")
-    partner = F.when(~F.col("short"), F.col("short_first")).otherwise(F.least("short_first", "long_first"))
-    found = found.select("name", "place", partner.alias("partner")).where(F.col("partner.place") < F.col("place"))
-    found = found.select("name", "place", F.col("partner.name").alias("other"), F.col("partner.place").alias("earlier")).distinct()
+    found = members.join(first, "variant")
+    partner = F.when(F.col("short"), F.least("short_first", "long_first")).otherwise(F.col("short_first"))
+    found = found.select("name", "place", partner.alias("earlier")).where(F.col("earlier") < F.col("place")).distinct()
     found = found.join(texts.select("name", "line"), "name").join(
-        texts.select(F.col("name").alias("other"), F.col("line").alias("other_line")), "other"
+        texts.select(F.col("place").alias("earlier"), F.col("line").alias("other")), "earlier"
     )
-    near = found.where(F.levenshtein("line", "other_line", EDITS) >= 0)
+    near = found.where(F.levenshtein("line", "other", EDITS) >= 0)
     return near.groupBy("name").agg(F.min("earlier").alias("near"))
 
 
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Per row key (md5 of id and text) with removed lines: their numbers from 0, ascending."""
     lines = lines_of(docs)
-    named = lines.select("row", "place", F.md5("line").alias("name"))
-    firsts = named.groupBy("name").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-    firsts = firsts.select("name", F.col("first").alias("near"))
-    earliest = firsts.unionByName(near_lines(lines, min_chars)).groupBy("name").agg(F.min("near").alias("near"))
-    gone = named.join(earliest, "name").where(F.col("near") < F.col("place"))
-    return gone.groupBy("row").agg(F.sort_array(F.collect_set("place.number")).alias("removed"))
+    # equal lines are told apart by 96 bits of hash, lines in the search of near ones by 64 and by their texts
+    named = lines.select("row", "place", F.xxhash64("line").alias("name"), F.crc32("line").alias("check"))
+    firsts = named.groupBy("name", "check").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    near = near_lines(lines, min_chars).withColumnRenamed("name", "near_name")
+    firsts = firsts.join(near, F.col("name") == F.col("near_name"), "left").withColumn("near", F.least("first", "near"))
+    earliest = firsts.where("near < last").select("name", "check", "near")
+    gone = named.join(earliest, ["name", "check"]).where(F.col("near") < F.col("place"))
+    return gone.groupBy("row").agg(F.sort_array(F.collect_set(place_number(F.col("place")))).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
