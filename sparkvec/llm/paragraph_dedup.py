@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkvec.llm.common import SPACE, checked, components, pieces, row_key, saved, utf8
+from sparkvec.llm.common import SPACE, components, pieces, place, place_id, row_key, saved, utf8
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.97
-ROWS = 3
+ROWS = 2
 REACH = 8
 MIN_WORDS = 9
 TILE = 1000
@@ -155,8 +155,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(row_key().alias("row"), "doc_id", "text").where(F.col("text").isNotNull())
     rows = rows.mapInArrow(run, "row string, doc_id long, number long, name long, start long, end long")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "number").alias("place")
-    return rows.select("row", place, "name", "start", "end")
+    return rows.select("row", place(F.col("doc_id"), F.col("number")).alias("place"), "name", "start", "end")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, list]]:
@@ -257,7 +256,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
 
     rows_ = texts.mapInArrow(banded, "bucket long, name long").repartition("bucket").sortWithinPartitions("bucket", "name")
     met = saved(rows_.mapInArrow(crowded, "bucket long, name long, tile int"))
-    wanted = checked(met.select("name").distinct())
+    wanted = met.select("name").distinct()
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,7 +321,7 @@ def digest(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL
         F.count("*").alias("n_shared"),
         F.sum(F.col("removed").cast("long")).alias("n_removed"),
         F.sum(F.when(F.col("removed"), F.col("end") - F.col("start")).otherwise(0)).alias("removed_bytes"),
-        F.sort_array(F.collect_set("first.doc_id")).alias("sources"),
+        F.sort_array(F.collect_set(place_id(F.col("first")))).alias("sources"),
     )
     rows = docs.select("doc_id", row_key().alias("row")).join(found, "row", "left")
     zero = F.lit(0).cast("long")
