@@ -33,9 +33,10 @@ MIN_CHARS = 20
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """One row per line that is not blank: row, place (null ids last), line."""
-    split = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("number", "line")
-    rows = docs.select("doc_id", row_key().alias("row"), split).where(F.trim("line") != "")
-    return rows.select("row", place(F.col("doc_id"), F.col("number")).alias("place"), "line")
+    # a column beside a generator is computed for each row it makes: once a document here
+    rows = docs.select(place(F.col("doc_id"), F.lit(0)).alias("base"), row_key().alias("row"), F.split("text", "\n").alias("parts"))
+    rows = rows.select("base", "row", F.posexplode("parts").alias("number", "line")).where(F.trim("line") != "")
+    return rows.select("row", (F.col("base") + F.col("number").cast("decimal(11,0)")).cast("decimal(38,0)").alias("place"), "line")
 
 
 def _half(shorter: Column) -> Column:
@@ -76,25 +77,17 @@ def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         F.substring("line", F.lit(1), F.col("length") - half)
     )
     halves = halves.select("name", "key", "short", rest.alias("rest"))
-    size = F.char_length("rest")
     # for replaced characters the place counts (lines of equal length), for inserted ones it does not
-    deleted = F.transform(
-        F.sequence(F.lit(1), size),
+    variants = F.transform(
+        F.sequence(F.lit(1), F.char_length("rest")),
         lambda i: F.xxhash64(
             "key",
             F.when(F.col("short"), i).otherwise(0),
-            F.substring("rest", F.lit(1), i - 1),
-            F.substring("rest", i + 1, size),
+            F.concat(F.substring("rest", F.lit(1), i - 1), F.substring("rest", i + 1, F.lit(1 << 30))),
         ),
     )
-    # the variants of an inserted character and the line without it are hashed alike: as one string
-    joined = F.transform(
-        F.sequence(F.lit(1), size),
-        lambda i: F.xxhash64("key", F.lit(0), F.concat(F.substring("rest", F.lit(1), i - 1), F.substring("rest", i + 1, size))),
-    )
-    itself = F.array(F.xxhash64("key", F.lit(0), "rest"))
-    variants = F.when(F.col("short"), F.concat(deleted, itself)).otherwise(F.array_distinct(joined))
-    variants = halves.select("name", "short", F.explode(variants).alias("variant"))
+    itself = F.array(F.when(F.col("short"), F.xxhash64("key", F.lit(0), "rest")))
+    variants = halves.select("name", "short", F.explode(F.concat(variants, itself)).alias("variant")).where("variant IS NOT NULL")
     met = variants.groupBy("variant").agg(F.min("name").alias("a"), F.max("name").alias("b")).where("a < b").select("variant")
     members = saved(variants.join(saved(met), "variant").distinct()).join(texts.select("name", "place"), "name")
     # A replaced character: all members are short. An inserted one: one short line, and longer ones that meet it alone.

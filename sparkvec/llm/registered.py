@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkvec.llm import ann, decontaminate, langid, line_dedup, mixing, paragraph_dedup, quality, sharding, simhash
+from sparkvec.llm import ann, decontaminate, langid, line_dedup, mixing, paragraph_dedup, quality, sharding, simhash, suffix_dedup
 from sparkvec.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def op1_sharding(spark, sf_dir):
     return sharding.assignment(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_decontamination(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
