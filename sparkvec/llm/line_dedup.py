@@ -22,7 +22,7 @@ documents lose the same lines; other columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkvec.llm.common import place, place_number, row_key, saved
@@ -88,8 +88,10 @@ def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
     itself = F.array(F.when(F.col("short"), F.xxhash64("key", F.lit(0), "rest")))
     variants = halves.select("name", "short", F.explode(F.concat(variants, itself)).alias("variant")).where("variant IS NOT NULL")
-    met = variants.groupBy("variant").agg(F.min("name").alias("a"), F.max("name").alias("b")).where("a < b").select("variant")
-    members = saved(variants.join(saved(met), "variant").distinct()).join(texts.select("name", "place"), "name")
+    # a window, so that the variants are made once; each distinct line has a variant once or twice
+    same = Window.partitionBy("variant")
+    met = variants.withColumn("shared", F.min("name").over(same) < F.max("name").over(same)).where("shared").drop("shared")
+    members = saved(met.distinct()).join(texts.select("name", "place"), "name")
     # A replaced character: all members are short. An inserted one: one short line, and longer ones that meet it alone.
     first = members.groupBy("variant").agg(
         F.min(F.when(F.col("short"), F.col("place"))).alias("short_first"),
@@ -131,7 +133,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def digest(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document: ``doc_id``, ``n_lines``, ``n_removed`` and the numbers of the ``removed`` lines."""
-    lines = F.size(F.split("text", "\n"))
+    lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     rows = docs.select("doc_id", row_key().alias("row"), F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long").alias("n_lines"))
     rows = rows.join(removed_lines(docs, min_chars), "row", "left")
     none = F.array().cast("array<int>")
