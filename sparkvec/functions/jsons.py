@@ -42,7 +42,7 @@ def _scalar_matches(document: Column, path: str, values: list) -> Column:
     exact = F.lit(True)
     if any(isinstance(v, int) and abs(v) > 2**53 for v in values):
         # Doubles cannot tell large integers apart.
-        literals = [F.lit(str(v)).cast("decimal(38,0)") for v in values if isinstance(v, int)]
+        literals = [F.lit(str(v)).cast("decimal(38,0)") for v in values]
         exact = text.try_cast("decimal(38,0)").isin(literals)
     return number & exact & (kind != "STRING") & (kind != "BOOLEAN")
 
@@ -57,8 +57,7 @@ def metadata_matches(document: Column, key: str, value) -> Column:
     for item in values:
         if not isinstance(item, (bool, str, int, float)):
             raise ValueError(f"unsupported metadata value for {key!r}: {item!r}")
-        kind = float if isinstance(item, (int, float)) and not isinstance(item, bool) else type(item)
-        groups.setdefault(kind, []).append(item)
+        groups.setdefault(type(item), []).append(item)
     condition = F.lit(False)
     for same_type in groups.values():
         condition = condition | _scalar_matches(document, path, same_type)

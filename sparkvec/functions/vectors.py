@@ -97,7 +97,7 @@ def as_matrix(vectors: pa.Array, dimensions: int) -> tuple[np.ndarray, np.ndarra
     else:
         matrix = np.zeros((len(vectors), dimensions))
         matrix[valid] = present
-    broken = np.isnan(matrix).any(axis=1)
+    broken = ~np.isfinite(matrix).all(axis=1)
     if broken.any():
         valid = valid & ~broken
         matrix[broken] = 0.0

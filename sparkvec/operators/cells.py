@@ -20,7 +20,6 @@ from sparkvec.operators.checks import check_probes
 from sparkvec.operators.knn import BROADCAST_BYTES, batch_topk
 
 MAX_CENTROID_BYTES = 64 << 20
-TRAIN_ROWS_PER_CELL = 1000
 
 
 @dataclass(frozen=True)
@@ -58,20 +57,22 @@ def fit_cells(
     cells: int,
     metric: str = "cosine",
     vector_col: str = "embedding",
-    train_rows_per_cell: int | None = TRAIN_ROWS_PER_CELL,
+    train_rows_per_cell: int | None = None,
     max_iter: int = 10,
     seed: int = 42,
 ) -> CellIndex:
     """Fit cell centres with k-means.
 
-    K-means keeps its training rows in memory, so a large store is fitted on a
-    random share of about ``train_rows_per_cell`` rows per cell (None: on all).
-    That only makes the centres a little coarser: :func:`assign_cells` places
-    every row.
+    All rows train; MLlib keeps them distributed and spills what memory cannot
+    hold. ``train_rows_per_cell`` asks for a random share instead, which makes
+    the centres coarser: :func:`assign_cells` places every row either way.
     """
     check_metric(metric)
     if cells < 2:
         raise ValueError("there must be at least 2 cells")
+    first = store.filter(F.col(vector_col).isNotNull()).select(F.size(vector_col)).head()
+    if first is not None and 8 * cells * first[0] > MAX_CENTROID_BYTES:
+        raise ValueError("the cell centres are too large to ship to every task; use fewer cells")
     vector = F.col(vector_col)
     if metric == "cosine":
         vector = l2_normalize(vector)
@@ -83,8 +84,6 @@ def fit_cells(
     features = rows.select(array_to_vector(vector.cast("array<double>")).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(features)
     centroids = np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
-    if centroids.nbytes > MAX_CENTROID_BYTES:
-        raise ValueError("the cell centres are too large to ship to every task; use fewer cells")
     return CellIndex(centroids, metric)
 
 
@@ -98,7 +97,7 @@ def assign_cells(store: DataFrame, index: CellIndex, vector_col: str = "embeddin
         rows, _ = as_matrix(batch, fitted.centroids.shape[1])
         return pa.array(fitted.nearest_cells(rows, 1)[:, 0])
 
-    return store.withColumn("cell", cell(F.col(vector_col)))
+    return store.withColumn("cell", cell.asNondeterministic()(F.col(vector_col)))
 
 
 def write_cells(store: DataFrame, index: CellIndex, path: str) -> None:

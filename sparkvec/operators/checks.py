@@ -38,9 +38,9 @@ def check_dimensions(dimensions: int) -> int:
     return dimensions
 
 
-def check_top_k(top_k: int, maximum: int = MAX_TOP_K) -> int:
-    if not 1 <= top_k <= maximum:
-        raise ValueError(f"top_k must be in 1..{maximum}, not {top_k}")
+def check_top_k(top_k: int, maximum: int | None = None) -> int:
+    if top_k < 1 or (maximum is not None and top_k > maximum):
+        raise ValueError(f"top_k must be in 1..{maximum or ''}, not {top_k}")
     return top_k
 
 

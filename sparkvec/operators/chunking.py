@@ -31,6 +31,8 @@ def chunk_documents(
     documents in id order, and ``original_doc_index``, the running number of
     the document.
 
+    A NULL text is one row with a NULL ``document_text``, so that it can be seen.
+
     Without ``global_index`` this is a narrow transformation: no shuffle. The
     running numbers cost one shuffle of the documents.
     """
@@ -39,18 +41,23 @@ def chunk_documents(
     source = docs.select(id_col, text_col)
     extra = []
     if global_index:
-        chunks = tx.window_count(F.length(text), chunk_size, overlap, emit_tail)
+        chunks = F.coalesce(tx.window_count(F.length(text), chunk_size, overlap, emit_tail), F.lit(1))
         source = with_running_offsets(
             source, id_col, {"_base": chunks, "original_doc_index": F.lit(1)}
         )
         extra = ["_base", "original_doc_index"]
     step = chunk_size - overlap
-    is_chunk = (F.length(text) > chunk_size) if chunk_size > 0 else F.lit(False)
+    is_chunk = F.coalesce(F.length(text) > chunk_size, F.lit(False)) if chunk_size > 0 else F.lit(False)
     exploded = source.select(
         id_col,
         *extra,
         is_chunk.alias("is_chunk"),
-        F.posexplode(tx.text_windows(text, chunk_size, overlap, emit_tail)).alias(
+        F.posexplode(
+            F.coalesce(
+                tx.text_windows(text, chunk_size, overlap, emit_tail),
+                F.array(F.lit(None).cast("string")),
+            )
+        ).alias(
             "chunk_no", "document_text"
         ),
     )

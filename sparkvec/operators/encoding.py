@@ -118,6 +118,37 @@ def encode_text(
     return encode.asNondeterministic()(tx.encoder_input(text))
 
 
+def try_encode_text(
+    text: Column, encoder_factory: EncoderFactory, batch_size: int = BATCH_SIZE
+) -> Column:
+    """Encode to ``struct<vector, error>``: a text the encoder refuses has an error, the others go on."""
+
+    key = factory_key(encoder_factory)
+
+    @F.arrow_udf("vector array<float>, error string")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = build_once(key, encoder_factory)
+
+        def one(text: str) -> tuple[list[float] | None, str | None]:
+            try:
+                return np.asarray(encoder.encode([text], 1), dtype=np.float32)[0].tolist(), None
+            except Exception as error:  # noqa: BLE001
+                return None, f"{type(error).__name__}: {error}"
+
+        for batch in batches:
+            texts = batch.to_pylist()
+            try:
+                vectors = _as_arrow(encoder.encode(texts, batch_size), len(texts)) if texts else pa.array([], pa.list_(pa.float32()))
+                errors = pa.nulls(len(texts), pa.string())
+            except Exception:  # noqa: BLE001 - the texts are tried one by one to find the refused ones
+                made = [one(text) for text in texts]
+                vectors = pa.array([vector for vector, _ in made], pa.list_(pa.float32()))
+                errors = pa.array([error for _, error in made], pa.string())
+            yield pa.StructArray.from_arrays([vectors, errors], ["vector", "error"])
+
+    return encode.asNondeterministic()(tx.encoder_input(text))
+
+
 def encode_documents(
     df: DataFrame,
     encoder_factory: EncoderFactory,

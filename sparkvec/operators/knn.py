@@ -24,6 +24,8 @@ LIST_BYTES = 24  # one place of a running list
 WINNER_BYTES = 64  # one (query, rank, id, distance) row in a broadcast relation
 PRODUCT_CELLS = 1 << 23  # floats in one (queries x rows) product, 32 MB
 
+SCREEN_NORM = 1e15  # vectors longer than this are not screened in single precision
+
 _PARTIAL = "_q long, id long, distance double"
 _PARTIAL_TYPES = pa.schema([("_q", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())])
 
@@ -84,10 +86,18 @@ class RunningTopK:
         self._offer_undefined(numbers, ids, ids[~defined], skip_own_id)
 
     def _offer(self, numbers, ids, rows, norms, screen, skip_own_id) -> None:
-        product = self.screen[numbers] @ screen.T
+        with np.errstate(over="ignore", invalid="ignore"):
+            product = self.screen[numbers] @ screen.T
+        # beyond the range of single precision the screen says nothing: such pairs are decided in double
+        unsure = ~np.isfinite(product)
+        large = self.metric != "cosine" and max(self.norms[numbers].max(initial=0), norms.max()) > SCREEN_NORM
+        if large:
+            unsure |= (norms > SCREEN_NORM)[None, :] | (self.norms[numbers] > SCREEN_NORM)[:, None]
+        own = np.zeros(product.shape, dtype=bool)
         if skip_own_id is not None:
             _, own_q, own_r = np.intersect1d(skip_own_id[numbers], ids, return_indices=True)
-            product[own_q, own_r] = -np.inf
+            own[own_q, own_r] = True
+        product[unsure | own] = -np.inf
         limit = self.bound[numbers]
         full = (self.count[numbers] >= self.k) & np.isfinite(limit)
         tie = 2 * 10.0**-TIE_DECIMALS
@@ -97,7 +107,7 @@ class RunningTopK:
             slack = np.full(len(numbers), unit_error + tie)
             floor = 1.0 - limit
         else:
-            q_norm, r_norm = self.norms[numbers], norms.max()
+            q_norm, r_norm = self.norms[numbers], norms[norms <= SCREEN_NORM].max(initial=0)
             slack = unit_error * (q_norm + r_norm) * (r_norm + 1e-30) + tie * (q_norm + r_norm + 1)
             with np.errstate(over="ignore"):
                 floor = (q_norm**2 - limit**2) / 2
@@ -107,9 +117,7 @@ class RunningTopK:
             kth = np.partition(product[open_], len(ids) - self.k, axis=1)[:, len(ids) - self.k]
             floor[open_] = kth - 2 * slack[open_]
         floor = np.nextafter(floor.astype(np.float32), np.float32(-np.inf))
-        q, r = np.nonzero(product >= floor[:, None])
-        kept = product[q, r] > -np.inf
-        q, r = q[kept], r[kept]
+        q, r = np.nonzero(((product >= floor[:, None]) | unsure) & ~own)
         exact = np.empty(q.size)
         for start in range(0, q.size, 65536):
             piece = slice(start, start + 65536)

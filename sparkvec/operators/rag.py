@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from sparkvec.functions import text as tx
 from sparkvec.operators.checks import check_top_k
-from sparkvec.operators.encoding import EncoderFactory, build_once, encode_text, factory_key
+from sparkvec.operators.encoding import EncoderFactory, build_once, try_encode_text, factory_key
 from sparkvec.operators.knn import BROADCAST_BYTES, batch_topk
+from sparkvec.session import ensure_checkpoint_dir
 from sparkvec.sources.store import resolve_store
 
 RAG_TOP_K = 3
@@ -54,10 +55,22 @@ def retrieve_context(
     """``qid, rn, id, document_text, metadata, distance`` for every question that is not blank."""
     check_top_k(top_k)
     df, metric = resolve_store(store, metric)
-    asked = questions.filter(~tx.is_blank(F.col(question_col))).select(
+    asked = _encoded(questions, encoder_factory, qid_col, question_col)
+    return _retrieved(df, asked, top_k, metric, broadcast_bytes)
+
+
+def _encoded(questions: DataFrame, encoder_factory: EncoderFactory, qid_col: str, question_col: str) -> DataFrame:
+    """``qid, embedding, error`` of the questions that are not blank, encoded once."""
+    made = questions.filter(~tx.is_blank(F.col(question_col))).select(
         F.col(qid_col).cast("long").alias("qid"),
-        encode_text(F.col(question_col), encoder_factory).alias("embedding"),
+        try_encode_text(F.col(question_col), encoder_factory).alias("_made"),
     )
+    ensure_checkpoint_dir(questions.sparkSession)
+    return made.select("qid", F.col("_made.vector").alias("embedding"), F.col("_made.error").alias("error")).checkpoint()
+
+
+def _retrieved(df: DataFrame, asked: DataFrame, top_k: int, metric: str, broadcast_bytes: int) -> DataFrame:
+    asked = asked.filter(F.col("embedding").isNotNull()).select("qid", "embedding")
     return batch_topk(
         df,
         asked,
@@ -185,15 +198,12 @@ def rag_batch(
     asked = questions.select(
         F.col(qid_col).cast("long").alias("qid"), F.col(question_col).alias("question")
     )
-    retrieved = retrieve_context(
-        store,
-        asked,
-        encoder_factory,
-        top_k=top_k,
-        metric=metric,
-        broadcast_bytes=broadcast_bytes,
-    )
-    joined = asked.join(build_context(retrieved), "qid", "left")
+    check_top_k(top_k)
+    df, metric = resolve_store(store, metric)
+    encoded = _encoded(asked, encoder_factory, "qid", "question")
+    retrieved = _retrieved(df, encoded, top_k, metric, broadcast_bytes)
+    refused = encoded.filter(F.col("error").isNotNull()).select("qid", F.col("error").alias("_refused"))
+    joined = asked.join(build_context(retrieved), "qid", "left").join(refused, "qid", "left")
     prompt = build_prompt(F.col("question"), F.col("context_text"), system_prompt)
     answered = joined.withColumn(
         "_made",
@@ -207,6 +217,7 @@ def rag_batch(
     )
     error = (
         F.when(tx.is_blank(F.col("question")), F.lit(BLANK_QUESTION))
+        .when(F.col("_refused").isNotNull(), F.col("_refused"))
         .when(F.col("context_text").isNull(), F.lit(NO_CONTEXT))
         .otherwise(F.col("_made.error"))
     )

@@ -6,8 +6,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 4096
-
 
 def with_running_offsets(
     df: DataFrame, order_by: str, offsets: dict[str, Column], ranges: int | None = None
@@ -24,7 +22,7 @@ def with_running_offsets(
     window. The rows themselves are shuffled once, by range.
     """
     spark = df.sparkSession
-    wanted = min(ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    wanted = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     inner: list[float] = []
     if wanted > 1:
         steps = [i / wanted for i in range(1, wanted)]

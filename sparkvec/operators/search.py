@@ -112,6 +112,7 @@ def semantic_search(
     Rows beyond ``distance_threshold`` are dropped after the limit; as rows are
     ranked by the filtered value this equals filtering first.
     """
+    check_top_k(top_k, MAX_TOP_K)
     df, metric = resolve_store(store, metric)
     found = nearest(
         df,
@@ -119,7 +120,7 @@ def semantic_search(
         top_k=top_k,
         metric=metric,
         keep=["document_text", "metadata"],
-        late_fetch=isinstance(store, str),
+        late_fetch=isinstance(store, str) and top_k <= MAX_TOP_K,
     )
     if distance_threshold is not None:
         found = found.filter(F.col("distance") <= F.lit(float(distance_threshold)))
@@ -175,7 +176,7 @@ def find_similar_documents(
         top_k=top_k,
         metric=metric,
         keep=["document_text", "metadata"],
-        late_fetch=isinstance(store, str),
+        late_fetch=isinstance(store, str) and top_k <= MAX_TOP_K,
     )
     return found if include_distance else found.drop("distance")
 

@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from sparkvec.operators.rag import DEFAULT_SYSTEM_PROMPT, INSUFFICIENT_CONTEXT_PHRASES
+# Fixed values, written out here so that a wrong constant in the engine shows.
+DEFAULT_SYSTEM_PROMPT = (
+    "You are a helpful AI assistant. Answer the question based on the provided context. "
+    "If the context doesn't contain enough information to answer the question, say so clearly. "
+    "Be concise and accurate in your response."
+)
+INSUFFICIENT_CONTEXT_PHRASES = [
+    "don't have enough information",
+    "context doesn't contain",
+    "cannot answer",
+    "insufficient information",
+    "not enough context",
+]
 
 DIM = 64
 SPACE = r"\s+"
@@ -15,7 +27,9 @@ STORE = """store AS (
 
 EMBEDDED = f"""{STORE},
 embedded AS (
-  SELECT s.*, e.embedding::DOUBLE[] AS vec FROM store s JOIN embeddings e ON e.vec_id = s.id)"""
+  SELECT e.vec_id AS id, coalesce(s.document_text, '') AS document_text, coalesce(s.metadata, '{{}}') AS metadata,
+         s.created_at, e.embedding::DOUBLE[] AS vec
+  FROM embeddings e LEFT JOIN store s ON e.vec_id = s.id)"""
 
 FIRST = "first_item AS (SELECT text FROM benchmark ORDER BY item_id LIMIT 1)"
 
@@ -137,8 +151,9 @@ TAIL_COUNT = "ceil(length(text) / {step})"
 CLEAN = "trim(regexp_replace(replace({c}, chr(0), ''), '" + SPACE + "', ' ', 'g'))"
 
 BLANKED = """blanked AS (
-  SELECT conv_id * 100000 + turn AS doc_id, CASE WHEN role = 'assistant' THEN ' ' ELSE text END AS text
-  FROM conversations)"""
+  SELECT conv_id * 2097152 + turn * 2 AS doc_id, text FROM conversations
+  UNION ALL
+  SELECT conv_id * 2097152 + turn * 2 + 1, ' ' FROM conversations WHERE role = 'assistant')"""
 
 WORDS = (
     "list_distinct(list_filter(string_split(regexp_replace(lower({c}), '"
@@ -187,7 +202,14 @@ FROM embedded e JOIN dv v USING (id)""",
     "semantic_topk_distance": semantic(
         "cosine", 10, "id, document_text, metadata, round(d, 6) AS distance"
     ),
-    "semantic_threshold": semantic("cosine", 100, "id, document_text, metadata", "WHERE d <= 0.6"),
+    "drop_table": f"""WITH {EMBEDDED}
+SELECT id, document_text, true AS dropped, false AS left_over, true AS other_listed FROM embedded""",
+    "execute_command": f"""WITH {EMBEDDED}
+SELECT id, document_text, (SELECT count(*) FROM embedded) AS affected FROM embedded""",
+    "insert_twice": f"""WITH {EMBEDDED}
+SELECT id, metadata, true AS refused, true AS stamped FROM embedded""",
+    "read_documents": "SELECT doc_id, text FROM documents",
+    "semantic_threshold": semantic("cosine", 100, "id, document_text, metadata", "WHERE d <= 0.55"),
     "semantic_metric_override": semantic(
         "euclidean", 10, "id, document_text, metadata, round(d, 6) AS distance"
     ),
@@ -302,7 +324,7 @@ SELECT id, document_text, metadata FROM embedded WHERE id = 7""",
     "delete_records": f"""WITH {EMBEDDED}
 SELECT id, document_text, metadata,
   (SELECT count(*) FROM embedded WHERE json_extract_string(metadata, '$.lang') = 'en') AS deleted
-FROM embedded WHERE json_extract_string(metadata, '$.lang') <> 'en'""",
+FROM embedded WHERE json_extract_string(metadata, '$.lang') IS DISTINCT FROM 'en'""",
     "update_metadata": f"""WITH {EMBEDDED}
 SELECT e.id, e.document_text, CASE WHEN e.id = 7 THEN '{{"reviewed": true}}'
   WHEN l.doc_id IS NOT NULL THEN '{{"quality":' || l.quality || ',"toxic":' || l.toxic || '}}'

@@ -16,6 +16,7 @@ from sparkvec.operators.knn import batch_topk
 from sparkvec.plans.embed import embed_table
 from sparkvec.session import shared_dir
 from sparkvec.sources import sample
+from sparkvec.sources.documents import read_documents as read_json_documents
 from sparkvec.sources import store as st
 from sparkvec.streaming.ingest import document_stream, embed_stream
 
@@ -108,7 +109,7 @@ def adhoc_similarity(spark, sf_dir):
 @query
 def vector_distances(spark, sf_dir):
     """Distances of every stored vector to the hash vector of its document."""
-    stored = sample.embedding_store(spark, sf_dir)
+    stored = sample.embedding_store(spark, sf_dir).filter("metadata <> '{}'")  # those with a document
     both = encode_documents(stored, sample.ENCODER, output="other")
     return both.select(
         "id",
@@ -158,7 +159,7 @@ def semantic_threshold(spark, sf_dir):
         sample.first_benchmark_text(spark, sf_dir),
         top_k=100,
         encoder_factory=sample.ENCODER,
-        distance_threshold=0.6,
+        distance_threshold=0.55,
     )
 
 
@@ -300,11 +301,11 @@ def preview_text(spark, sf_dir):
 
 
 def _partly_blank(spark, sf_dir):
-    """Conversations with the assistant's turns blanked out."""
-    blank = F.when(F.col("role") == "assistant", F.lit(" \n\t ")).otherwise(F.col("text"))
-    return sample.read(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 100000 + F.col("turn")).alias("doc_id"), blank.alias("text")
-    )
+    """All turns of the conversations, and a blank row beside each of the assistant's."""
+    turns = sample.read(spark, sf_dir, "conversations")
+    place = F.shiftleft("conv_id", 21) + F.col("turn") * 2
+    blanks = turns.filter("role = 'assistant'").select((place + 1).alias("doc_id"), F.lit(" \n\t ").alias("text"))
+    return turns.select(place.alias("doc_id"), "text").unionByName(blanks)
 
 
 @query
@@ -496,6 +497,49 @@ def embed_documents_stream(spark, sf_dir):
     )
 
 
+@query
+def drop_table(spark, sf_dir):
+    """Two stores; one is dropped, the other keeps its rows."""
+    kept, gone = _filled_table(spark, sf_dir, "kept"), _filled_table(spark, sf_dir, "gone")
+    dropped = st.drop_table(spark, gone)
+    return spark.table(kept).select(
+        "id",
+        "document_text",
+        F.lit(dropped).alias("dropped"),
+        F.lit(st.table_exists(spark, gone)).alias("left_over"),
+        F.lit(kept in st.list_tables(spark)).alias("other_listed"),
+    )
+
+
+@query
+def execute_command(spark, sf_dir):
+    """A store filled from another by an INSERT statement, and the rows it reports."""
+    source, target = _filled_table(spark, sf_dir, "command_source"), _new_table(spark, "command")
+    affected = st.execute_command(spark, f"INSERT INTO {target} SELECT * FROM {source}")
+    return spark.table(target).select("id", "document_text", F.lit(affected).cast("long").alias("affected"))
+
+
+@query
+def insert_twice(spark, sf_dir):
+    """The same ids a second time are refused, and the table stays as it was."""
+    table = _filled_table(spark, sf_dir, "twice")
+    try:
+        st.insert_embeddings(spark, table, sample.embedding_store(spark, sf_dir).drop("created_at"))
+        refused = False
+    except ValueError:
+        refused = True
+    stamped = F.col("created_at").isNotNull() & (F.col("created_at") == F.col("updated_at"))
+    return spark.table(table).select("id", "metadata", F.lit(refused).alias("refused"), stamped.alias("stamped"))
+
+
+@query
+def read_documents(spark, sf_dir):
+    """All documents written as JSON lines and read again."""
+    path = f"{shared_dir(spark)}/sparkvec_sources/{uuid.uuid4().hex}"
+    sample.read(spark, sf_dir, "documents").select("doc_id", "text").write.json(path)
+    return read_json_documents(spark, path, source_format="json", schema="doc_id long, text string")
+
+
 @query
 def table_info(spark, sf_dir):
     table = _filled_table(spark, sf_dir, "info")

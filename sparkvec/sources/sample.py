@@ -12,13 +12,8 @@ DIMENSIONS = 64
 ENCODER = HashEncoderFactory(DIMENSIONS)
 
 
-# Tables with long texts or vectors, by their key.
-HEAVY = {"documents": "doc_id", "embeddings": "vec_id", "pages": "page_id"}
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return spread(df, HEAVY[table]) if table in HEAVY else df
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,14 +28,20 @@ def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, encoded by the offline encoder."""
-    return encode_documents(document_rows(spark, sf_dir), ENCODER)
+    """All documents, encoded by the offline encoder; a small file is spread over the cores for it."""
+    return encode_documents(spread(document_rows(spark, sf_dir), "id"), ENCODER)
 
 
 def embedding_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All given vectors that belong to a document, with that document's text."""
+    """All given vectors, each with the text of its document; an empty text where there is none."""
     vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return document_rows(spark, sf_dir).join(vectors, "id")
+    rows = vectors.join(document_rows(spark, sf_dir), "id", "left")
+    return rows.withColumns(
+        {
+            "document_text": F.coalesce("document_text", F.lit("")),
+            "metadata": F.coalesce("metadata", F.lit("{}")),
+        }
+    )
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ rows, and a failed job leaves the table as it was. One writer at a time.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ SCHEMA = (
 COLUMNS = ["id", "document_text", "metadata", "embedding", "created_at", "updated_at"]
 PREVIEW_ROWS, PREVIEW_LENGTH = 5, 100
 ROWS_PER_FILE = 250_000
+_INSERT = re.compile(r"\s*insert\s+(?P<kind>into|overwrite)\s+(?:table\s+)?(?P<table>[\w.`]+)", re.IGNORECASE)
 
 
 @dataclass(frozen=True)
@@ -79,7 +81,8 @@ def create_vector_store(spark: SparkSession, config: VectorStoreConfig) -> dict:
         drop_table(spark, config.table)
     metric = check_metric(config.distance)
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    base = f"{(config.location or warehouse).rstrip('/')}/{config.table}"
+    base = f"{(config.location or warehouse).rstrip('/')}/{config.table}-{uuid.uuid4().hex}"
+    # the folder is this table's alone, whatever other databases call theirs
     spark.sql(
         f"CREATE TABLE {config.table} ({SCHEMA}) USING parquet "
         f"LOCATION '{base}/{uuid.uuid4().hex}' "
@@ -204,7 +207,14 @@ def execute_query(spark: SparkSession, sql: str, params: list | dict | None = No
 
 
 def execute_command(spark: SparkSession, sql: str, params: list | dict | None = None) -> int:
-    """A parameterised DDL or INSERT statement; the number of rows it reports, else 0."""
+    """A parameterised DDL or INSERT statement; the number of rows it writes, else 0."""
+    into = _INSERT.match(sql)
+    if into:
+        table, append = into["table"], into["kind"].lower() == "into"
+        before = spark.table(table).count() if append else 0
+        execute_query(spark, sql, params)
+        spark.catalog.refreshTable(table)
+        return spark.table(table).count() - before
     row = execute_query(spark, sql, params).head()
     return row.asDict().get("num_affected_rows", 0) if row else 0
 
@@ -218,7 +228,7 @@ def _checked_rows(df: DataFrame, dimensions: int) -> DataFrame:
     bad_vector = (
         vector.isNull()
         | (F.size(vector) != dimensions)
-        | F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+        | F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     )
     vector_error = F.raise_error(
         F.concat(F.lit(f"embedding of row is not {dimensions} numbers; id="), F.col("id"))
@@ -237,7 +247,7 @@ def _checked_rows(df: DataFrame, dimensions: int) -> DataFrame:
 
 
 def next_id(spark: SparkSession, table: str) -> int:
-    """One more than the largest id; read from Parquet footers, not from the rows."""
+    """One more than the largest id; a scan of the id column."""
     largest = spark.table(table).agg(F.max("id")).head()[0]
     return 0 if largest is None else largest + 1
 
@@ -257,13 +267,28 @@ def with_new_ids(
     return numbered.withColumn("id", F.lit(first) + F.col("_number")).drop("_number")
 
 
+def refuse_repeated_ids(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Raise if an id of ``rows`` occurs twice, there or together with the table's."""
+    ids = rows.select(F.col("id").cast("long").alias("id")).unionByName(spark.table(table).select("id"))
+    twice = ids.groupBy("id").count().filter("count > 1").select("id").head()
+    if twice is not None:
+        raise ValueError(f"id {twice['id']} would stand twice in {table!r}")
+
+
 def insert_embeddings(
-    spark: SparkSession, table: str, rows: DataFrame, *, order_by: str | None = None
+    spark: SparkSession,
+    table: str,
+    rows: DataFrame,
+    *,
+    order_by: str | None = None,
+    check_ids: bool = True,
 ) -> int:
     """Append rows with ``document_text`` and ``embedding``; returns how many.
 
     Optional columns: ``metadata`` (JSON text, ``{}`` by default), ``id``,
-    ``created_at``. One write job: all rows appear, or none.
+    ``created_at``. One write job: all rows appear, or none. Given ids must be
+    new and distinct; that is checked first, over the ids alone, unless the
+    caller knows it (``check_ids=False``).
     """
     _require(spark, table)
     config = vector_config(spark, table)
@@ -276,6 +301,8 @@ def insert_embeddings(
         rows = rows.withColumn("metadata", F.lit("{}"))
     if "id" not in rows.columns:
         rows = with_new_ids(spark, table, rows, order_by)
+    elif check_ids:
+        refuse_repeated_ids(spark, table, rows)
     if "created_at" not in rows.columns:
         rows = rows.withColumn("created_at", F.current_timestamp())
     if "updated_at" not in rows.columns:
@@ -330,10 +357,11 @@ def delete_records(
     flagged = spark.sql(
         f"SELECT *, coalesce({condition}, false) AS _gone FROM {table}", args=params or {}
     )
-    removed = flagged.agg(F.count_if("_gone")).head()[0]
-    if removed:
-        _publish(spark, table, flagged.filter(~F.col("_gone")))
-    return removed
+    # counted where the rows are dropped, so that the condition is evaluated once
+    counted = Observation()
+    flagged = flagged.observe(counted, F.count_if("_gone").alias("gone"))
+    _publish(spark, table, flagged.filter(~F.col("_gone")))
+    return counted.get["gone"]
 
 
 def update_metadata(spark: SparkSession, table: str, record_id: int, metadata: dict) -> bool:
@@ -355,12 +383,17 @@ def update_metadata(spark: SparkSession, table: str, record_id: int, metadata: d
 
 
 def update_metadata_bulk(spark: SparkSession, table: str, updates: DataFrame) -> int:
-    """Replace metadata for many rows: ``updates(id, metadata)``, ids unique; returns how many."""
+    """Replace metadata for many rows: ``updates(id, metadata)``; returns how many.
+
+    An id that occurs twice in the updates fails the job, and the table stays as it was.
+    """
     _require(spark, table)
-    new = updates.select(
-        F.col("id").cast("long").alias("id"),
-        F.struct(F.col("metadata").alias("value")).alias("_new"),
+    repeated = F.raise_error(F.concat(F.lit("two updates for id "), F.col("id").cast("string")))
+    new = updates.groupBy(F.col("id").cast("long").alias("id")).agg(
+        F.count(F.lit(1)).alias("_times"), F.any_value("metadata").alias("_value")
     )
+    value = F.when(F.col("_times") > 1, repeated.cast("string")).otherwise(F.col("_value"))
+    new = new.select("id", F.struct(value.alias("value")).alias("_new"))
     joined = spark.table(table).join(new, "id", "left")
     hit = F.col("_new").isNotNull()
     rows = joined.withColumn(

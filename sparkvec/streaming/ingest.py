@@ -37,12 +37,31 @@ def document_stream(
     return reader.load(path).select("doc_id", "text")
 
 
+def reject_stream(
+    docs: DataFrame, *, output_path: str, checkpoint_path: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write the documents that cannot be embedded: ``doc_id``, ``text`` and the ``reason``."""
+    text = F.col("text")
+    reason = F.when(text.isNull(), F.lit("not a string")).otherwise(F.lit("empty"))
+    return (
+        docs.filter(text.isNull() | tx.is_blank(text))
+        .select("doc_id", "text", reason.alias("reason"))
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", output_path)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def embed_stream(
     docs: DataFrame,
     encoder_factory: EncoderFactory,
     *,
     output_path: str,
     checkpoint_path: str,
+    rejects_path: str | None = None,
     chunk_size: int = CHUNK_SIZE,
     overlap: int = OVERLAP,
     batch_size: int = BATCH_SIZE,
@@ -50,9 +69,20 @@ def embed_stream(
 ) -> StreamingQuery:
     """Start the query; by default it works off what is there and stops.
 
-    Blank documents have nothing to embed and are left out here, as a stream
-    cannot reject the whole input. Both paths must be on shared storage.
+    Blank documents have nothing to embed. A stream cannot reject the whole
+    input, so they go to ``rejects_path`` with the reason (by default a folder
+    beside the output), in a stream of their own that stops first. All paths
+    must be on shared storage.
     """
+    trigger = trigger or {"availableNow": True}
+    rejects = reject_stream(
+        docs,
+        output_path=rejects_path or f"{output_path.rstrip('/')}-rejects",
+        checkpoint_path=f"{checkpoint_path.rstrip('/')}-rejects",
+        trigger=trigger,
+    )
+    if "availableNow" in trigger or "once" in trigger:
+        rejects.awaitTermination()
     rows = embed_documents(
         docs.filter(~tx.is_blank(F.col("text"))),
         encoder_factory,
@@ -76,6 +106,6 @@ def embed_stream(
         .outputMode("append")
         .option("path", output_path)
         .option("checkpointLocation", checkpoint_path)
-        .trigger(**(trigger or {"availableNow": True}))
+        .trigger(**trigger)
         .start()
     )

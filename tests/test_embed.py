@@ -77,8 +77,9 @@ def test_embed_table(spark, dense):
     bad = documents_from_list(spark, ["a", " ", None])
     with pytest.raises(ValueError, match="doc_id=1: empty"):
         embed_table(spark, bad, "embedded", ENCODER, validate_first=True)
+    later = bad.withColumn("doc_id", F.col("doc_id") + 100)
     with pytest.raises(Exception, match="invalid document"):
-        embed_table(spark, bad, "embedded", ENCODER, dense_ids=dense)
+        embed_table(spark, later, "embedded", ENCODER, dense_ids=dense)
     with pytest.raises(ValueError, match="no documents"):
         embed_table(spark, bad.filter("false"), "embedded", ENCODER, dense_ids=dense)
     assert spark.table("embedded").count() == before

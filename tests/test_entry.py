@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from tools.check_oracles import compare, connect
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+LLM = entry.llm.QUERIES.keys() | {"pipeline"} if entry.llm else set()
+QUERIES = {name: query for name, query in entry.queries().items() if name not in LLM}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name not in LLM}
 
 
 @pytest.fixture(scope="module")
