@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkvec.llm import ann, decontaminate, langid, line_dedup, mixing, paragraph_dedup, quality, sharding, simhash, suffix_dedup
+from sparkvec.llm import ann, decontaminate, langid, line_dedup, mixing, oracles, paragraph_dedup, quality, sharding, simhash, suffix_dedup
 from sparkvec.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
+    "op1_sharding": oracles.SHARDING,
+    "op2_suffix_array_dedup": oracles.SUFFIX_DEDUP,
     "op3_decontamination": decontaminate.ORACLE,
+    "op5_ann_hilbert": oracles.ANN,
     "op6_mixing": mixing.ORACLE,
+    "op7_line_dedup": oracles.LINE_DEDUP,
 }
 
 
