@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkvec.llm.common import before, saved
+from sparkvec.llm.common import before, checked, saved
 
 WEIGHTS = (5, 2, 1)
 PASSES = 2
@@ -78,7 +78,8 @@ def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     rows = saved(rows)
     weighed = targets(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights)
     weighed = saved(weighed)
-    rows = rows.join(weighed.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    # without a shuffle by source, of which one may hold a third of all rows
+    rows = rows.join(checked(weighed.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     buckets = _buckets(rows.count())
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("bucket", F.shiftright(place * buckets, 32))
