@@ -191,6 +191,9 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     chosen = chosen.distinct().withColumnsRenamed({"doc_id": "t_id", "lang": "t_lang"})
     same = F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("lang") == F.col("t_lang"))
     rows = docs.select("doc_id", "lang", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), same, "left_semi")
+    # an id may stand in very many rows: the bound holds for rows too, again in every task first
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.md5("text"))
+    rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_rows).drop("rank")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,12 +215,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
             langs += batch["lang"].to_pylist()
             found, share = batch["found"], batch["share"]
             pairs += [(found[i].values.to_numpy(), share[i].values.to_numpy().astype(float)) for i in range(len(found))]
-        order, seen = [], dict.fromkeys(langs, 0)
         key = lambda i: (ids[i] is None, ids[i] or 0, langs[i], len(pairs[i][0]))
-        for i in sorted(range(len(ids)), key=key):
-            seen[langs[i]] += 1
-            if seen[langs[i]] <= sample_rows and len(pairs[i][0]):
-                order.append(i)
+        order = [i for i in sorted(range(len(ids)), key=key) if len(pairs[i][0])]
         model = train([pairs[i] for i in order], [langs[i] for i in order])
         yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 

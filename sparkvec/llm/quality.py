@@ -7,8 +7,9 @@ numpy, on at most ``SAMPLE_ROWS`` labelled rows (those of least hash), in one ta
 outputs is one number per bucket, so a text needs one look-up per feature.
 
 Defined results: null and empty texts score what the model says of no features;
-repeated rows score alike; a label counts once per row of ``labels``; rows with a
-null id or label are never learned from; with no learnable row, or one class
+repeated rows score alike; equal labels of an id count once, and of rows that share
+an id the one of least md5 is learned from (nulls first); rows with a null id or
+label are never learned from; with no learnable row, or one class
 only, every score is the share of label 1 (0.5 without labels); only ``doc_id``
 and ``text`` are read.
 """
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkvec.llm.common import SPACE, id_remainder, pieces, utf8
@@ -164,6 +165,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows)
     # at most sample_rows ids and labels: a proven bound
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # an id may stand in very many rows: Spark keeps the first of each in every task before it shuffles
+    first = Window.partitionBy("doc_id", "quality").orderBy(F.md5("text"))
+    rows = rows.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,8 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
             labels += batch["quality"].to_pylist()
             found, share = batch["found"], batch["share"]
             pairs += [(found[i].values.to_numpy(), share[i].values.to_numpy()) for i in range(len(found))]
-        # a sampled id may stand in several rows of the documents: the bound holds for rows too
-        order = sorted(range(len(ids)), key=lambda i: (ids[i], labels[i], len(pairs[i][0])))[:sample_rows]
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], labels[i]))
         model = train([pairs[i] for i in order], np.array([labels[i] for i in order]))
         yield pa.record_batch([pa.array([model.weights.tobytes()]), pa.array([model.bias])], names=["weights", "bias"])
 

@@ -172,6 +172,9 @@ def test_quality(spark, odd, odd_rows, empty):
     assert kept.columns == docs.columns and kept.count() == sum(q for _, q, _ in marks)
     assert quality.classify(empty, labels).collect() == []
     assert {r.score for r in quality.classify(docs, labels.limit(0)).collect()} == {0.5}
+    # many rows of one id teach as much as one
+    again = {r.doc_id: r.score for r in quality.classify(docs.unionByName(docs).repartition(5), labels).collect()}
+    assert again == {d: r.score for d, r in got.items()}
 
 
 # --- 5 nearest neighbours
@@ -329,6 +332,11 @@ def test_languages(spark, odd, odd_rows, empty):
     assert all(r.lang_pred == "und" for r in mixed if r.doc_id in (100, 101, 102, 108))
     assert langid.identify(empty).collect() == []
     assert {r.lang_pred for r in langid.identify(docs.where("lang = 'de'")).collect()} == {"de"}
+    # rows that share an id, or have none, take no more than their language's part of the sample
+    hot = docs.where("doc_id = 1000").select(F.lit(None).cast("long").alias("doc_id"), "text", "lang", "source", "n_chars", F.explode(F.sequence(F.lit(1), F.lit(3000))))
+    got = langid.identify(docs.unionByName(hot.drop("col")), sample_rows=30).where("doc_id IS NOT NULL").collect()
+    right = [r.lang_pred == list(words)[(r.doc_id - 1000) % 4] for r in got if r.held_out]
+    assert len(got) == len(rows) and sum(right) / len(right) > 0.9
 
 
 # --- 10 simhash
