@@ -1,4 +1,4 @@
-"""Approximate top-k: the store is split into k-means cells and a query reads a few of them.
+"""Approximate top-k: the store is split into cells, by k-means or around given vectors, and a query reads a few of them.
 
 More probes mean better recall; probing every cell is the exact search. Rows of
 all cells are kept, only the search is restricted.
@@ -51,6 +51,13 @@ class CellIndex:
         return out
 
 
+def _check_size(store: DataFrame, cells: int, vector_col: str) -> None:
+    """Refuse centres that are too large for every task, before any work on them."""
+    first = store.filter(F.col(vector_col).isNotNull()).select(F.size(vector_col)).head()
+    if first is not None and 8 * cells * first[0] > MAX_CENTROID_BYTES:
+        raise ValueError("the cell centres are too large to ship to every task; use fewer cells")
+
+
 def fit_cells(
     store: DataFrame,
     *,
@@ -70,9 +77,7 @@ def fit_cells(
     check_metric(metric)
     if cells < 2:
         raise ValueError("there must be at least 2 cells")
-    first = store.filter(F.col(vector_col).isNotNull()).select(F.size(vector_col)).head()
-    if first is not None and 8 * cells * first[0] > MAX_CENTROID_BYTES:
-        raise ValueError("the cell centres are too large to ship to every task; use fewer cells")
+    _check_size(store, cells, vector_col)
     vector = F.col(vector_col)
     if metric == "cosine":
         vector = l2_normalize(vector)
@@ -87,6 +92,26 @@ def fit_cells(
     return CellIndex(centroids, metric)
 
 
+def given_cells(
+    store: DataFrame, *, cells: int, metric: str = "cosine", id_col: str = "id", vector_col: str = "embedding"
+) -> CellIndex:
+    """Cells around stored vectors: those whose ids have the least md5, one pass and no training.
+
+    Coarser than :func:`fit_cells`, but the same on every engine and every run.
+    """
+    check_metric(metric)
+    if cells < 2:
+        raise ValueError("there must be at least 2 cells")
+    _check_size(store, cells, vector_col)
+    rows = store.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).alias("vector"))
+    rows = rows.filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
+    rows = rows.orderBy(F.md5("id"), "id").limit(cells).toArrow()["vector"].combine_chunks()
+    if not len(rows):
+        raise ValueError("there are no vectors to make cells of")
+    centres, _ = as_matrix(rows, len(rows[0]))
+    return CellIndex(CellIndex(centres, metric)._prepared(centres), metric)
+
+
 def assign_cells(store: DataFrame, index: CellIndex, vector_col: str = "embedding") -> DataFrame:
     """Add the ``cell`` of every row: one pass, no shuffle."""
     shared = store.sparkSession.sparkContext.broadcast(index)

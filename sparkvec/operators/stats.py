@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkvec.operators.encoding import EncoderFactory
@@ -24,16 +24,16 @@ def metadata_fields(store: DataFrame | str, sample_rows: int | None = None) -> D
     return rows.select(F.explode(keys).alias("field")).distinct().orderBy("field")
 
 
-def _field_list(store: DataFrame, limit: int):
-    """The sorted keys as one array; more than ``limit`` of them is an error, not a cut."""
-    fields = metadata_fields(store).limit(limit + 1)
-    collected = fields.agg(F.array_sort(F.collect_list("field")).alias("all"))
-    too_many = F.raise_error(
-        F.lit(f"more than {limit} metadata fields; read them with metadata_fields()")
-    )
-    return collected.select(
-        F.when(F.size("all") > limit, too_many.cast("array<string>")).otherwise(F.col("all"))
-    ).scalar()
+def _fields(store: DataFrame, limit: int) -> list[Column]:
+    """The number of keys, and the sorted keys as one array, or NULL if there are more than ``limit``.
+
+    Both are subqueries over one shuffle of distinct keys, which Spark reuses.
+    """
+    fields = metadata_fields(store)
+    some = fields.limit(limit + 1).agg(F.array_sort(F.collect_list("field")).alias("all"))
+    listed = some.select(F.when(F.size("all") <= limit, F.col("all")))
+    number = fields.agg(F.count(F.lit(1)))
+    return [number.scalar().alias("metadata_field_count"), listed.scalar().alias("metadata_fields")]
 
 
 def search_statistics(
@@ -41,7 +41,8 @@ def search_statistics(
 ) -> DataFrame:
     """One row: count, mean text length, oldest and newest row, metadata keys, metric name.
 
-    An empty store gives 0, 0, NULL, NULL. The metric is ``unknown`` for a
+    More than ``field_limit`` keys are counted but not listed in this one row (NULL):
+    :func:`metadata_fields` has them as rows. An empty store gives 0, 0, NULL, NULL. The metric is ``unknown`` for a
     DataFrame without a table behind it.
     """
     known = table_config or (store_metric(store) if isinstance(store, str) else None)
@@ -53,7 +54,7 @@ def search_statistics(
         F.max("created_at").alias("newest_document"),
     ).select(
         "*",
-        _field_list(df, field_limit).alias("metadata_fields"),
+        *_fields(df, field_limit),
         F.lit(known or "unknown").alias("table_config"),
     )
 
@@ -73,6 +74,7 @@ def rag_statistics(
         F.lit(table or (store if isinstance(store, str) else None)).cast("string").alias("table"),
         "total_documents",
         F.col("avg_text_length").alias("avg_document_length"),
+        "metadata_field_count",
         "metadata_fields",
         F.col("table_config").alias("distance_metric"),
         F.lit(embedding_model).cast("string").alias("embedding_model"),

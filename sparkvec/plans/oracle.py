@@ -81,6 +81,25 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(d, 9), i
 SELECT qid, rn, id, round(d, 6) AS distance FROM ranked WHERE rn <= 10"""
 
 
+def probed_topk(cells: int, probes: int) -> str:
+    """Cosine neighbours within the cells around the vectors of least md5."""
+    formula = COSINE.format(a="q.vec", b="e.vec")
+    return f"""WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vec FROM embeddings),
+u AS (SELECT id, list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) AS unit FROM v),
+centres AS (
+  SELECT unit AS centre, row_number() OVER (ORDER BY md5(id::VARCHAR), id::VARCHAR) AS cell
+  FROM u QUALIFY cell <= {cells}),
+near AS (
+  SELECT id, cell, row_number() OVER (PARTITION BY id ORDER BY -list_dot_product(unit, centre), cell) AS place
+  FROM u, centres),
+pairs AS (
+  SELECT q.id AS qid, e.id, {formula} AS d
+  FROM v q JOIN near a ON a.id = q.id AND a.place <= {probes}
+  JOIN near b ON b.cell = a.cell AND b.place = 1 JOIN v e ON e.id = b.id AND e.id <> q.id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(d, 9), id) AS rn FROM pairs)
+SELECT qid, rn, id, round(d, 6) AS distance FROM ranked WHERE rn <= 10"""
+
+
 def semantic(metric: str, limit: int, columns: str, having: str = "") -> str:
     formula = (COSINE if metric == "cosine" else EUCLID).format(a="v.vec", b="o.vec")
     return f"""WITH {STORE}, {DOC_VECTORS}, {FIRST_VECTOR},
@@ -184,6 +203,7 @@ ORACLES: dict[str, str] = {
     "similar_documents_all": self_topk("cosine"),
     "similar_documents_all_blocked": self_topk("euclidean"),
     "ann_topk_all_cells": self_topk("cosine"),
+    "ann_topk_given_cells": probed_topk(8, 3),
     "table_search": similar(
         "cosine", True, "id, document_text, metadata, round(d, 6) AS distance"
     ),
@@ -299,6 +319,7 @@ FROM sets""",
     "search_stats": f"""WITH {STORE}
 SELECT count(*) AS total_documents, round(avg(length(document_text)), 6) AS avg_text_length,
   min(created_at) AS oldest_document, max(created_at) AS newest_document,
+  (SELECT count(*) FROM (SELECT DISTINCT unnest(json_keys(metadata)) AS f FROM store)) AS metadata_field_count,
   (SELECT string_agg(f, ',' ORDER BY f) FROM (SELECT DISTINCT unnest(json_keys(metadata)) AS f FROM store)) AS metadata_fields,
   'unknown' AS table_config FROM store""",
     "metadata_fields": f"""WITH {STORE}
@@ -306,6 +327,7 @@ SELECT DISTINCT unnest(json_keys(metadata)) AS field
 FROM (SELECT metadata FROM store UNION ALL SELECT props FROM events)""",
     "rag_stats": f"""WITH {STORE}
 SELECT 'documents' AS "table", count(*) AS total_documents, round(avg(length(document_text)), 6) AS avg_document_length,
+  (SELECT count(*) FROM (SELECT DISTINCT unnest(json_keys(metadata)) AS f FROM store)) AS metadata_field_count,
   (SELECT string_agg(f, ',' ORDER BY f) FROM (SELECT DISTINCT unnest(json_keys(metadata)) AS f FROM store)) AS metadata_fields,
   'cosine' AS distance_metric, 'hash' AS embedding_model, {DIM}::INTEGER AS embedding_dimension FROM store""",
     "insert_embeddings": f"""WITH {EMBEDDED}

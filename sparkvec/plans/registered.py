@@ -255,6 +255,24 @@ def ann_topk(spark, sf_dir):
     return _rounded(found, "distance")
 
 
+@query
+def ann_topk_given_cells(spark, sf_dir):
+    """The same over cells around given vectors, written and read back, of which a query probes 3."""
+    vectors = sample.read(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id")
+    index = cells.given_cells(vectors, cells=8)
+    path = f"{shared_dir(spark)}/sparkvec_cells/{uuid.uuid4().hex}"
+    cells.write_cells(vectors, index, path)
+    found = cells.approximate_topk(
+        cells.read_cells(spark, path),
+        vectors.withColumnRenamed("id", "qid"),
+        index,
+        probes=3,
+        top_k=TOP_K,
+        exclude_same_id=True,
+    )
+    return _rounded(found, "distance")
+
+
 # --- text preparation --------------------------------------------------------
 
 

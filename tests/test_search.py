@@ -179,8 +179,9 @@ def test_statistics(store):
     empty = ss.search_statistics(store.filter("false")).head()
     assert tuple(empty)[:4] == (0, 0.0, None, None) and empty.metadata_fields == []
     assert [r.field for r in ss.metadata_fields(store).collect()] == got.metadata_fields
-    with pytest.raises(Exception, match="more than 2"):
-        ss.search_statistics(store, field_limit=2).collect()
+    assert got.metadata_field_count == 5 and empty.metadata_field_count == 0
+    many = ss.search_statistics(store, field_limit=4).head()
+    assert (many.total_documents, many.metadata_field_count, many.metadata_fields) == (6, 5, None)
     rag = ss.rag_statistics(store, table="t", encoder_factory=ENCODER, embedding_model="hash").head()
     assert (rag.table, rag.embedding_dimension, rag.distance_metric) == ("t", 32, "unknown")
 
@@ -211,6 +212,21 @@ def test_cells(spark, store, tmp_path):
         cells.fit_cells(store, cells=1)
 
 
+def test_given_cells(spark, store):
+    index = cells.given_cells(store, cells=3)
+    assert index.cells == 3 and index.centroids.tolist() == cells.given_cells(store.repartition(4), cells=3).centroids.tolist()
+    asked = store.select(F.col("id").alias("qid"), "embedding")
+    got = cells.approximate_topk(cells.assign_cells(store, index), asked, index, probes=3, top_k=3)
+    exact = knn.batch_topk(store, asked, top_k=3)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exact.collect()))
+    assert cells.given_cells(store, cells=99).cells == 6
+    for bad in ({"cells": 1}, {"cells": 2, "metric": "other"}):
+        with pytest.raises(ValueError):
+            cells.given_cells(store, **bad)
+    with pytest.raises(ValueError):
+        cells.given_cells(store.limit(0), cells=2)
+
+
 def test_probed_cells_prune_folders(spark, store, tmp_path):
     index = cells.fit_cells(store, cells=3)
     path = str(tmp_path / "pruned")
