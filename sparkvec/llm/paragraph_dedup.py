@@ -1,9 +1,11 @@
 """Repeated paragraphs by MinHash banding, exact Jaccard, and components.
 
-A paragraph is a line, and lines of more than ``2 * REACH`` words are cut where a
-word's hash is the least of the ``REACH`` words on either side. Such cuts depend on
-the words around them only, so that a passage is cut alike wherever it stands, also
-in the middle of a line. Paragraphs of fewer than ``MIN_WORDS`` words are not compared.
+A paragraph is a line, compared as a whole. For passages inside lines there is a second
+level: lines are cut where a word's hash is the least of the ``REACH`` words on either
+side. Such cuts depend on the words around them only, so that a passage is cut alike
+wherever it stands. The fragments, and lines without a cut, are compared with each other
+like the lines, and never with whole lines, as a fragment may be nearly all of its own.
+Paragraphs of fewer than ``MIN_WORDS`` words are not compared.
 
 Paragraphs of the same words are one paragraph. Each distinct one has a set of
 shingles of ``SHINGLE`` words and ``bands`` hashes of ``rows`` MinHash values; ``tune``
@@ -11,7 +13,7 @@ takes the fewest bands that find a pair at the threshold with the asked recall.
 Paragraphs that share a band are compared by the Jaccard index of their shingles,
 unless they are linked already; large buckets are compared tile by tile, in
 separate tasks. Components of the links are the classes; the paragraph at the least
-(doc_id, place in the document) stays, the others go.
+(doc_id, byte in the document) stays, the others go. All are judged on the input.
 
 Defined results: null ids come last; null, empty and short texts have no paragraph
 to remove; rows at the same place (equal id and place) do not remove each other, so
@@ -37,6 +39,7 @@ ROWS = 2
 REACH = 8
 MIN_WORDS = 9
 TILE = 1000
+FILTER = 1 << 26
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[65:91] += 32
 _POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
@@ -55,11 +58,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Paragraphs:
-    """The paragraphs of rows of text that lie side by side in ``block``.
+    """The lines, then the fragments, of rows of text that lie side by side in ``block``.
 
-    ``row``, ``number`` (in its row), ``name`` (hash of the words), ``start`` and
-    ``end`` (bytes in the row), and the shingle hashes of all paragraphs, one after
-    another, ``shingles[edges[i]:edges[i + 1]]``.
+    ``row``, ``name`` (hash of the words and the level), ``start`` and ``end`` (bytes in
+    the row), and the shingle hashes ``shingles[low[i]:high[i]]``: fragments have theirs
+    among those of their line.
     """
 
     def __init__(self, block: np.ndarray, bounds: np.ndarray):
@@ -92,70 +95,78 @@ class Paragraphs:
                 least &= words[mid] < words[REACH - step : n - REACH - step]
                 least &= words[mid] < words[REACH + step : n - REACH + step]
             cut[mid] = least
-        first = np.flatnonzero(fresh | cut)
-        count = np.diff(np.append(first, n))
-        inside = np.arange(n) - np.repeat(first, count)
-        name = _mixed(np.add.reduceat(words * _POWERS[inside & 4095], first) + count.astype(np.uint64))
+        valid = np.zeros(n, bool)
         shingle = np.zeros(max(n - SHINGLE + 1, 0), np.uint64)
-        for step in range(SHINGLE):
-            shingle += words[step : n - SHINGLE + 1 + step] * _POWERS[step + 7] if n >= SHINGLE else 0
-        whole = np.flatnonzero(np.repeat(count, count)[: len(shingle)] - inside[: len(shingle)] >= SHINGLE)
-        keep = np.flatnonzero(count >= MIN_WORDS)
-        of_row = row[first]
-        order = np.arange(len(first)) - np.searchsorted(of_row, of_row)
-        self.size = len(keep)
-        self.row, self.number = of_row[keep], order[keep]
-        self.name = name[keep].view(np.int64)
-        self.start = at[first[keep]] - bounds[self.row]
-        stop = np.append(at, len(block))[first[keep] + count[keep]]
+        if n >= SHINGLE:
+            for step in range(SHINGLE):
+                shingle += words[step : n - SHINGLE + 1 + step] * _POWERS[step + 7]
+            valid[: len(shingle)] = line[: len(shingle)] == line[SHINGLE - 1 :]
+        self.shingles = _mixed(shingle[valid[: len(shingle)]])
+        before = np.append(0, np.cumsum(valid))
+        parts = []
+        for level, heads in enumerate((fresh, fresh | cut)):
+            first = np.flatnonzero(heads)
+            count = np.diff(np.append(first, n))
+            inside = np.arange(n) - np.repeat(first, count)
+            name = _mixed(np.add.reduceat(words * _POWERS[inside & 4095], first) + count.astype(np.uint64))
+            keep = count >= MIN_WORDS
+            parts.append((first[keep], count[keep], _mixed(name[keep] + np.uint64(level))))
+        first, count, name = (np.concatenate(x) for x in zip(*parts))
+        self.size = len(first)
+        self.row = row[first]
+        self.name = name.view(np.int64)
+        self.start = at[first] - bounds[self.row]
+        stop = np.append(at, len(block))[first + count]
         self.end = np.minimum(stop, bounds[self.row + 1]) - bounds[self.row]
-        owner = np.repeat(np.arange(len(first)), count)[whole]
-        mine = np.isin(owner, keep)
-        self.shingles = _mixed(shingle[whole[mine]])
-        self.edges = np.append(np.searchsorted(owner[mine], keep), mine.sum())
-
-    def bands(self, bands: int, rows: int) -> np.ndarray:
-        """The hash of each band of each paragraph, as one column a band."""
-        out = np.zeros((self.size, bands), np.uint64)
+        self.low, self.high = before[first], before[first + np.maximum(count - SHINGLE + 1, 0)]
+
+    def bands(self, which: np.ndarray, bands: int, rows: int) -> np.ndarray:
+        """The hash of each band of these paragraphs, which have shingles, as one column a band."""
+        out = np.zeros((len(which), bands), np.uint64)
+        ranges = np.stack([self.low[which], self.high[which]], 1).reshape(-1)
         for band in range(bands):
-            mix = np.full(self.size, band + 1, np.uint64)
+            mix = np.full(len(which), band + 1, np.uint64)
             for r in range(rows):
                 seed = np.uint64((band * rows + r + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-                least = np.minimum.reduceat(_mixed(self.shingles ^ seed), self.edges[:-1])
-                mix = _mixed(mix * np.uint64(0xC2B2AE3D27D4EB4F) + least)
+                hashes = np.append(_mixed(self.shingles ^ seed), np.uint64(0))  # a range may end behind the last
+                mix = _mixed(mix * np.uint64(0xC2B2AE3D27D4EB4F) + np.minimum.reduceat(hashes, ranges)[::2])
             out[:, band] = mix
         return out.view(np.int64)
 
+    def sets(self, which: np.ndarray) -> pa.ListArray:
+        """The shingles of these paragraphs."""
+        size = (self.high - self.low)[which]
+        edges = np.append(0, np.cumsum(size))
+        take = np.arange(edges[-1]) + np.repeat(self.low[which] - edges[:-1], size)
+        return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(self.shingles[take].view(np.int64)))
+
 
-def _paragraphs(text: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Paragraphs]]:
-    """Per stretch of a batch: the rows, their first paragraph number and byte, and the paragraphs.
+def _paragraphs(text: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, Paragraphs]]:
+    """Per stretch of a batch: the rows, their first byte, and the paragraphs.
 
     A text above the stretch's size is cut at white space, at places that depend on the text only.
     """
     data, offsets = utf8(text)
-    done = np.zeros(len(text), np.int64)
     for low, high, cut in pieces(data, offsets):
         found = Paragraphs(data[cut[0] : cut[-1]], cut - cut[0])
         if found.size:
             rows = found.row + low
-            base = done[rows]
-            yield rows, base + found.number, cut[found.row] - offsets[rows], found
-            np.maximum.at(done, rows, base + found.number + 1)
+            yield rows, cut[found.row] - offsets[rows], found
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """One row per compared paragraph: row (key of its document), place, name, start and end (bytes)."""
+    """One row per compared paragraph: row (key of its document), place (of its first byte), name, start and end (bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, number, first, found in _paragraphs(batch["text"]):
+            for rows, first, found in _paragraphs(batch["text"]):
                 at = pa.array(rows)
-                columns = [batch["row"].take(at), batch["doc_id"].take(at).cast(pa.int64()), number, found.name, found.start + first, found.end + first]
-                yield pa.record_batch([pa.array(c) for c in columns], names=["row", "doc_id", "number", "name", "start", "end"])
+                columns = [batch["row"].take(at), batch["doc_id"].take(at).cast(pa.int64()), found.name, found.start + first, found.end + first]
+                yield pa.record_batch([pa.array(c) for c in columns], names=["row", "doc_id", "name", "start", "end"])
 
-    rows = docs.select(row_key().alias("row"), "doc_id", "text").where(F.col("text").isNotNull())
-    rows = rows.mapInArrow(run, "row string, doc_id long, number long, name long, start long, end long")
-    return rows.select("row", place(F.col("doc_id"), F.col("number")).alias("place"), "name", "start", "end")
+    rows = docs.select(F.unhex(row_key()).alias("row"), "doc_id", "text").where(F.col("text").isNotNull())
+    rows = rows.mapInArrow(run, "row binary, doc_id long, name long, start long, end long")
+    return rows.select("row", place(F.col("doc_id"), F.col("start")).alias("place"), "name", "start", "end")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, list]]:
@@ -188,6 +199,8 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
             apart = []
             for cluster in clusters:
                 for other, theirs in cluster:
+                    if min(len(mine), len(theirs)) < threshold * max(len(mine), len(theirs)):
+                        continue
                     common = len(mine & theirs)
                     if common >= threshold * (len(mine) + len(theirs) - common):
                         a.append(name)
@@ -201,6 +214,19 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _filter(names: DataFrame) -> np.ndarray:
+    """A map of ``FILTER`` bits with those set that the names end in: what it lets pass is joined exactly after it.
+
+    At most ``FILTER / 8`` bytes reach the driver, whatever the number of names.
+    """
+    bit = F.col("name").bitwiseAND(FILTER - 1)
+    parts = names.groupBy(F.floor(bit / (1 << 15)).alias("part")).agg(F.bitmap_construct_agg(bit % (1 << 15)).alias("bits"))
+    out = np.zeros((FILTER >> 15, 1 << 12), np.uint8)
+    for part, bits in parts.toLocalIterator():
+        out[part] = np.frombuffer(bits, np.uint8)
+    return out.reshape(-1)
+
+
 def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
     """Pairs (a, b) of names that connect all distinct paragraphs found similar."""
     bands = tune(threshold, recall, rows)
@@ -209,9 +235,12 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, hashes = [], []
-            for _, _, _, found in _paragraphs(batch["text"]):
-                names.append(found.name)
-                hashes.append(found.bands(bands, rows))
+            for _, _, found in _paragraphs(batch["text"]):
+                _, once = np.unique(found.name, return_index=True)
+                once = once[found.high[once] > found.low[once]]
+                if len(once):
+                    names.append(found.name[once])
+                    hashes.append(found.bands(once, bands, rows))
             if names:
                 name, once = np.unique(np.concatenate(names), return_index=True)
                 bucket = np.concatenate(hashes)[once]
@@ -256,13 +285,18 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
 
     rows_ = texts.mapInArrow(banded, "bucket long, name long").repartition("bucket").sortWithinPartitions("bucket", "name")
     met = saved(rows_.mapInArrow(crowded, "bucket long, name long, tile int"))
-    wanted = met.select("name").distinct()
+    wanted = saved(met.select("name").distinct())
+    may = _filter(wanted)
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, found in _paragraphs(batch["text"]):
-                lists = pa.ListArray.from_arrays(pa.array(found.edges.astype(np.int32)), pa.array(found.shingles.view(np.int64)))
-                yield pa.record_batch([pa.array(found.name), lists], names=["name", "shingles"])
+            for _, _, found in _paragraphs(batch["text"]):
+                _, once = np.unique(found.name, return_index=True)
+                bit = found.name[once] & (FILTER - 1)
+                once = once[(may[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)]
+                once = once[found.high[once] > found.low[once]]
+                if len(once):
+                    yield pa.record_batch([pa.array(found.name[once]), found.sets(once)], names=["name", "shingles"])
 
     sets = texts.mapInArrow(shingled, "name long, shingles array<long>").join(wanted, "name", "left_semi").dropDuplicates(["name"])
     tiles = met.groupBy("bucket").agg(F.max("tile").alias("tiles"))
@@ -300,33 +334,49 @@ def dedup_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: floa
                     raw, at, kept = t.encode(), 0, []
                     for span in gone:
                         kept.append(raw[at : span["start"]])
-                        at = span["end"]
+                        at = max(at, span["end"])
                     t = b"".join([*kept, raw[at:]]).decode()
                 out.append(t)
             yield pa.array(out, pa.string())
 
     gone = repeats(docs, threshold, recall).where("removed").groupBy(F.col("row").alias("gone_row"))
     gone = gone.agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("gone"))
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("packed"), row_key().alias("row"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("packed"), F.unhex(row_key()).alias("row"))
     rows = packed.join(gone, F.col("row") == F.col("gone_row"), "left")
     rows = rows.withColumn("cut", F.arrow_udf(cut, "string")(F.col("packed.text"), F.col("gone")))
     return rows.select(*(F.col("cut").alias(c) if c == "text" else F.col(f"packed.`{c}`") for c in docs.columns))
 
 
+def _stretches(spans: list[tuple[int, int]]) -> tuple[int, int]:
+    """The number of spans, those that overlap counted as one, and the bytes under them."""
+    number, size, at = 0, 0, -1
+    for start, end in sorted(spans):
+        number += start >= at
+        size += max(end - max(start, at), 0)
+        at = max(at, end)
+    return number, size
+
+
 def digest(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shared`` paragraphs that occur again, ``n_removed`` of them,
     ``removed_bytes``, and ``sources``: the ids of the documents in which the shared ones are first, its own included.
+    A line and what occurs again inside it are counted once.
     """
-    found = repeats(docs, threshold, recall).dropDuplicates(["row", "place"]).groupBy("row").agg(
-        F.count("*").alias("n_shared"),
-        F.sum(F.col("removed").cast("long")).alias("n_removed"),
-        F.sum(F.when(F.col("removed"), F.col("end") - F.col("start")).otherwise(0)).alias("removed_bytes"),
+    kind = "n_shared long, n_removed long, removed_bytes long"
+
+    def counted(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for spans in lists:
+            out = []
+            for row in spans.to_pylist():
+                shared, _ = _stretches([(x["start"], x["end"]) for x in row or ()])
+                removed, size = _stretches([(x["start"], x["end"]) for x in row or () if x["removed"]])
+                out.append({"n_shared": shared, "n_removed": removed, "removed_bytes": size})
+            yield pa.array(out, pa.struct([(n, pa.int64()) for n in ("n_shared", "n_removed", "removed_bytes")]))
+
+    found = repeats(docs, threshold, recall).groupBy("row").agg(
+        F.collect_set(F.struct("start", "end", "removed")).alias("spans"),
         F.sort_array(F.collect_set(place_id(F.col("first")))).alias("sources"),
     )
-    rows = docs.select("doc_id", row_key().alias("row")).join(found, "row", "left")
-    zero = F.lit(0).cast("long")
-    return rows.select(
-        "doc_id",
-        *(F.coalesce(c, zero).alias(c) for c in ("n_shared", "n_removed", "removed_bytes")),
-        F.coalesce("sources", F.array().cast("array<bigint>")).alias("sources"),
-    )
+    rows = docs.select("doc_id", F.unhex(row_key()).alias("row")).join(found, "row", "left")
+    rows = rows.select("doc_id", F.arrow_udf(counted, kind)("spans").alias("x"), F.coalesce("sources", F.array().cast("array<bigint>")).alias("sources"))
+    return rows.select("doc_id", "x.*", "sources")

@@ -315,6 +315,29 @@ def test_paragraph_buckets_in_tiles(spark, monkeypatch):
     assert sum(r.n_removed for r in paragraph_dedup.digest(docs).collect()) == 59
 
 
+def test_paragraphs_with_an_edit_inside(spark):
+    """Whole lines against brute force: one word changed anywhere leaves a Jaccard index over 0.8 or under it."""
+    rng = np.random.default_rng(8)
+    lines = [[f"w{i}" for i in rng.integers(0, 5000, int(size))] for size in [*rng.integers(20, 200, 70), *[16] * 10]]
+    edited = []
+    for line in lines:
+        at = int(rng.integers(5, len(line) - 5))
+        edited.append([*line[:at], "changed", *line[at + 1 :]])
+
+    def jaccard(a, b):
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a, b))
+        return len(a & b) / len(a | b)
+
+    rows = [(i, " ".join(x)) for i, x in enumerate(lines)] + [(1000 + i, " ".join(x)) for i, x in enumerate(edited)]
+    got = {r.doc_id: r.text for r in paragraph_dedup.dedup_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near = [i for i in range(80) if jaccard(lines[i], edited[i]) >= 0.8]
+    assert 40 < len(near) <= 70
+    assert sum(got[1000 + i] == "" for i in near) >= 0.97 * len(near) - 2
+    # lines without a cut are judged as a whole only; of longer ones the fragments may go one by one
+    assert all(got[1000 + i] == " ".join(edited[i]) for i in range(70, 80))
+    assert all(got[i] == t for i, t in rows[:80])
+
+
 # --- 9 languages
 
 
