@@ -103,6 +103,21 @@ def test_suffix_dedup(odd, odd_rows, empty, crowd, monkeypatch):
     assert suffix_dedup.digest(empty).collect() == []
 
 
+def test_suffix_dedup_rows_of_one_id(spark):
+    """Two texts of one id that agree in the last 24 bits of the hash of their rows, of which one is a later copy."""
+    seen = {}
+    for i in range(100_000):
+        text = f"text number {i} of one document id, long enough to fill a window of bytes"
+        key = hashlib.md5(f"7|{text}".encode()).hexdigest().encode()
+        other = seen.setdefault(xxhash.xxh64_intdigest(key, 42) & 0xFFFFFF, text)
+        if other != text:
+            break
+    tail = " ".join(f"t{k}" for k in range(40))
+    rows = [(1, text), (7, text), (7, other), (9, f"{other} {tail}"), (9, other[:20] + tail), (12, tail)]
+    got = [tuple(r) for r in suffix_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert other != text and order(got) == order(covered(rows))
+
+
 def test_suffix_array():
     rng = np.random.default_rng(0)
     for _ in range(200):
