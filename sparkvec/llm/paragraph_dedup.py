@@ -5,7 +5,8 @@ level: lines are cut where a word's hash is the least of the ``REACH`` words on
 side. Such cuts depend on the words around them only, so that a passage is cut alike
 wherever it stands. The fragments, and lines without a cut, are compared with each other
 like the lines, and never with whole lines, as a fragment may be nearly all of its own.
-Paragraphs of fewer than ``MIN_WORDS`` words are not compared.
+Lines of any length are compared, those of fewer than ``SHINGLE`` words for equality only;
+fragments that a cut made are not if they have fewer than ``MIN_WORDS`` words.
 
 Paragraphs of the same words are one paragraph. Each distinct one has a set of
 shingles of ``SHINGLE`` words and ``bands`` hashes of ``rows`` MinHash values; ``tune``
@@ -15,7 +16,7 @@ unless they are linked already; large buckets are compared tile by tile, in
 separate tasks. Components of the links are the classes; the paragraph at the least
 (doc_id, byte in the document) stays, the others go. All are judged on the input.
 
-Defined results: null ids come last; null, empty and short texts have no paragraph
+Defined results: null ids come last; null, empty and blank texts have no paragraph
 to remove; rows at the same place (equal id and place) do not remove each other, so
 repeated documents lose the same paragraphs; other columns are not looked at.
 Distinct paragraphs are told apart by 64 bits of hash.
@@ -109,7 +110,10 @@ class Paragraphs:
             count = np.diff(np.append(first, n))
             inside = np.arange(n) - np.repeat(first, count)
             name = _mixed(np.add.reduceat(words * _POWERS[inside & 4095], first) + count.astype(np.uint64))
-            keep = count >= MIN_WORDS
+            keep = np.ones(len(first), bool)
+            if level:
+                uncut = fresh[first] & np.append(fresh[first[1:]], True)
+                keep = np.where(uncut, count >= SHINGLE, count >= MIN_WORDS)
             parts.append((first[keep], count[keep], _mixed(name[keep] + np.uint64(level))))
         first, count, name = (np.concatenate(x) for x in zip(*parts))
         self.size = len(first)

@@ -353,6 +353,15 @@ def test_paragraphs_with_an_edit_inside(spark):
     assert all(got[i] == t for i, t in rows[:80])
 
 
+def test_short_paragraphs(spark):
+    lines = ["one", "two words", "a line of five words", "here is a line of seven words", "and now this line has just eight words"]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines, "its own"])), (3, "HERE is a line of seven words\nhere is a line of nine words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in paragraph_dedup.dedup_paragraphs(docs).collect()}
+    assert got == {1: rows[0][1], 2: "its own", 3: "here is a line of nine words"}
+    assert {r.doc_id: r.n_removed for r in paragraph_dedup.digest(docs).collect()} == {1: 0, 2: 5, 3: 1}
+
+
 # --- 9 languages
 
 
