@@ -16,10 +16,17 @@ unless they are linked already; large buckets are compared tile by tile, in
 separate tasks. Components of the links are the classes; the paragraph at the least
 (doc_id, byte in the document) stays, the others go. All are judged on the input.
 
+Passages of ``WINDOW`` words or more inside lines are found for certain, and up to both of
+their ends: a word goes if ``WINDOW`` equal words over it, in one line, stand at an earlier
+place (in the same document, at least ``WINDOW`` words before). In every window the run of
+``GRAM`` words of least hash is its anchor, and the windows of one anchor that follow one
+another are a segment. Equal windows have equal anchors. Where all segments of an anchor are
+equal the first one decides; otherwise their windows are looked up one by one.
+
 Defined results: null ids come last; null, empty and blank texts have no paragraph
 to remove; rows at the same place (equal id and place) do not remove each other, so
 repeated documents lose the same paragraphs; other columns are not looked at.
-Distinct paragraphs are told apart by 64 bits of hash.
+Distinct paragraphs and windows are told apart by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -39,6 +46,8 @@ RECALL = 0.97
 ROWS = 2
 REACH = 8
 MIN_WORDS = 9
+WINDOW = 51
+GRAM = 16
 TILE = 1000
 FILTER = 1 << 26
 _FOLD = np.arange(256, dtype=np.uint64)
@@ -58,6 +67,80 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _words(block: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of rows of text that lie side by side: where they begin, hash, row, and whether one is its line's first."""
+    gap = SPACE[block]
+    head = ~gap
+    head[1:] &= gap[:-1]
+    inner = bounds[:-1][bounds[:-1] < len(block)]
+    head[inner] = ~gap[inner]
+    at = np.flatnonzero(head)
+    if not len(at):
+        return at, np.zeros(0, np.uint64), at, np.zeros(0, bool)
+    length = np.diff(np.append(at, len(block)))
+    place = np.zeros(len(block), np.int64)
+    place[at[0] :] = np.arange(at[0], len(block)) - np.repeat(at, length)
+    value = (_FOLD[block] + np.uint64(1)) * _POWERS[place & 4095]
+    value[gap] = 0
+    words = _mixed(np.add.reduceat(value, at))
+    row = np.searchsorted(bounds, at, "right") - 1
+    breaks = np.searchsorted(np.flatnonzero(block == 10), at)
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (np.diff(row) != 0) | (np.diff(breaks) != 0)
+    return at, words, row, fresh
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place, by doubling."""
+    have, done = words, 1
+    while done < size:
+        step = min(done, size - done)
+        if len(have) <= step:
+            return have[:0]
+        tail = have[step:] if step == done else have[step:] * np.uint64(0x9E3779B97F4A7C15)
+        have = have[:-step] * np.uint64(pow(0x9E3779B97F4A7C15, step, 1 << 64)) + tail
+        done += step
+    return _mixed(have)
+
+
+class Windows:
+    """The windows of ``WINDOW`` words inside lines, in segments: ``anchor``, ``name`` (hash of the windows), ``first``
+    (its first window) and ``count``. Of each window: ``hash``, ``row``, ``number`` (of its first word in the row),
+    ``start`` and ``end`` (bytes in the row).
+    """
+
+    def __init__(self, block: np.ndarray, bounds: np.ndarray):
+        at, words, row, fresh = _words(block, bounds)
+        n = len(at) - WINDOW + 1
+        line = np.cumsum(fresh)
+        good = line[: max(n, 0)] == line[WINDOW - 1 :] if n > 0 else np.zeros(0, bool)
+        self.size = 0
+        if not good.any():
+            return
+        grams = _runs(words, GRAM)
+        # the least hash with its place: the first of equals wins
+        least, done = (grams >> np.uint64(20) << np.uint64(20)) | np.arange(len(grams), dtype=np.uint64), 1
+        while done < WINDOW - GRAM + 1:
+            step = min(done, WINDOW - GRAM + 1 - done)
+            least = np.minimum(least[:-step], least[step:])
+            done += step
+        of = (least & np.uint64((1 << 20) - 1)).astype(np.int64)
+        window = np.flatnonzero(good)
+        of = of[window]
+        self.first = np.flatnonzero(np.append(True, (np.diff(of) != 0) | (np.diff(window) != 1)))
+        self.count = np.diff(np.append(self.first, len(window)))
+        self.size = len(self.first)
+        self.anchor = grams[of[self.first]].view(np.int64)
+        self.hash = _runs(words, WINDOW)[window]
+        inside = np.arange(len(window)) - np.repeat(self.first, self.count)
+        self.name = _mixed(np.add.reduceat(self.hash * _POWERS[inside], self.first) + self.count.astype(np.uint64)).view(np.int64)
+        self.hash = self.hash.view(np.int64)
+        self.row = row[window]
+        self.number = window - np.searchsorted(row, self.row)
+        self.start = at[window] - bounds[self.row]
+        self.end = np.minimum(np.append(at, len(block))[window + WINDOW], bounds[self.row + 1]) - bounds[self.row]
+
+
 class Paragraphs:
     """The lines, then the fragments, of rows of text that lie side by side in ``block``.
 
@@ -67,25 +150,10 @@ class Paragraphs:
     """
 
     def __init__(self, block: np.ndarray, bounds: np.ndarray):
-        gap = SPACE[block]
-        head = ~gap
-        head[1:] &= gap[:-1]
-        inner = bounds[:-1][bounds[:-1] < len(block)]
-        head[inner] = ~gap[inner]
-        at = np.flatnonzero(head)
+        at, words, row, fresh = _words(block, bounds)
         self.size = 0
         if not len(at):
             return
-        length = np.diff(np.append(at, len(block)))
-        place = np.zeros(len(block), np.int64)
-        place[at[0] :] = np.arange(at[0], len(block)) - np.repeat(at, length)
-        value = (_FOLD[block] + np.uint64(1)) * _POWERS[place & 4095]
-        value[gap] = 0
-        words = _mixed(np.add.reduceat(value, at))
-        row = np.searchsorted(bounds, at, "right") - 1
-        breaks = np.searchsorted(np.flatnonzero(block == 10), at)
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = (np.diff(row) != 0) | (np.diff(breaks) != 0)
         line = np.cumsum(fresh)
         n = len(at)
         cut = np.zeros(n, bool)
@@ -145,14 +213,14 @@ class Paragraphs:
         return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(self.shingles[take].view(np.int64)))
 
 
-def _paragraphs(text: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, Paragraphs]]:
-    """Per stretch of a batch: the rows, their first byte, and the paragraphs.
+def _paragraphs(text: pa.Array, kind: type = Paragraphs) -> Iterator[tuple[np.ndarray, np.ndarray, Paragraphs | Windows]]:
+    """Per stretch of a batch: the rows, their first byte, and the paragraphs (or windows).
 
     A text above the stretch's size is cut at white space, at places that depend on the text only.
     """
     data, offsets = utf8(text)
     for low, high, cut in pieces(data, offsets):
-        found = Paragraphs(data[cut[0] : cut[-1]], cut - cut[0])
+        found = kind(data[cut[0] : cut[-1]], cut - cut[0])
         if found.size:
             rows = found.row + low
             yield rows, cut[found.row] - offsets[rows], found
@@ -218,6 +286,64 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def passages(docs: DataFrame) -> DataFrame:
+    """Of passages of at least ``WINDOW`` words that occur again: row, place, start, end, ``first``, ``removed``.
+
+    A row is a segment or a window, so that those of one passage overlap. The number of a place is that of its first
+    word (behind the bytes before the stretch, which have at least as many).
+    """
+    rows = docs.select(F.unhex(row_key()).alias("row"), "doc_id", "text").where(F.col("text").isNotNull())
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for of, first, found in _paragraphs(batch["text"], Windows):
+                head = found.first
+                ids = batch["doc_id"].take(pa.array(of[head])).cast(pa.int64())
+                columns = [pa.array(found.anchor), pa.array(found.name), ids, pa.array((found.number + first)[head])]
+                yield pa.record_batch(columns, names=["anchor", "name", "doc_id", "number"])
+
+    met = rows.select("doc_id", "text").mapInArrow(anchors, "anchor long, name long, doc_id long, number long")
+    met = met.select("anchor", "name", place(F.col("doc_id"), F.col("number")).alias("place")).groupBy("anchor")
+    met = met.agg(F.min("place").alias("first"), F.max("place").alias("last"), F.min("name").alias("a"), F.max("name").alias("b"))
+    met = saved(met.where("first < last").select("anchor", "first", (F.col("a") < F.col("b")).alias("mixed")))
+    plain, mixed = (_filter(met.where(kind).select(F.col("anchor").alias("name"))) for kind in ("NOT mixed", "mixed"))
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for of, first, found in _paragraphs(batch["text"], Windows):
+                one = np.flatnonzero(_passes(plain, found.anchor))
+                each = np.flatnonzero(np.repeat(_passes(mixed, found.anchor), found.count))
+                low = np.concatenate([found.first[one], each])
+                high = np.concatenate([found.first[one] + found.count[one] - 1, each])
+                columns = [
+                    pa.array(np.concatenate([found.anchor[one], np.repeat(found.anchor, found.count)[each]])),
+                    pa.array(found.hash[low], mask=np.arange(len(low)) < len(one)),
+                    batch["row"].take(pa.array(of[low])),
+                    batch["doc_id"].take(pa.array(of[low])).cast(pa.int64()),
+                    *(pa.array(x) for x in ((found.number + first)[low], (found.start + first)[low], (found.end + first)[high])),
+                ]
+                yield pa.record_batch(columns, names=["anchor", "hash", "row", "doc_id", "number", "start", "end"])
+
+    found = rows.mapInArrow(spans, "anchor long, hash long, row binary, doc_id long, number long, start long, end long")
+    found = found.select("anchor", "hash", "row", place(F.col("doc_id"), F.col("number")).alias("place"), "start", "end")
+    found = saved(found.join(met, "anchor").where(F.col("mixed") == F.col("hash").isNotNull()))
+    # windows of unlike segments: the first of equal ones, whatever their anchors' first
+    each = found.where("mixed").drop("first")
+    least = each.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
+    names = ["row", "place", "start", "end", "first"]
+    found = found.where("NOT mixed").select(names).union(each.join(least.select("hash", "first"), "hash").select(names))
+    # windows that overlap their own first do not make it go
+    other = F.coalesce(place_id(F.col("first")) != place_id(F.col("place")), place_id(F.col("first")).isNotNull() & place_id(F.col("place")).isNull())
+    removed = (F.col("first") < F.col("place")) & (other | (F.col("place") - F.col("first") >= WINDOW))
+    return found.select(*names, removed.alias("removed"))
+
+
+def _passes(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Whether a map of bits lets names pass."""
+    bit = names & (FILTER - 1)
+    return (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def _filter(names: DataFrame) -> np.ndarray:
     """A map of ``FILTER`` bits with those set that the names end in: what it lets pass is joined exactly after it.
 
@@ -296,8 +422,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
         for batch in batches:
             for _, _, found in _paragraphs(batch["text"]):
                 _, once = np.unique(found.name, return_index=True)
-                bit = found.name[once] & (FILTER - 1)
-                once = once[(may[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)]
+                once = once[_passes(may, found.name[once])]
                 once = once[found.high[once] > found.low[once]]
                 if len(once):
                     yield pa.record_batch([pa.array(found.name[once]), found.sets(once)], names=["name", "shingles"])
@@ -322,9 +447,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
 
 
 def repeats(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per paragraph that occurs again: row, place, start, end, ``first`` and whether it is ``removed``."""
+    """One row per paragraph or piece of a passage that occurs again: row, place, start, end, ``first`` and whether it is ``removed``."""
     found = occurrences(docs).join(classes(docs, threshold, recall), "name")
-    return found.select("row", "place", "start", "end", "first", (F.col("first") < F.col("place")).alias("removed"))
+    found = found.select("row", "place", "start", "end", "first", (F.col("first") < F.col("place")).alias("removed"))
+    return found.unionByName(passages(docs))
 
 
 def dedup_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:

@@ -362,6 +362,39 @@ def test_short_paragraphs(spark):
     assert {r.doc_id: r.n_removed for r in paragraph_dedup.digest(docs).collect()} == {1: 0, 2: 5, 3: 1}
 
 
+def test_passages_inside_lines(spark):
+    """Every passage of 51 words is found, wherever it stands, and goes up to both of its ends."""
+    rng = np.random.default_rng(9)
+    draw = lambda size: [f"w{i}" for i in rng.integers(0, 10**6, size)]
+    rows, want = [], {}
+    for k in range(60):
+        passage = draw(int(rng.choice([51, 52, 60, 130])))
+        (a, b), (c, d), (e, f) = ((draw(int(n)) for n in rng.integers(20, 90, 2)) for _ in range(3))
+        want[k] = " ".join([*a, *passage, *b])
+        want[100 + k] = " ".join([*c, *d])
+        rows += [(k, want[k]), (100 + k, " ".join([*c, *passage, *d]))]
+        if k % 3 == 0:  # what precedes the passage in the second document is repeated, too
+            want[200 + k] = " ".join([*e, *f])
+            rows.append((200 + k, " ".join([*e, *c[-10:], *passage, *f])))
+    rows += [(300, " ".join(["again"] * 200)), (301, " ".join([*(p := draw(70)), "between", *p]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = collections.defaultdict(list)
+    for r in paragraph_dedup.passages(docs).where("removed").collect():
+        spans[int(r.place) >> 32].append((r.start, r.end))
+    left = {}
+    for i, t in rows:
+        gone = np.zeros(len(t), bool)
+        for low, high in spans[i]:
+            gone[low:high] = True
+        left[i] = "".join(np.array(list(t))[~gone]).strip()
+    assert {k: left[k] for k in want} == want
+    assert left[301].split() == [*p, "between"] and len(left[300].split()) == 51
+    # fragments that lie across an end may be near copies as a whole, and go beyond it
+    got = {r.doc_id: r.text.split() for r in paragraph_dedup.dedup_paragraphs(docs).collect()}
+    assert all(set(got[k]) <= set(want[k].split()) and len(got[k]) >= len(want[k].split()) - 20 for k in want)
+    assert all(r.n_removed == (r.doc_id >= 100) for r in paragraph_dedup.digest(docs.where("doc_id < 300")).collect())
+
+
 # --- 9 languages
 
 
