@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkvec.session import ensure_checkpoint_dir
+from sparkvec.session import ensure_checkpoint_dir, shared_dir
 
 PIECE_BYTES = 1 << 20
 STRIDE = 1024
@@ -33,6 +34,21 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder. Spark removes the shuffles that made them as soon as they are written,
+    so that these and what follows from them do not lie on disk at the same time."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/marks-{uuid.uuid4().hex}"
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.parquet(path)
+
+
 def checked(small: DataFrame) -> DataFrame:
     """A broadcast hint only where a count proves at most ``BROADCAST_ROWS`` short rows."""
     return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small

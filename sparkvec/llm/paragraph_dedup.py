@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkvec.llm.common import SPACE, components, pieces, place, place_id, row_key, saved, utf8
+from sparkvec.llm.common import SPACE, components, pieces, place, place_id, row_key, utf8, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -193,7 +193,7 @@ class Paragraphs:
         self.low, self.high = before[first], before[first + np.maximum(count - SHINGLE + 1, 0)]
 
     def bands(self, which: np.ndarray, bands: int, rows: int) -> np.ndarray:
-        """The hash of each band of these paragraphs, which have shingles, as one column a band."""
+        """The hash of each band of these paragraphs (in order, and with shingles), as one column a band."""
         out = np.zeros((len(which), bands), np.uint64)
         ranges = np.stack([self.low[which], self.high[which]], 1).reshape(-1)
         for band in range(bands):
@@ -305,7 +305,7 @@ def passages(docs: DataFrame) -> DataFrame:
     met = rows.select("doc_id", "text").mapInArrow(anchors, "anchor long, name long, doc_id long, number long")
     met = met.select("anchor", "name", place(F.col("doc_id"), F.col("number")).alias("place")).groupBy("anchor")
     met = met.agg(F.min("place").alias("first"), F.max("place").alias("last"), F.min("name").alias("a"), F.max("name").alias("b"))
-    met = saved(met.where("first < last").select("anchor", "first", (F.col("a") < F.col("b")).alias("mixed")))
+    met = written(met.where("first < last").select("anchor", "first", (F.col("a") < F.col("b")).alias("mixed")))
     plain, mixed = (_filter(met.where(kind).select(F.col("anchor").alias("name"))) for kind in ("NOT mixed", "mixed"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +326,7 @@ def passages(docs: DataFrame) -> DataFrame:
 
     found = rows.mapInArrow(spans, "anchor long, hash long, row binary, doc_id long, number long, start long, end long")
     found = found.select("anchor", "hash", "row", place(F.col("doc_id"), F.col("number")).alias("place"), "start", "end")
-    found = saved(found.join(met, "anchor").where(F.col("mixed") == F.col("hash").isNotNull()))
+    found = written(found.join(met, "anchor").where(F.col("mixed") == F.col("hash").isNotNull()))
     # windows of unlike segments: the first of equal ones, whatever their anchors' first
     each = found.where("mixed").drop("first")
     least = each.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
@@ -366,7 +366,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
         for batch in batches:
             names, hashes = [], []
             for _, _, found in _paragraphs(batch["text"]):
-                _, once = np.unique(found.name, return_index=True)
+                once = np.sort(np.unique(found.name, return_index=True)[1])  # in order, for ``bands``
                 once = once[found.high[once] > found.low[once]]
                 if len(once):
                     names.append(found.name[once])
@@ -414,8 +414,12 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
             yield members(*held, seen, False)[0]
 
     rows_ = texts.mapInArrow(banded, "bucket long, name long").repartition("bucket").sortWithinPartitions("bucket", "name")
-    met = saved(rows_.mapInArrow(crowded, "bucket long, name long, tile int"))
-    wanted = saved(met.select("name").distinct())
+    met = written(rows_.mapInArrow(crowded, "bucket long, name long, tile int"))
+    # buckets of the same members would be compared alike: the first of them is enough
+    mixed = F.xxhash64("name", F.lit(1)).cast("decimal(20,0)")
+    tiles = met.groupBy("bucket").agg(F.max("tile").alias("tiles"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("name")).alias("x"), F.sum(mixed).alias("y"))
+    tiles = written(tiles.groupBy("n", "x", "y").agg(F.min_by("tiles", "bucket").alias("tiles"), F.min("bucket").alias("bucket")).select("bucket", "tiles"))
+    wanted = written(met.select("name").distinct())
     may = _filter(wanted)
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,12 +432,11 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
                     yield pa.record_batch([pa.array(found.name[once]), found.sets(once)], names=["name", "shingles"])
 
     sets = texts.mapInArrow(shingled, "name long, shingles array<long>").join(wanted, "name", "left_semi").dropDuplicates(["name"])
-    tiles = met.groupBy("bucket").agg(F.max("tile").alias("tiles"))
     pairs = met.join(tiles, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), "tiles")))
     pairs = pairs.select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "name")
     pairs = pairs.join(sets, "name").select("bucket", "a", "b", "name", "shingles")
     pairs = pairs.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
-    return pairs.mapInArrow(lambda batches: _verified(batches, threshold), "a long, b long")
+    return written(pairs.mapInArrow(lambda batches: _verified(batches, threshold), "a long, b long"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -441,7 +444,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     roots = components(links(docs, threshold, recall), "a", "b").select(F.col("node").alias("name"), "root")
     spans = occurrences(docs).groupBy("name").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     spans = spans.join(roots, "name", "left").where(F.col("root").isNotNull() | (F.col("first") < F.col("last")))
-    spans = saved(spans.withColumn("root", F.coalesce("root", "name")))
+    spans = written(spans.withColumn("root", F.coalesce("root", "name")))
     first = spans.groupBy("root").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last")
     return spans.select("name", "root").join(first, "root").select("name", "first")
 
