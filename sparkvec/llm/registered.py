@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkvec.llm import ann, decontaminate, langid, line_dedup, mixing, oracles, paragraph_dedup, quality, sharding, simhash, suffix_dedup
+from sparkvec.llm import (
+    ann,
+    decontaminate,
+    filter_audit,
+    langid,
+    line_dedup,
+    mixing,
+    oracles,
+    paragraph_dedup,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    vector_codes,
+)
 from sparkvec.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +32,8 @@ ORACLES: dict[str, str] = {
     "op5_ann_hilbert": oracles.ANN,
     "op6_mixing": mixing.ORACLE,
     "op7_line_dedup": oracles.LINE_DEDUP,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }
 
 
@@ -73,3 +90,18 @@ def op9_language_id(spark, sf_dir):
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
