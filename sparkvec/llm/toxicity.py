@@ -1,6 +1,6 @@
 """Toxicity: a classifier that is trained to score a sentence alike whichever group it mentions.
 
-A text is its byte 3-, 5- and 7-grams within words (a letter or a byte of a non-ASCII
+A text is its byte 3- to 5-grams within words (a letter or a byte of a non-ASCII
 letter is part of a word, all else separates), counted, damped by a logarithm and
 scaled to length 1; a logistic regression reads them. Beside the labelled texts it learns
 from counterfactual pairs: every sentence of a labelled text that mentions a group
@@ -39,12 +39,12 @@ from sparkvec.llm.common import id_remainder, pieces, utf8
 SAMPLE_ROWS = 3000
 PAIRS_PER_TEXT = 32
 BITS = 17
-ORDERS = (3, 5, 7)
+ORDERS = (3, 4, 5)
 MIN_SHARE = 0.005
 EPOCHS = 10
 RATE = 0.5
-DECAY = 2e-3
-PENALTY = 1.0
+DECAY = 5e-4
+PENALTY = 10.0
 SEED = 11
 
 #: Terms that may stand for one another: of one language, category and form.
@@ -229,8 +229,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.odds(data, offsets), -50, 50)))
 
 
+def _pair_weights(pairs: list[tuple[Bag, Bag]]) -> list[float]:
+    """One over the number of counterfactuals of each pair's sentence; they lie side by side."""
+    runs: list[list[int]] = []
+    for at, (one, _) in enumerate(pairs):
+        same = at and all(np.array_equal(x, y) for x, y in zip(one, pairs[at - 1][0], strict=True))
+        if same:
+            runs[-1].append(at)
+        else:
+            runs.append([at])
+    return [1 / len(run) for run in runs for _ in run]
+
+
 def train(bags: list[Bag], labels: np.ndarray, pairs: list[tuple[Bag, Bag]], penalty: float = PENALTY, bits: int = BITS) -> Model:
-    """Logistic regression with adaptive steps; each pair adds ``penalty`` times the squared change in log odds."""
+    """Logistic regression with adaptive steps; each sentence adds ``penalty`` times half the mean squared change in log odds."""
     none = np.zeros(0, np.int64)
     share = float(labels.mean()) if len(labels) else 0.0
     if share in (0.0, 1.0):
@@ -251,13 +263,13 @@ def train(bags: list[Bag], labels: np.ndarray, pairs: list[tuple[Bag, Bag]], pen
     # both labels weigh the same in all
     weight = np.where(wanted == 1, 0.5 / share, 0.5 / (1 - share))
     changes = []
-    for one, other in pairs:
-        change = np.zeros(len(buckets))
-        for (place, value), sign in ((row(one), 1), (row(other), -1)):
-            change[place] += sign * value
+    for (one, other), share_of_sentence in zip(pairs, _pair_weights(pairs), strict=True):
+        # scaled alike, so that only the grams of the swapped terms differ
+        kept, swapped = (np.bincount(model.known[b[0]], 1 + np.log(b[1]), len(buckets) + 1)[:-1] for b in (one, other))
+        change = (kept - swapped) / max(np.sqrt((kept * kept).sum()), 1.0)
         moved = np.flatnonzero(change)
         if len(moved):
-            changes.append((moved, change[moved]))
+            changes.append((moved, change[moved], penalty * share_of_sentence))
     turns = [(at, False) for at in range(len(rows))] + [(at, True) for at in range(len(changes) if penalty else 0)]
     w, seen, bias, seen_bias = model.weights, np.full(len(buckets), 1e-8), 0.0, 1e-8
     rng = np.random.default_rng(SEED)
@@ -265,15 +277,16 @@ def train(bags: list[Bag], labels: np.ndarray, pairs: list[tuple[Bag, Bag]], pen
         for turn in rng.permutation(len(turns)):
             at, paired = turns[turn]
             if paired:
-                place, value = changes[at]
-                step = 2 * penalty * float(w[place] @ value) * value
-            else:
-                place, value = rows[at]
-                error = 1 / (1 + np.exp(-np.clip(float(w[place] @ value) + bias, -50, 50))) - wanted[at]
-                error *= weight[at]
-                step = error * value + DECAY * w[place]
-                seen_bias += error * error
-                bias -= RATE * error / np.sqrt(seen_bias)
+                # the implicit step of the penalty: never too long, however large the penalty is
+                place, value, strength = changes[at]
+                w[place] -= strength * float(w[place] @ value) / (1 + strength * float(value @ value)) * value
+                continue
+            place, value = rows[at]
+            error = 1 / (1 + np.exp(-np.clip(float(w[place] @ value) + bias, -50, 50))) - wanted[at]
+            error *= weight[at]
+            step = error * value + DECAY * w[place]
+            seen_bias += error * error
+            bias -= RATE * error / np.sqrt(seen_bias)
             seen[place] += step * step
             w[place] -= RATE * step / np.sqrt(seen[place])
     return Model(buckets, w, float(bias), bits)

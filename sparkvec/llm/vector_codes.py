@@ -180,7 +180,8 @@ def integer_vectors(vectors: DataFrame, scale: int = SCALE, parts: int = PARTS,
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), -1)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return flat.reshape(len(column), len(flat) // max(len(column), 1))
 
 
 def first_codebooks(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES) -> np.ndarray:
@@ -188,8 +189,9 @@ def first_codebooks(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES)
     # Spark keeps the first few of every task; an id that stands in many rows is aggregated before
     least = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     found = [r.vector for r in least.orderBy(F.col("vec_id").asc_nulls_last()).limit(entries).collect()]
-    whole = np.array(found, np.int64).reshape(len(found), -1)
-    return np.stack(np.split(whole, parts, axis=1)) if len(found) else np.zeros((parts, 0, 0), np.int64)
+    if not found:
+        return np.zeros((parts, 0, 0), np.int64)
+    return np.stack(np.split(np.array(found, np.int64), parts, axis=1))
 
 
 def _assigned(vectors: np.ndarray, trees: list[Node | None], books: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:

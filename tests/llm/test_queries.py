@@ -16,4 +16,4 @@ def test_query(spark, sf_dir, name):
 
 def test_all_are_there():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
