@@ -19,7 +19,7 @@ from sparkvec.operators.checks import (
     check_weights,
 )
 from sparkvec.operators.encoding import EncoderFactory, encode_query
-from sparkvec.sources.store import resolve_store
+from sparkvec.sources.store import promoted_columns, resolve_store
 
 TOP_K = 5
 METADATA_TOP_K = 100
@@ -272,14 +272,34 @@ def hybrid_search(
     return found if include_distance else found.drop("combined_score")
 
 
-def metadata_condition(filters: dict, column: Column | None = None) -> Column:
-    """All of ``{key: value or list of values}`` hold."""
+_KINDS = {str: "string", bool: "boolean", int: "number", float: "number"}
+
+
+def _promoted_matches(column: str, kind: str, key: str, value) -> Column:
+    """The condition on a promoted column. Without a value of another JSON type or an integer
+    that doubles cannot tell apart it is all that need be read, and it reaches the scan."""
+    values = list(value) if isinstance(value, (list, tuple, set)) else [value]
+    whole = metadata_matches(F.col("metadata"), key, value)
+    if any(_KINDS.get(type(v)) != kind for v in values):
+        return whole
+    hit = F.col(column).isin([float(v) for v in values] if kind == "number" else values)
+    large = any(isinstance(v, int) and abs(v) > 2**53 for v in values)
+    return hit & whole if large else hit
+
+
+def metadata_condition(
+    filters: dict, column: Column | None = None, promoted: dict[str, tuple[str, str]] | None = None
+) -> Column:
+    """All of ``{key: value or list of values}`` hold; ``promoted`` names the typed columns of keys that have one."""
     if not filters:
         raise ValueError("the metadata filter is empty")
     document = F.col("metadata") if column is None else column
     condition = F.lit(True)
     for key, value in filters.items():
-        condition = condition & metadata_matches(document, key, value)
+        if promoted and key in promoted:
+            condition = condition & _promoted_matches(*promoted[key], key, value)
+        else:
+            condition = condition & metadata_matches(document, key, value)
     return condition
 
 
@@ -291,9 +311,10 @@ def search_by_metadata(
         raise ValueError("top_k must be positive")
     df, _ = resolve_store(store)
     late = isinstance(store, str) and top_k <= MAX_TOP_K
+    promoted = promoted_columns(df.sparkSession, store) if isinstance(store, str) else None
     keep = ["document_text", "metadata", "created_at"]
     newest = (
-        df.filter(metadata_condition(filters))
+        df.filter(metadata_condition(filters, promoted=promoted))
         .select("id", *(["created_at"] if late else keep))
         .orderBy(F.col("created_at").desc(), "id")
         .limit(top_k)

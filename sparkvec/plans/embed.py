@@ -118,17 +118,13 @@ def embed_table(
         id_col=id_col,
         text_col=text_col,
     )
-    if not dense_ids:
-        chunk_ids = packed_id(F.col(id_col), F.col("chunk_no")).alias("id")
-        chunked = chunk_documents(docs, chunk_size=chunk_size, overlap=overlap, id_col=id_col, text_col=text_col)
-        st.refuse_repeated_ids(spark, table, chunked.select(chunk_ids))
     if dense_ids:
         rows = rows.withColumn("id", F.lit(st.next_id(spark, table)) + F.col("chunk_index"))
     else:
         rows = rows.withColumn("id", packed_id(F.col(id_col), F.col("chunk_no")))
     whole = Observation()
     counted = rows.observe(whole, F.count_if(F.col("chunk_no") == 0).alias("documents"))
-    written = st.insert_embeddings(spark, table, counted, check_ids=False)
+    written = st.insert_embeddings(spark, table, counted, check_ids=not dense_ids)
     if written == 0:
         raise ValueError("there are no documents")
     return {
