@@ -39,6 +39,22 @@ class CellIndex:
         norms = np.linalg.norm(rows, axis=1, keepdims=True)
         return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
+    def filled_cells(self, rows: np.ndarray, probes: int, sizes: np.ndarray, least: int) -> np.ndarray:
+        """As :meth:`nearest_cells`, and more of them until they hold ``least`` rows; filled up with -1."""
+        lists = self.nearest_cells(rows, probes)
+        short = np.flatnonzero(sizes[lists].sum(axis=1) < least)
+        if not short.size:
+            return lists
+        wide = np.full((len(rows), self.cells), -1, dtype=np.int32)
+        wide[:, :probes] = lists
+        step = max(1, (1 << 23) // self.cells)
+        for start in range(0, short.size, step):
+            some = short[start : start + step]
+            order = self.nearest_cells(rows[some], self.cells)
+            before = np.cumsum(sizes[order], axis=1) - sizes[order]
+            wide[some] = np.where((before < least) | (np.arange(self.cells) < probes), order, -1)
+        return wide[:, : max(probes, int((wide >= 0).sum(axis=1).max()))]
+
     def nearest_cells(self, rows: np.ndarray, probes: int) -> np.ndarray:
         """(rows x probes) numbers of the nearest cells, nearest first."""
         rows = self._prepared(rows)
@@ -156,9 +172,16 @@ def approximate_topk(
     """Top-k among the ``probes`` cells nearest to each query: ``qid, rn, id, distance``.
 
     ``placed`` is the store with its ``cell`` column. Distances are exact; only
-    rows of cells that were not probed can be missed.
+    rows of cells that were not probed can be missed. A query whose cells hold
+    fewer than ``top_k`` rows probes further ones, so that it gets ``top_k`` rows
+    if the store has them; the rows of each cell are counted for that.
     """
     check_probes(probes, index.cells)
+    sizes = np.zeros(index.cells, dtype=np.int64)
+    # a row per cell
+    for row in placed.groupBy("cell").count().filter("cell is not null").collect():
+        sizes[row["cell"]] = row["count"]
+    least = top_k + int(exclude_same_id)
     return batch_topk(
         placed,
         queries,
@@ -171,7 +194,7 @@ def approximate_topk(
         query_vector_col=query_vector_col,
         probes={
             "cells": index.cells,
-            "nearest": lambda matrix: index.nearest_cells(matrix, probes),
+            "nearest": lambda matrix: index.filled_cells(matrix, probes, sizes, least),
         },
         broadcast_bytes=broadcast_bytes,
     )

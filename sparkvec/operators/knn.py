@@ -4,10 +4,13 @@ Every task streams its part of the store through a matrix product against a
 block of queries and keeps a running top-k per query, so a task emits at most
 ``queries x k`` narrow rows and the store itself is never shuffled. The query
 block is broadcast only while its size is within a bound; a larger query set is
-cut into blocks that are shuffled to the store instead.
+cut into blocks within that bound, which are broadcast in turn. Then the distances
+to some rows of the store are known first, and a task returns only what is as near
+as a query's k-th of those.
 """
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,13 +20,16 @@ from pyspark.sql import functions as F
 
 from sparkvec.functions.vectors import TIE_DECIMALS, as_matrix, check_metric
 from sparkvec.operators.checks import check_top_k
-from sparkvec.session import ensure_checkpoint_dir
+from sparkvec.session import ensure_checkpoint_dir, shared_dir
 
 BROADCAST_BYTES = 64 << 20  # vectors and running lists of the queries one task holds
 LIST_BYTES = 24  # one place of a running list
 WINNER_BYTES = 64  # one (query, rank, id, distance) row in a broadcast relation
 PRODUCT_CELLS = 1 << 23  # floats in one (queries x rows) product, 32 MB
 
+BLOCKS_PER_JOB = 4  # query blocks that one job searches; the driver holds them together
+BOUND_ROWS = 4096  # rows of the store that bound the distances of a query set in blocks
+
 SCREEN_NORM = 1e15  # vectors longer than this are not screened in single precision
 
 _PARTIAL = "_q long, id long, distance double"
@@ -43,7 +49,11 @@ class RunningTopK:
     makes the product ``(|q|^2 - distance^2) / 2``.
     """
 
-    def __init__(self, queries: np.ndarray, valid: np.ndarray, k: int, metric: str):
+    def __init__(
+        self, queries: np.ndarray, valid: np.ndarray, k: int, metric: str, ceiling: np.ndarray | None = None
+    ):
+        # a rank key that the k-th best row of the whole store does not exceed; infinite where unknown
+        self.ceiling = np.full(len(queries), np.inf) if ceiling is None else ceiling
         self.queries, self.k, self.metric = queries, k, metric
         self.norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
         self.defined = valid & (self.norms > 0) if metric == "cosine" else valid
@@ -98,8 +108,8 @@ class RunningTopK:
             _, own_q, own_r = np.intersect1d(skip_own_id[numbers], ids, return_indices=True)
             own[own_q, own_r] = True
         product[unsure | own] = -np.inf
-        limit = self.bound[numbers]
-        full = (self.count[numbers] >= self.k) & np.isfinite(limit)
+        limit = np.minimum(self.bound[numbers], self.ceiling[numbers])
+        full = np.isfinite(self.ceiling[numbers]) | ((self.count[numbers] >= self.k) & np.isfinite(limit))
         tie = 2 * 10.0**-TIE_DECIMALS
         # Rounding of the inputs and of the sum, both ways.
         unit_error = 2.0 * (screen.shape[1] + 4) * np.finfo(np.float32).eps
@@ -136,6 +146,7 @@ class RunningTopK:
     def _offer_undefined(self, numbers, ids, undefined_ids, skip_own_id) -> None:
         """Rows without a distance come last, in id order, while there is room for them."""
         lacking = numbers[(self.count[numbers] < self.k) | np.isinf(self.bound[numbers])]
+        lacking = lacking[np.isinf(self.ceiling[lacking])]
         for number in lacking:
             offered = undefined_ids if self.defined[number] else ids
             if skip_own_id is not None:
@@ -201,24 +212,19 @@ def _salts(spark: SparkSession, queries: int) -> int:
     return max(1, parallelism // max(1, queries))
 
 
-def _bounded_queries(
-    queries: DataFrame, k: int, limit_bytes: int
-) -> tuple[pa.Table | None, DataFrame]:
+def _need(k: int):
+    return F.lit(8) * F.coalesce(F.size("_v"), F.lit(0)).cast("long") + F.lit(LIST_BYTES * k)
+
+
+def _bounded_queries(queries: DataFrame, k: int, limit_bytes: int) -> tuple[pa.Table | None, DataFrame]:
     """The query set itself if it is within the bound, else None; and the set as a DataFrame.
 
-    More than a few queries are checkpointed before they are measured, so that
-    an encoder behind them runs once. What is fetched never exceeds the bound.
+    It is checkpointed before it is measured, so that an encoder behind it runs
+    once. What is fetched never exceeds the bound.
     """
-    few = 1024
-    head = queries.limit(few + 1).toArrow()
-    if head.num_rows <= few:
-        lengths = head["_v"].combine_chunks().value_lengths().to_pylist()
-        held = 8 * sum(n or 0 for n in lengths) + LIST_BYTES * k * len(lengths)
-        return (head if held <= limit_bytes else None), queries
     ensure_checkpoint_dir(queries.sparkSession)
     queries = queries.checkpoint()
-    need = F.lit(8) * F.size("_v").cast("long") + F.lit(LIST_BYTES * k)
-    held = queries.agg(F.sum(need)).head()[0]
+    held = queries.agg(F.sum(_need(k))).head()[0] or 0
     return (queries.toArrow() if held <= limit_bytes else None), queries
 
 
@@ -242,9 +248,14 @@ def batch_topk(
     keep: tuple[str, ...] = (),
     probes: dict | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    checkpoint_store: bool = False,
 ) -> DataFrame:
     """The ``top_k`` nearest store rows of every query: ``qid, rn, id, distance``.
 
+    Queries beyond ``broadcast_bytes`` are searched at once, in jobs of a few blocks,
+    each of which reads the store's ids and vectors; ``checkpoint_store`` writes these
+    down before, for a store that is not files but is computed by an encoder.
+
     ``keep`` names further store columns to add. The search itself moves ids and
     distances only; the columns are fetched afterwards for the rows that won, by
     a broadcast of the winners where their number is within the bound.
@@ -268,6 +279,8 @@ def batch_topk(
     if table is not None:
         merged = _broadcast_topk(spark, rows, table, top_k, metric, exclude_same_id, probes)
     else:
+        if checkpoint_store:
+            rows = rows.checkpoint()
         merged = _blocked_topk(
             spark, rows, asked, top_k, metric, exclude_same_id, probes, broadcast_bytes
         )
@@ -296,105 +309,72 @@ def _offer_batch(running: RunningTopK, batch, own_ids, probe_lists) -> None:
             running.add(ids[inside], matrix[inside], valid[inside], only, own_ids)
 
 
-def _broadcast_topk(spark, rows, table, k, metric, exclude_same_id, probes) -> DataFrame:
+def _partial_topk(spark, rows, table, k, metric, exclude_same_id, probes, ceiling=None) -> DataFrame:
+    """Each task's best rows for a query set within the broadcast bound."""
     numbers = np.asarray(table["_q"].combine_chunks())
     matrix, valid = _query_matrix(table)
     probe_lists = None
     if probes is not None:
         probe_lists = probes["nearest"](matrix)
-        wanted = np.unique(probe_lists)
+        wanted = np.unique(probe_lists[probe_lists >= 0])
         if wanted.size < probes["cells"]:
             # A literal list over the partition column: other cells are not read.
             rows = rows.filter(F.col("cell").isin([int(c) for c in wanted]))
-    shared = spark.sparkContext.broadcast((numbers, matrix, valid, probe_lists))
+    shared = spark.sparkContext.broadcast((numbers, matrix, valid, probe_lists, ceiling))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_numbers, q_matrix, q_valid, q_probes = shared.value
-        running = RunningTopK(q_matrix, q_valid, k, metric)
+        q_numbers, q_matrix, q_valid, q_probes, q_ceiling = shared.value
+        running = RunningTopK(q_matrix, q_valid, k, metric, q_ceiling)
         for batch in batches:
             _offer_batch(running, batch, q_numbers if exclude_same_id else None, q_probes)
         yield running.result(q_numbers)
 
-    return _merge(rows.mapInArrow(search, _PARTIAL), k, _salts(spark, len(numbers)))
+    return rows.mapInArrow(search, _PARTIAL)
+
+
+def _broadcast_topk(spark, rows, table, k, metric, exclude_same_id, probes) -> DataFrame:
+    partial = _partial_topk(spark, rows, table, k, metric, exclude_same_id, probes)
+    return _merge(partial, k, _salts(spark, table.num_rows))
+
+
+def _ceiling(sample: pa.Table, table: pa.Table, k: int, metric: str, exclude_same_id: bool) -> np.ndarray:
+    """The rank key of each query's k-th best row of the sample; infinite where it has fewer."""
+    matrix, valid = _query_matrix(table)
+    running = RunningTopK(matrix, valid, k, metric)
+    own = np.asarray(table["_q"].combine_chunks()) if exclude_same_id else None
+    for batch in sample.to_batches():
+        _offer_batch(running, batch, own, None)
+    return np.where(running.count >= k, running.bound, np.inf)
 
 
 def _blocked_topk(
     spark, rows, asked, k, metric, exclude_same_id, probes, block_bytes
 ) -> DataFrame:
-    """Exact top-k for a query set of any size, without a broadcast.
+    """Exact top-k for a query set of any size: blocks of at most about ``block_bytes`` are broadcast in turn.
 
-    Queries are hashed into blocks of at most about ``block_bytes``, store rows
-    into slices. Each (block, slice) pair meets in one group: the queries are
-    sorted first and held, the rows are streamed past them. What is held is one
-    block; a slice may have any length.
+    The store is scanned once per block and never shuffled; only the tasks' short
+    lists are. Results are written to the shared folder job by job, so that the
+    driver and the tasks hold a few blocks at a time.
     """
-    sizes = asked.agg(F.count(F.lit(1)), F.max(F.size("_v"))).head()
-    need = 8 * max(1, sizes[1] or 1) + LIST_BYTES * k
-    blocks = max(1, math.ceil(2 * sizes[0] * need / block_bytes))
-    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Long slices: a running list that is already good screens most pairs out.
-    slices = max(1, math.ceil(2 * parallelism / blocks))
-    parts = blocks * slices
-    has_cells = probes is not None
-    cell = F.col("cell") if has_cells else F.lit(None).cast("int")
-    held = asked.select(
-        F.pmod(F.xxhash64("_q"), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
-        F.lit(0).alias("kind"),
-        F.col("_q").alias("id"),
-        "_v",
-        F.lit(None).cast("int").alias("cell"),
-    )
-    streamed = rows.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.pmod(F.xxhash64("id", "_v"), F.lit(slices)).cast("int").alias("slice"),
-        F.lit(1).alias("kind"),
-        "id",
-        "_v",
-        cell.alias("cell"),
-    )
-    met = (
-        held.unionByName(streamed)
-        .withColumn("pair", F.col("block") * F.lit(slices) + F.col("slice"))
-        .drop("block", "slice")
-        .repartition(parts, "pair")
-        .sortWithinPartitions("pair", "kind")
-    )
-    nearest = probes["nearest"] if has_cells else None
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, waiting, running, q_numbers, q_probes = None, [], None, None, None
-
-        def start():
-            table = pa.Table.from_batches(waiting).select(["id", "_v"]).rename_columns(["_q", "_v"])
-            matrix, valid = _query_matrix(table)
-            numbers = np.asarray(table["_q"].combine_chunks())
-            lists = nearest(matrix) if nearest is not None else None
-            return RunningTopK(matrix, valid, k, metric), numbers, lists
-
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            pairs = np.asarray(batch.column("pair")).astype(np.int64)
-            kinds = np.asarray(batch.column("kind")).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(pairs * 2 + kinds)) + 1
-            edges = [0, *cuts.tolist(), batch.num_rows]
-            for lo, hi in zip(edges[:-1], edges[1:]):
-                piece = batch.slice(lo, hi - lo)
-                if pairs[lo] != current:
-                    if running is not None:
-                        yield running.result(q_numbers)
-                    current, waiting, running = pairs[lo], [], None
-                if kinds[lo] == 0:
-                    waiting.append(piece)
-                    continue
-                if running is None:
-                    if not waiting:
-                        continue  # no query hashed into this block
-                    running, q_numbers, q_probes = start()
-                    waiting = []
-                _offer_batch(running, piece, q_numbers if exclude_same_id else None, q_probes)
-        if running is not None:
-            yield running.result(q_numbers)
-
-    return _merge(met.mapInArrow(search, _PARTIAL), k, 1)
+    sizes = asked.agg(F.count(F.lit(1)), F.max(_need(k))).head()
+    blocks = max(1, math.ceil(2 * sizes[0] * (sizes[1] or 1) / block_bytes))
+    # Rows of the sample weigh no more than a block, however long the vectors are.
+    fits = max(1, min(BOUND_ROWS, block_bytes // max(1, sizes[1] - LIST_BYTES * k)))
+    sample = rows.limit(fits).toArrow() if probes is None else None
+    path = f"{shared_dir(spark)}/sparkvec_knn/{uuid.uuid4().hex}"
+    block = F.pmod(F.xxhash64("_q", "_v"), F.lit(blocks))
+    # written by block, so that each is read alone
+    asked.withColumn("block", block).write.partitionBy("block").parquet(f"{path}/queries")
+    placed = spark.read.parquet(f"{path}/queries")
+    found = [r[0] for r in placed.select("block").distinct().orderBy("block").collect()]
+    for first in range(0, len(found), BLOCKS_PER_JOB):
+        parts = []
+        for number in found[first : first + BLOCKS_PER_JOB]:
+            table = placed.filter(F.col("block") == number).select("_q", "_v").toArrow()
+            ceiling = _ceiling(sample, table, k, metric, exclude_same_id) if sample is not None else None
+            parts.append(_partial_topk(spark, rows, table, k, metric, exclude_same_id, probes, ceiling))
+        together = parts[0]
+        for part in parts[1:]:
+            together = together.union(part)
+        _merge(together, k, 1).write.mode("append").parquet(f"{path}/found")
+    return spark.read.parquet(f"{path}/found")

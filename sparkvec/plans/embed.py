@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,7 +95,7 @@ def embed_table(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> dict:
-    """Validate, chunk, encode and append documents to a store; returns the counts.
+    """Validate, chunk, encode and append documents to a store; returns the counts and the seconds it took.
 
     A null or blank document fails the job and nothing is appended. It is found
     while the job runs, without a pass of its own; ``validate_first`` spends
@@ -103,6 +105,7 @@ def embed_table(
     order; the numbering needs one more shuffle. Without it, ids are made of
     document id and chunk number.
     """
+    started = time.perf_counter()
     if validate_first:
         require_valid_documents(docs, id_col=id_col, text_col=text_col)
     text = F.col(text_col)
@@ -132,5 +135,6 @@ def embed_table(
         "chunks_created": written,
         "embeddings_generated": written,
         "records_inserted": written,
+        "processing_time": time.perf_counter() - started,
         "errors": 0,
     }

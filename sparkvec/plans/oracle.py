@@ -100,6 +100,19 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(d, 9), i
 SELECT qid, rn, id, round(d, 6) AS distance FROM ranked WHERE rn <= 10"""
 
 
+def filled_topk(cells: int, probes: int, least: int) -> str:
+    """The same, where a query reads cells, nearest first, until they hold ``least`` rows."""
+    whole = probed_topk(cells, probes)
+    sized = f"""sizes AS (SELECT cell, count(*) AS n FROM near WHERE place = 1 GROUP BY cell),
+reach AS (
+  SELECT id, cell, place, coalesce(sum(coalesce(n, 0)) OVER (
+    PARTITION BY id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM near LEFT JOIN sizes USING (cell)),
+pairs AS ("""
+    whole = whole.replace("pairs AS (", sized, 1)
+    return whole.replace(f"JOIN near a ON a.id = q.id AND a.place <= {probes}", f"JOIN reach a ON a.id = q.id AND (a.place <= {probes} OR a.before < {least})")
+
+
 def semantic(metric: str, limit: int, columns: str, having: str = "") -> str:
     formula = (COSINE if metric == "cosine" else EUCLID).format(a="v.vec", b="o.vec")
     return f"""WITH {STORE}, {DOC_VECTORS}, {FIRST_VECTOR},
@@ -204,6 +217,7 @@ ORACLES: dict[str, str] = {
     "similar_documents_all_blocked": self_topk("euclidean"),
     "ann_topk_all_cells": self_topk("cosine"),
     "ann_topk_given_cells": probed_topk(8, 3),
+    "ann_topk_filled": filled_topk(100, 1, 11),
     "table_search": similar(
         "cosine", True, "id, document_text, metadata, round(d, 6) AS distance"
     ),
@@ -226,6 +240,8 @@ FROM embedded e JOIN dv v USING (id)""",
 SELECT id, document_text, true AS dropped, false AS left_over, true AS other_listed FROM embedded""",
     "execute_command": f"""WITH {EMBEDDED}
 SELECT id, document_text, (SELECT count(*) FROM embedded) AS affected FROM embedded""",
+    "execute_command_cte": f"""WITH {EMBEDDED}
+SELECT id, document_text, (SELECT count(*) FROM embedded) AS affected, true AS refused FROM embedded""",
     "insert_twice": f"""WITH {EMBEDDED}
 SELECT id, metadata, true AS refused, true AS stamped FROM embedded""",
     "read_documents": "SELECT doc_id, text FROM documents",
@@ -256,6 +272,9 @@ FROM events WHERE json_extract(props, '$.k')::VARCHAR = '42' ORDER BY ts DESC, e
 SELECT * FROM store WHERE json_extract_string(metadata, '$.lang') IN ('fr', 'es')
   AND json_extract_string(metadata, '$.source') IN ('src1', 'src4', 'src9')
 ORDER BY created_at DESC, id LIMIT 100""",
+    "metadata_promoted": f"""WITH {EMBEDDED}
+SELECT id, document_text, metadata FROM embedded WHERE json_extract_string(metadata, '$.lang') IN ('fr', 'es')
+  AND json_extract_string(metadata, '$.source') IN ('src1', 'src4', 'src9')""",
     "chunk_documents": chunks(500, 50, CORE_COUNT),
     "chunk_documents_tail": chunks(500, 50, TAIL_COUNT),
     "chunk_documents_wide_overlap": chunks(200, 150, CORE_COUNT),
@@ -283,6 +302,10 @@ SELECT doc_id, 'empty' AS reason FROM blanked WHERE trim(text) = ''""",
     "processing_stats": f"""SELECT count(*) AS documents_processed,
   sum(CASE WHEN length(text) <= 500 THEN 1 ELSE {CORE_COUNT.format(size=500, step=450)} END)::BIGINT AS chunks_created,
   count(*) FILTER (trim(text) = '') AS errors FROM documents""",
+    "processing_run": f"""SELECT count(*) AS documents_processed, c AS chunks_created, c AS embeddings_generated,
+  c AS records_inserted, 0::BIGINT AS errors, true AS timed FROM documents, (
+    SELECT sum(CASE WHEN length(text) <= 500 THEN 1 ELSE {CORE_COUNT.format(size=500, step=450)} END)::BIGINT AS c
+    FROM documents) GROUP BY c""",
     "hash_encode": f"""WITH {DOC_VECTORS}
 SELECT id AS doc_id, bucket::INTEGER AS bucket, round(weight, 6) AS weight FROM dv_weights""",
     "encode_batch_udf": f"""WITH {DOC_VECTORS}
@@ -296,6 +319,15 @@ FROM context JOIN benchmark b ON b.item_id = qid""",
 SELECT qid, b.text AS question, trim(split_part(substring(context_text, 14), chr(10), 1)) AS answer,
   context_count, CAST(NULL AS VARCHAR) AS error
 FROM context JOIN benchmark b ON b.item_id = qid""",
+    "rag_batch_refused": f"""WITH {CONTEXT}
+SELECT qid, trim(split_part(substring(context_text, 14), chr(10), 1)) AS answer,
+  context_count, CAST(NULL AS VARCHAR) AS error FROM context
+UNION ALL
+SELECT -1 - conv_id * 2097152 - turn, NULL, 0, 'the question is blank' FROM conversations WHERE role = 'user'""",
+    "rag_query": f"""WITH {CONTEXT}
+SELECT b.text AS question, trim(split_part(substring(context_text, 14), chr(10), 1)) AS answer, context_count,
+  (SELECT string_agg(id::VARCHAR, ',' ORDER BY rn) FROM ranked r WHERE r.qid = c.qid AND rn <= 3) AS ids
+FROM context c JOIN benchmark b ON b.item_id = qid WHERE qid = (SELECT min(item_id) FROM benchmark)""",
     "rag_answer_quality": f"""WITH pairs AS (
   SELECT q.conv_id, q.turn, q.text AS question, a.text AS answer, g.text AS truth,
          list_filter([e.text, q.text], lambda x: x IS NOT NULL) AS context

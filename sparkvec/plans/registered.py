@@ -224,6 +224,15 @@ def metadata_in_list(spark, sf_dir):
     )
 
 
+@query
+def metadata_promoted(spark, sf_dir):
+    """The same in a store whose keys have columns of their own, so that the filter reaches the scan."""
+    table = _new_table(spark, "promoted", promoted={"lang": "string", "source": "string"})
+    st.insert_embeddings(spark, table, sample.embedding_store(spark, sf_dir))
+    filters = {"lang": ["fr", "es"], "source": ["src1", "src4", "src9"]}
+    return search.search_by_metadata(table, filters, top_k=100_000).select("id", "document_text", "metadata")
+
+
 @query
 def ann_topk_all_cells(spark, sf_dir):
     """Approximate search with every cell probed: the exact answer."""
@@ -273,6 +282,22 @@ def ann_topk_given_cells(spark, sf_dir):
     return _rounded(found, "distance")
 
 
+@query
+def ann_topk_filled(spark, sf_dir):
+    """Small cells, of which a query probes one, and as many more as it takes to find ten rows."""
+    vectors = sample.read(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id")
+    index = cells.given_cells(vectors, cells=100)
+    found = cells.approximate_topk(
+        cells.assign_cells(vectors, index),
+        vectors.withColumnRenamed("id", "qid"),
+        index,
+        probes=1,
+        top_k=TOP_K,
+        exclude_same_id=True,
+    )
+    return _rounded(found, "distance")
+
+
 # --- text preparation --------------------------------------------------------
 
 
@@ -403,6 +428,34 @@ def rag_batch(spark, sf_dir):
     return results.select("qid", "question", "answer", "context_count", "error")
 
 
+@query
+def rag_batch_refused(spark, sf_dir):
+    """The same with a blank question for every turn of a user: each is refused alone."""
+    turns = sample.read(spark, sf_dir, "conversations").filter("role = 'user'")
+    blank = turns.select((-1 - F.shiftleft("conv_id", 21) - F.col("turn")).alias("qid"), F.lit(" \n").alias("question"))
+    results = rag.rag_batch(
+        sample.document_store(spark, sf_dir),
+        sample.benchmark_questions(spark, sf_dir).unionByName(blank),
+        sample.ENCODER,
+        rag.ExtractiveGenerator,
+    )
+    return results.select("qid", "answer", "context_count", "error")
+
+
+@query
+def rag_query(spark, sf_dir):
+    """One question against all documents."""
+    result = rag.rag_query(
+        sample.document_store(spark, sf_dir),
+        sample.first_benchmark_text(spark, sf_dir),
+        sample.ENCODER,
+        rag.ExtractiveGenerator,
+    )
+    row = (result["question"], result["answer"], result["context_count"], [m["id"] for m in result["context_metadata"]])
+    found = spark.createDataFrame([row], "question string, answer string, context_count int, ids array<long>")
+    return found.withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
+
+
 @query
 def rag_answer_quality(spark, sf_dir):
     metrics = rag.answer_quality(
@@ -454,7 +507,7 @@ def rag_stats(spark, sf_dir):
 # --- store tables ------------------------------------------------------------
 
 
-def _new_table(spark, name):
+def _new_table(spark, name, **settings):
     table = f"sparkvec_{name}"
     st.create_vector_store(
         spark,
@@ -463,6 +516,7 @@ def _new_table(spark, name):
             dimensions=sample.DIMENSIONS,
             drop_if_exists=True,
             location=f"{shared_dir(spark)}/sparkvec_tables",
+            **settings,
         ),
     )
     return table
@@ -497,6 +551,16 @@ def embed_documents(spark, sf_dir):
     )
 
 
+@query
+def processing_run(spark, sf_dir):
+    """The counts and the time that the whole embedding job reports."""
+    table = _new_table(spark, "run")
+    report = embed_table(spark, sample.read(spark, sf_dir, "documents"), table, sample.ENCODER)
+    timed = report.pop("processing_time") > 0
+    fields = ", ".join(f"{name} long" for name in report)
+    return spark.createDataFrame([(*report.values(), timed)], f"{fields}, timed boolean")
+
+
 @query
 def embed_documents_stream(spark, sf_dir):
     """The embedding job as a stream that works off the files it finds."""
@@ -537,6 +601,22 @@ def execute_command(spark, sf_dir):
     return spark.table(target).select("id", "document_text", F.lit(affected).cast("long").alias("affected"))
 
 
+@query
+def execute_command_cte(spark, sf_dir):
+    """A store filled by a statement that begins with WITH, after a comment; a second time its ids are refused."""
+    source, target = _filled_table(spark, sf_dir, "cte_source"), _new_table(spark, "cte")
+    command = f"-- copy\nWITH rows AS (SELECT * FROM {source}) INSERT INTO {target} SELECT * FROM rows"
+    affected = st.execute_command(spark, command)
+    try:
+        st.execute_command(spark, command)
+        refused = False
+    except ValueError:
+        refused = True
+    return spark.table(target).select(
+        "id", "document_text", F.lit(affected).cast("long").alias("affected"), F.lit(refused).alias("refused")
+    )
+
+
 @query
 def insert_twice(spark, sf_dir):
     """The same ids a second time are refused, and the table stays as it was."""

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparkvec.operators import cells
+from sparkvec.operators.encoding import HashEncoder, HashEncoderFactory, encode_text
 from sparkvec.operators.knn import RunningTopK, batch_topk
 
 ROWS, QUERIES, DIM = 700, 23, 12
@@ -163,3 +165,68 @@ def test_no_queries(spark, frames):
     _, _, store, _ = frames
     none = spark.createDataFrame([], "qid long, embedding array<float>")
     assert batch_topk(store, none, top_k=3).collect() == []
+
+
+class CountingFactory(HashEncoderFactory):
+    """Leaves a line in a file for every text it encodes."""
+
+    def __init__(self, dimension, path):
+        super().__init__(dimension)
+        self.path = path
+
+    def __call__(self):
+        return Counting(self.dimension, self.path)
+
+
+class Counting(HashEncoder):
+    def __init__(self, dimension, path):
+        super().__init__(dimension)
+        self.path = path
+
+    def encode(self, texts, batch_size=32):
+        with open(self.path, "a") as out:
+            out.writelines("x\n" for _ in texts)
+        return super().encode(texts, batch_size)
+
+
+@pytest.mark.parametrize("queries, bound", [(50, 1 << 20), (50, 2000), (1100, 1 << 20), (1100, 30_000)])
+def test_an_encoder_runs_once_and_the_store_stays(spark, frames, tmp_path, queries, bound):
+    _, _, store, _ = frames
+    log = tmp_path / "calls"
+    texts = spark.range(queries).select(F.col("id").alias("qid"), F.concat(F.lit("question "), "id").alias("q"))
+    asked = texts.select("qid", encode_text(F.col("q"), CountingFactory(DIM, str(log))).alias("embedding"))
+    found = batch_topk(store, asked, top_k=3, broadcast_bytes=bound)
+    assert found.groupBy("qid").count().filter("count = 3").count() == queries
+    assert len(log.read_text().splitlines()) == queries
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_a_ceiling_changes_no_result(metric):
+    rng = np.random.default_rng(2)
+    rows, queries = rng.standard_normal((300, 5)), rng.standard_normal((9, 5))
+    rows[20:60] = rows[3]
+    valid = np.ones(9, bool)
+    whole = RunningTopK(queries, valid, 7, metric)
+    whole.add(np.arange(300), rows, np.ones(300, bool))
+    some = RunningTopK(queries, valid, 7, metric)
+    some.add(np.arange(0, 300, 5), rows[::5], np.ones(60, bool))
+    limited = RunningTopK(queries, valid, 7, metric, some.bound)
+    offered = 0
+    for start in range(0, 300, 30):
+        part = RunningTopK(queries, valid, 7, metric, some.bound)
+        part.add(np.arange(start, start + 30), rows[start : start + 30], np.ones(30, bool))
+        offered += int(part.count.sum())
+        limited.add(np.arange(start, start + 30), rows[start : start + 30], np.ones(30, bool))
+    assert (limited.ids == whole.ids).all() and np.allclose(limited.exact, whole.exact)
+    assert offered < 10 * 9 * 7 / 2  # tasks return less than k rows a query
+
+
+def test_cells_are_read_until_there_are_k_rows(spark, frames):
+    rows, queries, store, asked = frames
+    index = cells.given_cells(store, cells=150)
+    placed = cells.assign_cells(store, index)
+    for bound in (1 << 20, 900):
+        found = cells.approximate_topk(placed, asked, index, probes=1, top_k=25, broadcast_bytes=bound)
+        assert {r["count"] for r in found.groupBy("qid").count().collect()} == {25}
+    every = cells.approximate_topk(placed, asked, index, probes=1, top_k=1000)
+    assert collect(every) == brute(rows, queries, 1000, "cosine")
