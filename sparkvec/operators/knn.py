@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ LIST_BYTES = 24  # one place of a running list
 WINNER_BYTES = 64  # one (query, rank, id, distance) row in a broadcast relation
 PRODUCT_CELLS = 1 << 23  # floats in one (queries x rows) product, 32 MB
 
-BLOCKS_PER_JOB = 4  # query blocks that one job searches; the driver holds them together
+BLOCKS_PER_JOB = (4, 16)  # query blocks that one job searches, by their size; the driver holds them together
 BOUND_ROWS = 4096  # rows of the store that bound the distances of a query set in blocks
 
 SCREEN_NORM = 1e15  # vectors longer than this are not screened in single precision
@@ -357,7 +358,7 @@ def _blocked_topk(
     driver and the tasks hold a few blocks at a time.
     """
     sizes = asked.agg(F.count(F.lit(1)), F.max(_need(k))).head()
-    blocks = max(1, math.ceil(2 * sizes[0] * (sizes[1] or 1) / block_bytes))
+    blocks = max(1, math.ceil(1.25 * sizes[0] * (sizes[1] or 1) / block_bytes))
     # Rows of the sample weigh no more than a block, however long the vectors are.
     fits = max(1, min(BOUND_ROWS, block_bytes // max(1, sizes[1] - LIST_BYTES * k)))
     sample = rows.limit(fits).toArrow() if probes is None else None
@@ -366,13 +367,18 @@ def _blocked_topk(
     # written by block, so that each is read alone
     asked.withColumn("block", block).write.partitionBy("block").parquet(f"{path}/queries")
     placed = spark.read.parquet(f"{path}/queries")
-    found = [r[0] for r in placed.select("block").distinct().orderBy("block").collect()]
-    for first in range(0, len(found), BLOCKS_PER_JOB):
+    per_job = min(max(BROADCAST_BYTES // block_bytes, BLOCKS_PER_JOB[0]), BLOCKS_PER_JOB[1])
+    for first in range(0, blocks, per_job):
+        held = placed.filter(F.col("block").between(first, first + per_job - 1)).toArrow()
         parts = []
-        for number in found[first : first + BLOCKS_PER_JOB]:
-            table = placed.filter(F.col("block") == number).select("_q", "_v").toArrow()
+        for number in range(first, min(first + per_job, blocks)):
+            table = held.filter(pc.equal(held["block"], number)).select(["_q", "_v"])
+            if not table.num_rows:
+                continue
             ceiling = _ceiling(sample, table, k, metric, exclude_same_id) if sample is not None else None
             parts.append(_partial_topk(spark, rows, table, k, metric, exclude_same_id, probes, ceiling))
+        if not parts:
+            continue
         together = parts[0]
         for part in parts[1:]:
             together = together.union(part)
