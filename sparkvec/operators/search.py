@@ -19,6 +19,7 @@ from sparkvec.operators.checks import (
     check_weights,
 )
 from sparkvec.operators.encoding import EncoderFactory, encode_query
+from sparkvec.operators.postings import matches
 from sparkvec.sources.store import promoted_columns, resolve_store
 
 TOP_K = 5
@@ -194,9 +195,15 @@ def text_score(
     min_token_length: int = MIN_TOKEN_LENGTH,
     stop_words: tuple[str, ...] = (),
     output: str = "match",
+    postings: str | None = None,
+    id_col: str = "id",
 ) -> DataFrame:
     """Add a keyword relevance: the sum over query words of ``tf * idf * idf``.
 
+    With ``postings``, a folder that :func:`sparkvec.operators.postings.write_postings`
+    filled with these rows, no text is read and the scores are joined by ``id_col``.
+    Without:
+
     ``idf = log10(rows / rows with the word)``. As every occurrence of a word
     adds its ``idf * idf``, the score needs no per-document word counts: one
     pass finds the document frequencies of the query's words (as many groups as
@@ -206,6 +213,10 @@ def text_score(
     tokens = [t for t in query_tokens(query, min_token_length) if t not in stop_words]
     if not tokens:
         return df.withColumn(output, F.lit(0.0))
+    if postings is not None:
+        found = matches(df.sparkSession, postings, tokens, output).withColumnRenamed("id", "_hit")
+        joined = df.join(found, df[id_col].cast("long") == F.col("_hit"), "left").drop("_hit")
+        return joined.withColumn(output, F.coalesce(output, F.lit(0.0)))
     hits = F.filter(F.split(F.lower(F.col(text_col)), tx.SPACES), lambda w: w.isin(tokens))
     rows = df.agg(F.count(F.lit(1)))
     frequency = (
@@ -239,36 +250,38 @@ def hybrid_search(
     include_distance: bool = False,
     metric: str | None = None,
     min_token_length: int = MIN_TOKEN_LENGTH,
+    postings: str | None = None,
 ) -> DataFrame:
     """Rank by ``text_weight * (1 - match) + vector_weight * distance``, smallest first.
 
-    Kept are rows with a keyword match or a distance below 1.
+    Kept are rows with a keyword match or a distance below 1. With ``postings``
+    (see :func:`text_score`) only ids and vectors are read, and then the winners' texts.
     """
     check_weights(text_weight, vector_weight)
     check_top_k(top_k)
     check_query_text(query)
     df, metric = resolve_store(store, metric)
     vector = _query_vector(query if query_vector is None else query_vector, encoder_factory)
-    scored = text_score(
-        df.select("id", "document_text", "metadata", "embedding"),
-        query,
-        min_token_length=min_token_length,
-    ).select(
-        "id",
-        "document_text",
-        "metadata",
-        "match",
-        distance_to(F.col("embedding"), vector, metric).alias("_distance"),
-    )
+    away = distance_to(F.col("embedding"), vector, metric).alias("_distance")
+    late = postings is not None and top_k <= MAX_TOP_K
+    keep = [] if late else ["document_text", "metadata"]
+    if postings is not None:
+        scored = text_score(df.select("id", *keep, away), query, min_token_length=min_token_length, postings=postings)
+    else:
+        scored = text_score(
+            df.select("id", "document_text", "metadata", "embedding"), query, min_token_length=min_token_length
+        ).select("id", *keep, "match", away)
     combined = F.lit(float(text_weight)) * (F.lit(1.0) - F.col("match")) + F.lit(
         float(vector_weight)
     ) * F.col("_distance")
     found = (
         scored.filter((F.col("match") > 0) | (F.col("_distance") < HYBRID_DISTANCE))
-        .select("id", "document_text", "metadata", combined.alias("combined_score"))
+        .select("id", *keep, combined.alias("combined_score"))
         .orderBy(rank_key("combined_score"), "id")
         .limit(top_k)
     )
+    if late:
+        found = fetch_rows(df, found, ["document_text", "metadata"])
     return found if include_distance else found.drop("combined_score")
 
 

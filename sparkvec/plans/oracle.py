@@ -391,3 +391,6 @@ SELECT id, document_text, metadata, 'optimized' AS status,
 SELECT id, length(document_text)::INTEGER AS characters FROM store
 WHERE json_extract_string(metadata, '$.lang') = 'fr'""",
 }
+
+ORACLES["text_score_postings"] = ORACLES["text_score"]
+ORACLES["hybrid_search_postings"] = ORACLES["hybrid_search"]

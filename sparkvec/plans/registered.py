@@ -13,6 +13,7 @@ from sparkvec.functions.vectors import distance, vector_from_text, vector_to_tex
 from sparkvec.operators import cells, chunking, rag, search, stats
 from sparkvec.operators.encoding import encode_documents, encode_text, hash_weights
 from sparkvec.operators.knn import batch_topk
+from sparkvec.operators.postings import write_postings
 from sparkvec.plans.embed import embed_table
 from sparkvec.session import shared_dir
 from sparkvec.sources import sample
@@ -194,6 +195,37 @@ def text_score(spark, sf_dir):
     return scored.select("id", F.round("match", 6).alias("match"))
 
 
+def _postings(spark, rows):
+    path = f"{shared_dir(spark)}/sparkvec_postings/{uuid.uuid4().hex}"
+    write_postings(rows, path)
+    return path
+
+
+@query
+def text_score_postings(spark, sf_dir):
+    """The same from postings that were written before."""
+    rows = sample.document_rows(spark, sf_dir)
+    asked = sample.first_benchmark_text(spark, sf_dir)
+    scored = search.text_score(rows.select("id"), asked, postings=_postings(spark, rows))
+    return scored.select("id", F.round("match", 6).alias("match"))
+
+
+@query
+def hybrid_search_postings(spark, sf_dir):
+    """Hybrid search of a stored table that reads no text but the winners'."""
+    table = _new_table(spark, "hybrid")
+    st.insert_embeddings(spark, table, sample.document_store(spark, sf_dir))
+    found = search.hybrid_search(
+        table,
+        sample.first_benchmark_text(spark, sf_dir),
+        top_k=TOP_K,
+        encoder_factory=sample.ENCODER,
+        include_distance=True,
+        postings=_postings(spark, spark.table(table).select("id", "document_text")),
+    )
+    return _rounded(found, "combined_score")
+
+
 @query
 def hybrid_search(spark, sf_dir):
     found = search.hybrid_search(

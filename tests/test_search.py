@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkvec.operators import cells, knn, search
 from sparkvec.operators import stats as ss
 from sparkvec.operators.encoding import HashEncoderFactory, encode_documents
+from sparkvec.operators.postings import matches, write_postings
 
 ENCODER = HashEncoderFactory(32)
 TEXTS = [
@@ -245,3 +246,28 @@ def test_distance_is_computed_once(store):
     found = search.hybrid_search(store, "spark words", encoder_factory=ENCODER)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("encode(") == 1 and plan.count("kernel(") == 1
+
+
+def test_postings_score_as_the_texts_do(spark, store, tmp_path):
+    """Without a look at the texts, and with files that a word's filter can skip."""
+    extra = [(100 + i, f"the spark {i % 3} word{i} " + "often " * (i % 4)) for i in range(60)] + [(200, None), (201, " \n"), (202, "Ünï the THE")]
+    rows = store.select("id", "document_text").unionByName(spark.createDataFrame(extra, "id long, document_text string"))
+    path = str(tmp_path / "index")
+    write_postings(rows, path)
+    for query in ("Spark the often", "word7 ünï", "absent words entirely", "a an"):
+        want = {r.id: round(r.match, 9) for r in search.text_score(rows, query).collect()}
+        indexed = search.text_score(rows.select("id"), query, postings=path)
+        assert {r.id: round(r.match, 9) for r in indexed.collect()} == want
+    plan = matches(spark, path, ["word7"])._jdf.queryExecution().executedPlan().toString()
+    assert "In(word, [word7])" in plan or "EqualTo(word,word7)" in plan
+    own = str(tmp_path / "own")
+    write_postings(store, own)
+    asked = {"top_k": 6, "encoder_factory": ENCODER, "include_distance": True}
+    whole = [tuple(r) for r in _rounded(search.hybrid_search(store, "spark words", **asked)).collect()]
+    assert [tuple(r) for r in _rounded(search.hybrid_search(store, "spark words", **asked, postings=own)).collect()] == whole
+    wide = search.hybrid_search(store, "spark words", **asked | {"top_k": 5000}, postings=own)
+    assert [r.id for r in wide.collect()] == [r[0] for r in whole]
+
+
+def _rounded(found):
+    return found.select("id", "document_text", "metadata", F.round("combined_score", 9))
