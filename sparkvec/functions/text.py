@@ -12,6 +12,8 @@ EMPTY_TEXT = "[EMPTY]"
 
 # Unicode-aware whitespace, the same class that Python's str.split() uses for
 # ordinary text. Java's plain \s is ASCII only.
+#: Characters of windows that a task holds of one text.
+STRETCH_CHARS = 4 << 20
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 NOT_SPACE = r"(?U)[^\s\x1c-\x1f]"
 
@@ -47,9 +49,15 @@ def text_windows(
     check_window(chunk_size, overlap)
     if chunk_size <= 0:
         return F.array(text)
+    count = window_count(F.length(text), chunk_size, overlap, emit_tail)
+    windows = first_windows(text, count, chunk_size, overlap)
+    return F.when(F.length(text) <= chunk_size, F.array(text)).otherwise(windows)
+
+
+def first_windows(text: Column, count: Column, chunk_size: int, overlap: int) -> Column:
+    """The first ``count`` windows, which must be at least one."""
     step = chunk_size - overlap
     span = math.ceil(chunk_size / step)
-    count = window_count(F.length(text), chunk_size, overlap, emit_tail)
     blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
 
     def join_blocks(cut: Column) -> Column:
@@ -62,8 +70,28 @@ def text_windows(
 
     # The one-element array binds the cut blocks to a name, so that they are
     # computed once per text and not once per window.
-    windows = F.element_at(F.transform(F.array(blocks), join_blocks), 1)
-    return F.when(F.length(text) <= chunk_size, F.array(text)).otherwise(windows)
+    return F.element_at(F.transform(F.array(blocks), join_blocks), 1)
+
+
+def windows_per_stretch(chunk_size: int, overlap: int) -> int:
+    """How many windows are held at a time, however long a text is: about ``STRETCH_CHARS`` characters of them."""
+    return max(math.ceil(chunk_size / (chunk_size - overlap)), STRETCH_CHARS // chunk_size)
+
+
+def stretches(text: Column, chunk_size: int, overlap: int) -> Column:
+    """Array of pieces of a text that hold the windows starting in them: each runs ``overlap`` characters into the next."""
+    length = windows_per_stretch(chunk_size, overlap) * (chunk_size - overlap)
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{length}}}"), F.lit(0))
+
+    def run_on(pieces: Column) -> Column:
+        def longer(piece: Column, at: Column) -> Column:
+            following = F.coalesce(F.get(pieces, at + F.lit(1)), F.lit(""))
+            return F.concat(piece, F.substring(following, 1, overlap))
+
+        return F.transform(pieces, longer)
+
+    long = F.element_at(F.transform(F.array(cut), run_on), 1)
+    return F.when(F.length(text) > length, long).otherwise(F.array(text))
 
 
 def sanitize_text(text: Column) -> Column:

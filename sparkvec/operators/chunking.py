@@ -48,19 +48,33 @@ def chunk_documents(
         extra = ["_base", "original_doc_index"]
     step = chunk_size - overlap
     is_chunk = F.coalesce(F.length(text) > chunk_size, F.lit(False)) if chunk_size > 0 else F.lit(False)
-    exploded = source.select(
+    if chunk_size > 0:
+        # a text is cut into stretches first, so that a task never holds all windows of a long one
+        each = tx.windows_per_stretch(chunk_size, overlap)
+        count = F.coalesce(tx.window_count(F.length(text), chunk_size, overlap, emit_tail), F.lit(1))
+        pieces = source.select(
+            id_col,
+            *extra,
+            is_chunk.alias("is_chunk"),
+            count.alias("_count"),
+            F.posexplode(tx.stretches(text, chunk_size, overlap)).alias("_stretch", "_text"),
+        )
+        first = F.col("_stretch") * F.lit(each)
+        left = F.least(F.col("_count") - first, F.lit(each))
+        windows = F.when(F.col("is_chunk"), tx.first_windows(F.col("_text"), left, chunk_size, overlap))
+        pieces = pieces.filter(left > 0)
+    else:
+        pieces = source.select(
+            id_col, *extra, is_chunk.alias("is_chunk"), F.lit(0).alias("_stretch"), text.alias("_text")
+        )
+        first, windows = F.lit(0), F.array("_text")
+    exploded = pieces.select(
         id_col,
         *extra,
-        is_chunk.alias("is_chunk"),
-        F.posexplode(
-            F.coalesce(
-                tx.text_windows(text, chunk_size, overlap, emit_tail),
-                F.array(F.lit(None).cast("string")),
-            )
-        ).alias(
-            "chunk_no", "document_text"
-        ),
-    )
+        "is_chunk",
+        first.alias("_first"),
+        F.posexplode(F.coalesce(windows, F.array("_text"))).alias("_place", "document_text"),
+    ).withColumn("chunk_no", F.col("_first") + F.col("_place"))
     start = F.when(F.col("is_chunk"), F.col("chunk_no") * F.lit(step))
     columns = [F.col(id_col), F.col("chunk_no")]
     if global_index:

@@ -215,7 +215,7 @@ def text_score(
         return df.withColumn(output, F.lit(0.0))
     if postings is not None:
         found = matches(df.sparkSession, postings, tokens, output).withColumnRenamed("id", "_hit")
-        joined = df.join(found, df[id_col].cast("long") == F.col("_hit"), "left").drop("_hit")
+        joined = df.join(found, F.col(id_col).cast("long") == F.col("_hit"), "left").drop("_hit")
         return joined.withColumn(output, F.coalesce(output, F.lit(0.0)))
     hits = F.filter(F.split(F.lower(F.col(text_col)), tx.SPACES), lambda w: w.isin(tokens))
     rows = df.agg(F.count(F.lit(1)))
@@ -233,6 +233,7 @@ def text_score(
         F.lit(0.0),
         lambda total, x: total + F.coalesce(x, F.lit(0.0)),
     )
+    score = F.coalesce(score, F.lit(0.0))  # a NULL text holds no word
     return (
         df.withColumn("_weights", weights.scalar()).withColumn(output, score).drop("_weights")
     )

@@ -149,3 +149,34 @@ def test_processing_stats(spark):
     assert tuple(got) == (3, 5, 1)
     none = chunking.processing_stats(docs.filter("false")).head()
     assert tuple(none) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("size, overlap", [(40, 39), (40, 0), (37, 11), (500, 50)])
+@pytest.mark.parametrize("tail", [False, True])
+def test_long_texts_in_stretches(spark, monkeypatch, size, overlap, tail):
+    """Windows of texts that are cut into many stretches are those of the whole text."""
+    monkeypatch.setattr(tx, "STRETCH_CHARS", 200)
+    texts = ["".join(chr(97 + (i * i + n) % 26) if i % 7 else "ü" for i in range(n)) for n in (0, 1, 39, 40, 41, 200, 201, 999, 2000)]
+    docs = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string")
+    step = size - overlap
+    for dense in (False, True):
+        got = {}
+        found = chunking.chunk_documents(docs, chunk_size=size, overlap=overlap, emit_tail=tail, global_index=dense)
+        for r in found.orderBy("doc_id", "chunk_no").collect():
+            assert r.chunk_no == len(got.setdefault(r.doc_id, []))
+            got[r.doc_id].append(r.document_text)
+        for i, t in enumerate(texts):
+            if len(t) <= size:
+                assert got[i] == [t]
+                continue
+            starts = range(0, len(t) if tail else len(t) - overlap, step)
+            assert got[i] == [t[s : s + size] for s in starts], (i, size, overlap)
+        assert got[len(texts)] == [None]
+
+
+def test_a_very_long_text_is_never_held_as_windows(spark):
+    """600,000 characters, each of which starts a window: 300 MB of windows in stretches of 4 MB."""
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.expr("repeat('abcdefghij', 60000)").alias("text"))
+    found = chunking.chunk_documents(docs, chunk_size=500, overlap=499)
+    row = found.agg(F.count("*").alias("n"), F.max("chunk_end").alias("end"), F.countDistinct("document_text").alias("kinds")).first()
+    assert (row.n, row.end, row.kinds) == (599_501, 600_000, 10)
