@@ -394,3 +394,6 @@ WHERE json_extract_string(metadata, '$.lang') = 'fr'""",
 
 ORACLES["text_score_postings"] = ORACLES["text_score"]
 ORACLES["hybrid_search_postings"] = ORACLES["hybrid_search"]
+ORACLES["similar_pairs"] = f"""WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vec FROM embeddings)
+SELECT a.id AS a, b.id AS b, round(1 - {COSINE.format(a="a.vec", b="b.vec")}, 6) AS similarity
+FROM v a JOIN v b ON a.id < b.id WHERE round(1 - {COSINE.format(a="a.vec", b="b.vec")}, 9) >= 0.35"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkvec.functions import text as tx
 from sparkvec.functions.vectors import distance, vector_from_text, vector_to_text
-from sparkvec.operators import cells, chunking, rag, search, stats
+from sparkvec.operators import cells, chunking, rag, search, simjoin, stats
 from sparkvec.operators.encoding import encode_documents, encode_text, hash_weights
 from sparkvec.operators.knn import batch_topk
 from sparkvec.operators.postings import write_postings
@@ -98,6 +98,13 @@ def similar_documents_all_blocked(spark, sf_dir):
     return _rounded(found, "distance")
 
 
+@query
+def similar_pairs(spark, sf_dir):
+    """All pairs of stored vectors with a cosine similarity of 0.35 or more."""
+    pairs, _ = simjoin.similar_pairs(sample.read(spark, sf_dir, "embeddings"), 0.35, id_col="vec_id")
+    return _rounded(pairs, "similarity")
+
+
 @query
 def adhoc_similarity(spark, sf_dir):
     vectors = sample.read(spark, sf_dir, "embeddings").select(
