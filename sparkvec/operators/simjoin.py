@@ -127,8 +127,8 @@ def similar_pairs(
                     waiting = []
                 if matrix is None:
                     continue
-                found = np.round(unit @ matrix.T, TIE_DECIMALS)
-                close = found >= threshold
+                found = unit @ matrix.T
+                close = np.round(found, TIE_DECIMALS) >= threshold
                 if kind[low] == 1:  # of one cell both rows hold and stream: once
                     close &= at[low:high][:, None] < ids[None, :]
                 r, h = np.nonzero(close)
