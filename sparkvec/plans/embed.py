@@ -15,9 +15,13 @@ from sparkvec.operators.chunking import (
     require_valid_documents,
 )
 from sparkvec.operators.encoding import BATCH_SIZE, EncoderFactory, encode_documents
+from sparkvec.operators.running import with_running_offsets
+from sparkvec.session import ensure_checkpoint_dir
 from sparkvec.sources import store as st
 
 PACKED_CHUNK_BITS = 20
+#: Chunks of a document that stay together on their way to the encoder.
+BLOCK_CHUNKS = 1024
 
 
 def chunk_metadata(global_index: bool, id_col: str = "doc_id") -> Column:
@@ -42,6 +46,42 @@ def packed_id(document: Column, chunk_no: Column) -> Column:
     )
 
 
+def numbered_chunks(
+    docs: DataFrame,
+    *,
+    chunk_size: int = CHUNK_SIZE,
+    overlap: int = OVERLAP,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``chunk_documents`` with its running numbers, spread evenly, in one shuffle of text.
+
+    The numbers come from ids and lengths alone, which are checkpointed. A document's first
+    number meets its chunks in blocks of ``BLOCK_CHUNKS``, so that a long document is
+    spread over tasks. Null ids are an error. Ids that stand several times cannot
+    be joined on: such documents are numbered where they lie, at the price of another shuffle.
+    """
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    null_id = F.raise_error(F.lit(f"a document has no {id_col}")).cast("long")
+    key = F.col(id_col)
+    count = F.coalesce(tx.window_count(F.length(F.col(text_col)), chunk_size, overlap), F.lit(1))
+    narrow = docs.select(F.when(key.isNull(), null_id).otherwise(key).alias(id_col), count.cast("long").alias("_count"))
+    narrow = narrow.checkpoint()
+    options = {"chunk_size": chunk_size, "overlap": overlap, "id_col": id_col, "text_col": text_col}
+    if narrow.groupBy(id_col).count().filter("count > 1").head() is not None:
+        return chunk_documents(docs, global_index=True, **options).repartition(id_col, "chunk_no")
+    first = with_running_offsets(narrow, id_col, {"_base": F.col("_count"), "original_doc_index": F.lit(1)})
+    last_block = F.floor((F.col("_count") - 1) / BLOCK_CHUNKS).cast("int")
+    first = first.select(
+        id_col, "_base", "original_doc_index", F.explode(F.sequence(F.lit(0), last_block)).alias("_block")
+    )
+    block = F.floor(F.col("chunk_no") / BLOCK_CHUNKS).cast("int")
+    chunks = chunk_documents(docs, **options).withColumn("_block", block).repartition(id_col, "_block")
+    numbered = chunks.join(first, [id_col, "_block"])
+    return numbered.withColumn("chunk_index", F.col("_base") + F.col("chunk_no")).drop("_base", "_block")
+
+
 def embed_documents(
     docs: DataFrame,
     encoder_factory: EncoderFactory,
@@ -60,16 +100,13 @@ def embed_documents(
     ``rebalance`` spreads the chunks evenly before encoding, as documents differ
     in length and the encoder is the expensive part.
     """
-    chunks = chunk_documents(
-        docs,
-        chunk_size=chunk_size,
-        overlap=overlap,
-        global_index=global_index,
-        id_col=id_col,
-        text_col=text_col,
-    )
-    if rebalance:
-        chunks = chunks.repartition(id_col, "chunk_no")
+    options = {"chunk_size": chunk_size, "overlap": overlap, "id_col": id_col, "text_col": text_col}
+    if rebalance and global_index:
+        chunks = numbered_chunks(docs, **options)
+    else:
+        chunks = chunk_documents(docs, global_index=global_index, **options)
+        if rebalance:
+            chunks = chunks.repartition(id_col, "chunk_no")
     keep = [id_col, "chunk_no"] + (["chunk_index"] if global_index else [])
     return encode_documents(
         chunks.select(
@@ -94,6 +131,7 @@ def embed_table(
     validate_first: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
+    once: tuple[str, int] | None = None,
 ) -> dict:
     """Validate, chunk, encode and append documents to a store; returns the counts and the seconds it took.
 
@@ -102,8 +140,8 @@ def embed_table(
     that pass and names the smallest bad id before any encoding.
 
     ``dense_ids`` numbers the chunks on from the table's largest id, in document
-    order; the numbering needs one more shuffle. Without it, ids are made of
-    document id and chunk number.
+    order; the numbering reads the texts' lengths first. Without it, ids are made of
+    document id and chunk number. ``once`` is that of ``insert_embeddings``.
     """
     started = time.perf_counter()
     if validate_first:
@@ -127,7 +165,7 @@ def embed_table(
         rows = rows.withColumn("id", packed_id(F.col(id_col), F.col("chunk_no")))
     whole = Observation()
     counted = rows.observe(whole, F.count_if(F.col("chunk_no") == 0).alias("documents"))
-    written = st.insert_embeddings(spark, table, counted, check_ids=not dense_ids)
+    written = st.insert_embeddings(spark, table, counted, check_ids=not dense_ids, once=once)
     if written == 0:
         raise ValueError("there are no documents")
     return {

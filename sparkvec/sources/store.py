@@ -16,6 +16,7 @@ A failed or killed job leaves the table as it was. One writer at a time.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
@@ -340,8 +341,18 @@ def _checked_rows(df: DataFrame, dimensions: int) -> DataFrame:
 
 
 def next_id(spark: SparkSession, table: str) -> int:
-    """One more than the largest id; a scan of the id column."""
-    largest = spark.table(table).agg(F.max("id")).head()[0]
+    """One more than the largest id; reads the ids of the slices that may hold it.
+
+    No slice is empty, so that the largest id is not below the start of any.
+    """
+    rows = spark.table(table)
+    if SLICE in rows.columns:
+        names = F.split(F.split("partition", "=")[1], "_")
+        top = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(names[0].cast("long"))).head()[0]
+        if top is None:
+            return 0
+        rows = rows.filter(_may_hold(top, (1 << 63) - 1))
+    largest = rows.agg(F.max("id")).head()[0]
     return 0 if largest is None else largest + 1
 
 
@@ -397,6 +408,7 @@ def insert_embeddings(
     order_by: str | None = None,
     check_ids: bool = True,
     slices: int = 1,
+    once: tuple[str, int] | None = None,
 ) -> int:
     """Append rows with ``document_text`` and ``embedding``; returns how many.
 
@@ -406,6 +418,10 @@ def insert_embeddings(
     unless the caller knows it (``check_ids=False``). An append is one slice, which
     later changes rewrite as a whole; ``slices`` cuts a large one by ranges of ids, at
     the price of a shuffle.
+
+    ``once`` is the name of a source and the number of its batch. The number is kept with
+    the table by the same change that shows the rows: a batch that is there already, or
+    one before it, is not appended again, and 0 is returned.
     """
     _require(spark, table)
     config = vector_config(spark, table)
@@ -414,6 +430,8 @@ def insert_embeddings(
     missing = {"document_text", "embedding"} - set(rows.columns)
     if missing:
         raise ValueError(f"missing columns: {sorted(missing)}")
+    if once is not None and already_appended(spark, table, once):
+        return 0
     if "metadata" not in rows.columns:
         rows = rows.withColumn("metadata", F.lit("{}"))
     given_ids = "id" in rows.columns
@@ -442,13 +460,23 @@ def insert_embeddings(
         raise
     if not found["rows"]:
         _delete_folder(spark, staged)
-    elif slices > 1:
-        _commit(spark, table, add=_named_slices(spark, staged))
-    else:
-        _commit(spark, table, add={_slice_name(found["low"], found["high"]): staged})
+        return 0
+    add = _named_slices(spark, staged) if slices > 1 else {_slice_name(found["low"], found["high"]): staged}
+    _commit(spark, table, add=add, once=once)
     return found["rows"]
 
 
+def _batch_property(source: str) -> str:
+    return f"vector.batch.{hashlib.sha256(source.encode()).hexdigest()[:32]}"
+
+
+def already_appended(spark: SparkSession, table: str, once: tuple[str, int]) -> bool:
+    """Whether this batch of a source, or a later one, is in the table."""
+    _require(spark, table)
+    source, number = once
+    return int(_properties(spark, table).get(_batch_property(source), -1)) >= number
+
+
 # --- staging and switching ----------------------------------------------------
 
 
@@ -478,16 +506,18 @@ def _commit(
     move: dict[str, str] | None = None,
     drop: list[str] | None = None,
     old_folders: list[str] | None = None,
+    once: tuple[str, int] | None = None,
 ) -> None:
     """Make staged files visible: new slices, slices at a new folder, and slices that go."""
     change = {"add": add or {}, "move": move or {}, "drop": drop or [], "old": old_folders or []}
-    if len(change["add"]) == 1 and not (move or drop):
+    if len(change["add"]) == 1 and not (move or drop or once):
         _apply(spark, table, change)
         return
     # from the moment the property names it, the change is made; if this process ends, _settle finishes it
     journal = f"{_folder(spark, table)}/change-{uuid.uuid4().hex}"
     spark.createDataFrame([(json.dumps(change),)], "change string").coalesce(1).write.parquet(journal)
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('vector.change' = '{journal}')")
+    batch = f", '{_batch_property(once[0])}' = '{int(once[1])}'" if once else ""
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('vector.change' = '{journal}'{batch})")
     _settle(spark, table)
 
 

@@ -7,10 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkvec.operators import encoding as en
+from sparkvec.operators.chunking import chunk_documents
+from sparkvec.plans import embed
 from sparkvec.plans.embed import embed_table, packed_id
 from sparkvec.sources import store as st
 from sparkvec.sources.documents import documents_from_list, spread
-from sparkvec.streaming.ingest import document_stream, embed_stream
+from sparkvec.streaming import ingest
+from sparkvec.streaming.ingest import document_stream, embed_stream, embed_stream_into
 
 ENCODER = en.HashEncoderFactory(16)
 LONG = " ".join(f"word{i}" for i in range(400))
@@ -86,6 +89,27 @@ def test_embed_table(spark, dense):
     st.drop_table(spark, "embedded")
 
 
+@pytest.mark.parametrize("block", [7, embed.BLOCK_CHUNKS])
+def test_numbered_chunks_move_texts_once(spark, monkeypatch, block):
+    monkeypatch.setattr(embed, "BLOCK_CHUNKS", block)
+    docs = documents_from_list(spark, [LONG * (i % 3 + 1) for i in range(30)])
+    options = {"chunk_size": 20, "overlap": 5}
+    expected = chunk_documents(docs, global_index=True, **options)
+    numbered = embed.numbered_chunks(docs, **options).select(expected.columns)
+    assert sorted(numbered.collect()) == sorted(expected.collect())
+    moved = [
+        line for line in numbered._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Repartition" in line
+    ]
+    assert len(moved) == 1
+    with_null = docs.union(spark.createDataFrame([(None, "x")], docs.schema))
+    with pytest.raises(Exception, match="no doc_id"):
+        embed.numbered_chunks(with_null, **options).collect()
+    twice = embed.numbered_chunks(docs.union(docs), **options)
+    numbers = sorted(r.chunk_index for r in twice.collect())
+    assert numbers == list(range(2 * expected.count()))
+    assert embed.numbered_chunks(docs.filter("false"), **options).count() == 0
+
+
 def test_packed_ids(spark):
     df = spark.createDataFrame([(3, 5), (0, 0)], "d long, n int")
     got = [r.i for r in df.select(packed_id(F.col("d"), F.col("n")).alias("i")).collect()]
@@ -130,3 +154,45 @@ def test_stream_embeds_each_document_once(spark, tmp_path):
     chunks = -(-(len(LONG) - 500) // 450) + 1
     assert len(second) == chunks + 2 and len({i for i, _ in second}) == len(second)
     assert dict(second)[3 << 20] == "other"
+
+
+def test_stream_into_a_store(spark, tmp_path, monkeypatch):
+    """Hashed 63-bit ids; a batch that fails before or after its change is there once."""
+    st.create_vector_store(spark, st.VectorStoreConfig("streamed", 16, drop_if_exists=True))
+    source, state, bad = (str(tmp_path / n) for n in ("in", "state", "bad"))
+    docs = documents_from_list(spark, ["short", LONG, " ", "other", None, "last"])
+    docs = docs.withColumn("doc_id", F.lit((1 << 63) - 1) - F.col("doc_id") * (1 << 43))
+
+    def run():
+        stream = document_stream(spark, source, max_files_per_trigger=1)
+        embed_stream_into(stream, "streamed", ENCODER, checkpoint_path=state, rejects_path=bad).awaitTermination()
+        return sorted((r.id, r.document_text, json.loads(r.metadata)["doc_id"]) for r in spark.table("streamed").collect())
+
+    whole = embed_table
+
+    def breaking(early):
+        def job(*args, **kwargs):
+            if not early:
+                whole(*args, **kwargs)
+            raise RuntimeError("lost")
+
+        return job
+
+    chunks = -(-(len(LONG) - 500) // 450) + 1
+    docs.orderBy(F.desc("doc_id")).limit(2).coalesce(1).write.mode("append").parquet(source)
+    for early in (True, False):
+        monkeypatch.setattr(ingest, "embed_table", breaking(early))
+        with pytest.raises(Exception, match="lost"):
+            run()
+        assert spark.table("streamed").count() == (0 if early else chunks + 1)
+    monkeypatch.setattr(ingest, "embed_table", whole)
+    first = run()
+    assert first == run() and [i for i, *_ in first] == list(range(chunks + 1))
+    docs.orderBy("doc_id").limit(4).coalesce(1).write.mode("append").parquet(source)
+    second = run()
+    assert second[: len(first)] == first and [i for i, *_ in second] == list(range(chunks + 3))
+    assert {(t, d) for _, t, d in second[len(first) :]} == {
+        ("other", (1 << 63) - 1 - (3 << 43)), ("last", (1 << 63) - 1 - (5 << 43))
+    }
+    assert sorted(r.reason for r in spark.read.parquet(bad).collect()) == ["empty", "not a string"]
+    st.drop_table(spark, "streamed")
