@@ -77,8 +77,9 @@ def numbered_chunks(
         id_col, "_base", "original_doc_index", F.explode(F.sequence(F.lit(0), last_block)).alias("_block")
     )
     block = F.floor(F.col("chunk_no") / BLOCK_CHUNKS).cast("int")
-    chunks = chunk_documents(docs, **options).withColumn("_block", block).repartition(id_col, "_block")
-    numbered = chunks.join(first, [id_col, "_block"])
+    chunks = chunk_documents(docs, **options).withColumn("_block", block)
+    # hashing the numbers neither sorts the texts nor lets an estimate broadcast them
+    numbered = chunks.join(first.hint("shuffle_hash"), [id_col, "_block"])
     return numbered.withColumn("chunk_index", F.col("_base") + F.col("chunk_no")).drop("_base", "_block")
 
 
