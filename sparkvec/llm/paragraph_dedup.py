@@ -13,7 +13,9 @@ shingles of ``SHINGLE`` words and ``bands`` hashes of ``rows`` MinHash values; `
 takes the fewest bands that find a pair at the threshold with the asked recall.
 Paragraphs that share a band are compared by the Jaccard index of their shingles,
 unless they are linked already; large buckets are compared tile by tile, in
-separate tasks. Components of the links are the classes; the paragraph at the least
+separate tasks. Before shingles are moved, a sketch rules pairs out, and never a similar one:
+it holds the parity of the number of shingles in each of 128 classes, and two sets differ
+in at least as many shingles as their sketches in bits. Components of the links are the classes; the paragraph at the least
 (doc_id, byte in the document) stays, the others go. All are judged on the input.
 
 Passages of ``WINDOW`` words or more inside lines are found for certain, and up to both of
@@ -50,6 +52,7 @@ WINDOW = 51
 GRAM = 16
 TILE = 1000
 FILTER = 1 << 26
+_ONES = (1 << 64) - 1
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[65:91] += 32
 _POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
@@ -205,6 +208,20 @@ class Paragraphs:
             out[:, band] = mix
         return out.view(np.int64)
 
+    def sketches(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of distinct shingles of these paragraphs, and the parities of their classes as two columns."""
+        size = (self.high - self.low)[which]
+        edges = np.append(0, np.cumsum(size))
+        take = np.arange(edges[-1]) + np.repeat(self.low[which] - edges[:-1], size)
+        of, value = np.repeat(np.arange(len(which)), size), self.shingles[take]
+        order = np.lexsort((value, of))
+        of, value = of[order], value[order]
+        new = np.append(True, (np.diff(of) != 0) | (np.diff(value) != 0))
+        bit = np.where(new, np.uint64(1) << (value & np.uint64(63)), np.uint64(0))
+        upper = (value >> np.uint64(6) & np.uint64(1)).astype(bool)
+        halves = [np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), edges[:-1]).view(np.int64) for half in (~upper, upper)]
+        return np.add.reduceat(new.astype(np.int32), edges[:-1]), *halves
+
     def sets(self, which: np.ndarray) -> pa.ListArray:
         """The shingles of these paragraphs."""
         size = (self.high - self.low)[which]
@@ -286,6 +303,42 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _screened(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """The members of each tile pair that may be similar to another one, by size and sketch."""
+    share = (1 - threshold) / (1 + threshold) * (1 + 1e-9)  # of both sizes that similar sets may differ in
+    keep: list[list] = [[], [], [], []]
+
+    def out() -> pa.RecordBatch:
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
+        return pa.record_batch([pa.array(k, t) for k, t in zip(keep, types)], names=["bucket", "a", "b", "name"])
+
+    for key, (_, _, _, names, sizes, low, high) in _groups(batches, ["bucket", "a", "b"]):
+        if len(names) <= 16:
+            maybe = [False] * len(names)
+            for i in range(len(names)):
+                for j in range(i):
+                    differ = (low[i] ^ low[j]) & _ONES, (high[i] ^ high[j]) & _ONES
+                    if differ[0].bit_count() + differ[1].bit_count() <= share * (sizes[i] + sizes[j]):
+                        maybe[i] = maybe[j] = True
+            kept = [n for n, m in zip(names, maybe) if m]
+        else:
+            n, x, y = np.array(sizes), np.array(low, np.int64).view(np.uint64), np.array(high, np.int64).view(np.uint64)
+            found = np.zeros(len(names), bool)
+            for i in range(1, len(names)):
+                differ = np.bitwise_count(x[:i] ^ x[i]) + np.bitwise_count(y[:i] ^ y[i])
+                near = differ <= share * (n[:i] + n[i])
+                found[:i] |= near
+                found[i] = near.any()
+            kept = [names[i] for i in np.flatnonzero(found)]
+        for column, values in zip(keep, ([key[0]] * len(kept), [key[1]] * len(kept), [key[2]] * len(kept), kept)):
+            column += values
+        if len(keep[0]) >= 10_000:
+            yield out()
+            keep = [[], [], [], []]
+    if keep[0]:
+        yield out()
+
+
 def passages(docs: DataFrame) -> DataFrame:
     """Of passages of at least ``WINDOW`` words that occur again: row, place, start, end, ``first``, ``removed``.
 
@@ -419,22 +472,36 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     mixed = F.xxhash64("name", F.lit(1)).cast("decimal(20,0)")
     tiles = met.groupBy("bucket").agg(F.max("tile").alias("tiles"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("name")).alias("x"), F.sum(mixed).alias("y"))
     tiles = written(tiles.groupBy("n", "x", "y").agg(F.min_by("tiles", "bucket").alias("tiles"), F.min("bucket").alias("bucket")).select("bucket", "tiles"))
-    wanted = written(met.select("name").distinct())
-    may = _filter(wanted)
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, found in _paragraphs(batch["text"]):
-                _, once = np.unique(found.name, return_index=True)
-                once = once[_passes(may, found.name[once])]
-                once = once[found.high[once] > found.low[once]]
-                if len(once):
-                    yield pa.record_batch([pa.array(found.name[once]), found.sets(once)], names=["name", "shingles"])
 
-    sets = texts.mapInArrow(shingled, "name long, shingles array<long>").join(wanted, "name", "left_semi").dropDuplicates(["name"])
+    def once(columns, kind: str, names: DataFrame) -> DataFrame:
+        """One row for each of ``names``: its paragraph's ``columns``."""
+        may = _filter(names)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for _, _, found in _paragraphs(batch["text"]):
+                    _, first = np.unique(found.name, return_index=True)
+                    first = first[_passes(may, found.name[first])]
+                    first = first[found.high[first] > found.low[first]]
+                    if len(first):
+                        yield pa.record_batch([pa.array(found.name[first]), *columns(found, first)], schema=schema)
+
+        schema = pa.schema([("name", pa.int64()), *fields[kind]])
+        return texts.mapInArrow(run, f"name long, {kind}").join(names, "name", "left_semi").dropDuplicates(["name"])
+
+    sketch, shingles = "size int, low long, high long", "shingles array<long>"
+    fields = {
+        sketch: [("size", pa.int32()), ("low", pa.int64()), ("high", pa.int64())],
+        shingles: [("shingles", pa.list_(pa.int64()))],
+    }
+    sketches = once(lambda found, which: map(pa.array, found.sketches(which)), sketch, written(met.select("name").distinct()))
     pairs = met.join(tiles, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), "tiles")))
     pairs = pairs.select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "name")
-    pairs = pairs.join(sets, "name").select("bucket", "a", "b", "name", "shingles")
+    near = pairs.join(sketches, "name").select("bucket", "a", "b", "name", "size", "low", "high")
+    near = near.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
+    near = written(near.mapInArrow(lambda batches: _screened(batches, threshold), "bucket long, a int, b int, name long"))
+    sets = once(lambda found, which: [found.sets(which)], shingles, written(near.select("name").distinct()))
+    pairs = near.join(sets, "name").select("bucket", "a", "b", "name", "shingles")
     pairs = pairs.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
     return written(pairs.mapInArrow(lambda batches: _verified(batches, threshold), "a long, b long"))
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -330,6 +331,27 @@ def test_paragraph_buckets_in_tiles(spark, monkeypatch):
     assert sum(r.n_removed for r in paragraph_dedup.digest(docs).collect()) == 59
 
 
+def test_sketches_rule_out_no_similar_pair():
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.choice([3, 8, 20, 60, 400]))) for _ in range(60)]
+    lines += [" ".join([*line.split()[:-1], "changed"]) for line in lines] + ["a a a a a a a a"]
+    data = np.frombuffer("\n".join(lines).encode(), np.uint8)
+    found = paragraph_dedup.Paragraphs(data, np.array([0, len(data)]))
+    which = np.flatnonzero(found.high > found.low)
+    size, low, high = (x.tolist() for x in found.sketches(which))
+    sets = [frozenset(s) for s in found.sets(which).to_pylist()]
+    assert [len(s) for s in sets] == size and 1 in size
+    similar = ruled_out = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            differ = sum((x & paragraph_dedup._ONES).bit_count() for x in (low[i] ^ low[j], high[i] ^ high[j]))
+            assert differ <= len(sets[i] ^ sets[j])
+            similar += len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+            ruled_out += differ > (size[i] + size[j]) / 9
+    assert similar > 30 and ruled_out > 0.95 * len(sets) * (len(sets) - 1) / 2
+
+
 def test_paragraphs_with_an_edit_inside(spark):
     """Whole lines against brute force: one word changed anywhere leaves a Jaccard index over 0.8 or under it."""
     rng = np.random.default_rng(8)
