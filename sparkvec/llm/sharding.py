@@ -5,9 +5,11 @@ exponential number of its weight from a hash of (level, child, key), and the
 least draw wins. Where a child's weight changes, keys move into or out of that
 child alone: other subtrees keep what they have, and within them nothing moves.
 
-``tree(n)`` decides everything by the number of shards. Its first shards stand
+``tree(n)`` decides everything by the number of shards. Its first eight shards stand
 in two regions of two racks of two; each further one is a region of its own,
-since only then does a new shard take rows only into itself. Law: ``key``.
+since only then does a new shard take rows only into itself. With fewer than eight,
+the others are closed: keys that would fall to them draw again among the open ones, so
+that a shard that opens takes rows only into itself, too. Law: ``key``.
 
 Defined results: all rows with a null key are one key, and go to one shard;
 equal keys go together; repeated rows get a slot each; null and empty texts have
@@ -30,9 +32,10 @@ BUCKET_ROWS = 512
 
 @dataclass(frozen=True)
 class Tree:
-    """Regions of racks of (shard, weight)."""
+    """Regions of racks of (shard, weight). The keys of ``closed`` shards, and no others, are dealt to the open ones by weight."""
 
     regions: tuple[tuple[tuple[tuple[int, float], ...], ...], ...]
+    closed: frozenset[int] = frozenset()
 
     def __post_init__(self) -> None:
         shards = [s for region in self.regions for rack in region for s, _ in rack]
@@ -41,17 +44,20 @@ class Tree:
             raise ValueError("a tree needs distinct shards of positive weight")
         if not all(rack for region in self.regions for rack in region) or not all(self.regions):
             raise ValueError("regions and racks must not be empty")
+        if not self.closed < set(shards):
+            raise ValueError("closed shards must be shards of the tree, and one must stay open")
 
     def grown(self, shard: int, weight: float = 1.0) -> Tree:
         """With one more shard, as a region of its own."""
-        return Tree((*self.regions, (((shard, weight),),)))
+        return Tree((*self.regions, (((shard, weight),),)), self.closed)
 
 
 def tree(shards: int, base: int = SHARDS) -> Tree:
-    """The tree of shards 0 to ``shards - 1``; the first ``base`` of them in racks of two and regions of two racks."""
-    first = min(shards, base)
-    racks = [tuple((s, 1.0) for s in range(at, min(at + 2, first))) for at in range(0, first, 2)]
-    grown = Tree(tuple(tuple(racks[at : at + 2]) for at in range(0, len(racks), 2)))
+    """The tree of shards 0 to ``shards - 1``; the first ``base`` in racks of two and regions of two racks, closed from ``shards`` on."""
+    if shards < 1:
+        raise ValueError("a tree needs a shard")
+    racks = [tuple((s, 1.0) for s in range(at, min(at + 2, base))) for at in range(0, base, 2)]
+    grown = Tree(tuple(tuple(racks[at : at + 2]) for at in range(0, len(racks), 2)), frozenset(range(shards, base)))
     for shard in range(base, shards):
         grown = grown.grown(shard)
     return grown
@@ -88,7 +94,11 @@ def shard_of(key: Column, topology: Tree) -> Column:
 
     in_region = F.element_at(F.array(*racks), at(region_no, _draw("region", _children(regions), key)))
     in_rack = F.element_at(F.array(*shards), at(rack_no, _draw("rack", in_region, key)))
-    return _draw("shard", in_rack, key)
+    drawn = _draw("shard", in_rack, key)
+    if not topology.closed:
+        return drawn
+    leaves = [leaf for region in topology.regions for rack in region for leaf in rack if leaf[0] not in topology.closed]
+    return F.when(drawn.isin(*topology.closed), _draw("open", _children(leaves), key)).otherwise(drawn)
 
 
 def place(docs: DataFrame, topology: Tree, key: str = "doc_id") -> DataFrame:
