@@ -6,8 +6,11 @@ number); lines are judged on the input, not on what is left, and the earliest
 stays.
 
 Two lines within one edit share one half: half the shorter one's length, at the
-front or at the back. Lines whose halves nobody shares are done. The others emit
-the deletion variants of their other half, as hashes: all of them for replaced
+front or at the back. Lines of ``LONG`` characters or more are cut into blocks
+instead, and share all but one of them, so that the work grows with a line's
+length and not with its square. Lines that share no half, nor all blocks but
+one, with another are done. The others emit
+the deletion variants of what is left, as hashes: all of them for replaced
 characters (same place, same rest), and the longer line's against the shorter
 line itself for inserted ones. Equal variants meet in a group, in which only the
 least place counts: no pairs are formed. The partner found is verified by its
@@ -29,6 +32,9 @@ from sparkvec.llm.common import place, place_number, row_key, saved
 
 EDITS = 1
 MIN_CHARS = 20
+LONG = 1024
+#: Characters of a block at least; blocks grow with the root of the line's length.
+BLOCK = 512
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -39,21 +45,92 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.select("row", (F.col("base") + F.col("number").cast("decimal(11,0)")).cast("decimal(38,0)").alias("place"), "line")
 
 
-def _half(shorter: Column) -> Column:
-    return F.floor((shorter - 1) / 2).cast("int")
+def _share(key: Column, short: bool, rest: Column, rests: bool) -> Column:
+    return F.struct(key.alias("key"), F.lit(short).alias("short"), rest.alias("rest")) if rests else key
 
 
-def _halves(length: Column, line: Column) -> Column:
-    """Hashes of the halves a line can share: front and back as the shorter or equal line, front and back as the longer."""
+def _halves(length: Column, line: Column, short: bool, rests: bool) -> Column:
+    """What a line shares with others as the shorter or equal one (``short``) or the longer one: front half, back half."""
+    shorter = length if short else length - 1
+    size = F.floor((shorter - 1) / 2).cast("int")
+    front = F.xxhash64(shorter, F.lit("front"), F.substring(line, F.lit(1), size))
+    back = F.xxhash64(shorter, F.lit("back"), F.substring(line, length - size + 1, size))
+    return F.array(
+        _share(front, short, F.substring(line, size + 1, length), rests),
+        _share(back, short, F.substring(line, F.lit(1), length - size), rests),
+    )
+
+
+def _blocks(length: Column, line: Column, short: bool, rests: bool) -> Column:
+    """The same for a long line: for each block, all before it and all after it.
+
+    A longer line's block has one character more, and the blocks after it begin one character later.
+    """
+    shorter = length if short else length - 1
+    size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(shorter))).cast("string")
+    pattern = F.concat(F.lit("(?s).{1,"), size, F.lit("}"))
+
+    def chained(blocks: Column) -> Column:
+        first = F.array(F.lit(0).cast("long"))
+        return F.aggregate(blocks, first, lambda done, block: F.concat(done, F.array(F.xxhash64(F.element_at(done, -1), block))))
+
+    front = F.regexp_extract_all(line, pattern, F.lit(0))
+    back = front if short else F.regexp_extract_all(F.substring(line, F.lit(2), length), pattern, F.lit(0))
+
+    def shares(cut: Column) -> Column:
+        def share(block: Column, i: Column) -> Column:
+            key = F.xxhash64(cut["shorter"], i, F.get(cut["before"], i), F.get(cut["after"], F.size(cut["back"]) - 1 - i))
+            rest = block if short else F.concat(F.substring(F.get(cut["front"], i), 1, 1), block)
+            return _share(key, short, rest, rests)
+
+        return F.transform(cut["back"], share)
+
+    # in a lambda's argument, so that blocks and chains are made once a line, and it is counted once
+    cut = F.struct(front.alias("front"), back.alias("back"), shorter.alias("shorter"))
+    cut = F.transform(
+        F.array(cut),
+        lambda c: F.struct(
+            c["front"].alias("front"),
+            c["back"].alias("back"),
+            c["shorter"].alias("shorter"),
+            chained(c["front"]).alias("before"),
+            chained(F.reverse(c["back"])).alias("after"),
+        ),
+    )
+    return F.flatten(F.transform(cut, shares))
+
 
-    def halves(shorter: Column) -> tuple[Column, Column]:
-        size = _half(shorter)
-        return (
-            F.xxhash64(shorter, F.lit("front"), F.substring(line, F.lit(1), size)),
-            F.xxhash64(shorter, F.lit("back"), F.substring(line, length - size + 1, size)),
-        )
+def _shares(length: Column, line: Column, rests: bool = True) -> Column:
+    """Keys of what lines within an edit share, with ``rests`` also the role and what is left of the line."""
 
-    return F.array(*halves(length), *halves(length - 1))
+    def shares(short: bool) -> Column:
+        long = (length if short else length - 1) >= LONG
+        return F.when(long, _blocks(length, line, short, rests)).otherwise(_halves(length, line, short, rests))
+
+    return F.concat(shares(True), shares(False))
+
+
+def _trimmed(pair: Column) -> Column:
+    """Lines ``a`` and ``b`` less the blocks that both begin with, and turned round. Their edit distance stays."""
+    a, b = pair["a"], pair["b"]
+    size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.char_length(a))))
+    pattern = F.concat(F.lit("(?s).{1,"), size.cast("string"), F.lit("}"))
+    unlike = F.zip_with(F.regexp_extract_all(a, pattern, F.lit(0)), F.regexp_extract_all(b, pattern, F.lit(0)), lambda x, y: ~x.eqNullSafe(y))
+    first = F.array_position(unlike, F.lit(True))
+    skip = F.when(first == 0, F.char_length(a)).otherwise((first - 1) * size).cast("int")
+    return F.struct(*(F.reverse(F.substring(x, skip + 1, F.char_length(x))).alias(n) for x, n in ((a, "a"), (b, "b"))))
+
+
+def _within(line: Column, other: Column) -> Column:
+    """Whether two lines are within the edit bound; of long ones only the middle that differs is measured."""
+
+    def measured(a: Column, b: Column) -> Column:
+        return F.levenshtein(a, b, EDITS) >= 0
+
+    # in a lambda's argument, so that lines are cut once
+    pair = F.transform(F.array(F.struct(line.alias("a"), other.alias("b"))), _trimmed)
+    long = F.get(F.transform(F.transform(pair, _trimmed), lambda p: measured(p["a"], p["b"])), F.lit(0))
+    return F.when(F.char_length(line) < LONG, measured(line, other)).otherwise(long)
 
 
 def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -63,20 +140,14 @@ def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
     long = lines.withColumn("length", F.char_length("line")).where(F.col("length") >= min_chars)
     long = long.withColumn("name", F.xxhash64("line"))
-    shared = long.select("name", F.explode(_halves(F.col("length"), F.col("line"))).alias("key"))
+    shared = long.select("name", F.explode(_shares(F.col("length"), F.col("line"), rests=False)).alias("key"))
     crowded = shared.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("b")).where("a < b").select("key")
-    # which lines share which halves: two numbers a row
+    # which lines share what: two numbers a row
     sharing = saved(shared.join(saved(crowded), "key").distinct())
     texts = long.join(sharing.select("name").distinct(), "name", "left_semi")
     texts = saved(texts.groupBy("name").agg(F.min("place").alias("place"), F.first("line").alias("line")))
-    halves = texts.select("name", F.char_length("line").alias("length"), "line")
-    halves = halves.select("name", "line", "length", F.posexplode(_halves(F.col("length"), F.col("line"))).alias("side", "key"))
-    halves = halves.join(sharing, ["name", "key"]).withColumn("short", F.col("side") < 2)
-    half = _half(F.col("length") - F.when(F.col("short"), 0).otherwise(1))
-    rest = F.when(F.col("side") % 2 == 0, F.substring("line", half + 1, F.col("length"))).otherwise(
-        F.substring("line", F.lit(1), F.col("length") - half)
-    )
-    halves = halves.select("name", "key", "short", rest.alias("rest"))
+    shares = texts.select("name", F.explode(_shares(F.char_length("line"), F.col("line"))).alias("share")).select("name", "share.*")
+    shares = shares.join(sharing, ["name", "key"])
     # for replaced characters the place counts (lines of equal length), for inserted ones it does not
     variants = F.transform(
         F.sequence(F.lit(1), F.char_length("rest")),
@@ -87,7 +158,7 @@ def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         ),
     )
     itself = F.array(F.when(F.col("short"), F.xxhash64("key", F.lit(0), "rest")))
-    variants = halves.select("name", "short", F.explode(F.concat(variants, itself)).alias("variant")).where("variant IS NOT NULL")
+    variants = shares.select("name", "short", F.explode(F.concat(variants, itself)).alias("variant")).where("variant IS NOT NULL")
     # a window, so that the variants are made once; each distinct line has a variant once or twice
     same = Window.partitionBy("variant")
     met = variants.withColumn("shared", F.min("name").over(same) < F.max("name").over(same)).where("shared").drop("shared")
@@ -103,7 +174,7 @@ def near_lines(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     found = found.join(texts.select("name", "line"), "name").join(
         texts.select(F.col("place").alias("earlier"), F.col("line").alias("other")), "earlier"
     )
-    near = found.where(F.levenshtein("line", "other", EDITS) >= 0)
+    near = found.where(_within(F.col("line"), F.col("other")))
     return near.groupBy("name").agg(F.min("earlier").alias("near"))
 
 

@@ -68,9 +68,15 @@ def test_sharding_moves_only_into_heavier_subtrees(spark):
     assert all(b < 4 for _, b in moves) and all(b in (2, 3) for a, b in moves if a < 2) and all(b == 3 for a, b in moves if a in (2, 3))
     share = {r.b: r["count"] for r in rows.groupBy("b").count().collect()}
     assert abs(share[3] / 20000 - 0.3) < 0.03
-    for n in (9, 10, 12):
+    assert sharding.tree(3) == sharding.Tree(before.regions, frozenset({3, 4, 5, 6, 7}))
+    for bad in (lambda: sharding.tree(0), lambda: sharding.Tree(before.regions, frozenset({8}))):
+        with pytest.raises(ValueError):
+            bad()
+    for n in (1, 2, 3, 5, 6, 7, 8, 9, 10, 12):
         grown = spark.range(5000).select(sharding.shard_of(F.col("id"), sharding.tree(n)).alias("a"), sharding.shard_of(F.col("id"), sharding.tree(n + 1)).alias("b"))
         assert {r.b for r in grown.where("a <> b").collect()} == {n}
+        counts = [r["count"] for r in grown.groupBy("b").count().collect()]
+        assert len(counts) == n + 1 and max(abs(c * (n + 1) / 5000 - 1) for c in counts) < 0.25
 
 
 # --- 2 suffix arrays
@@ -119,6 +125,18 @@ def test_suffix_dedup_rows_of_one_id(spark):
     assert other != text and order(got) == order(covered(rows))
 
 
+def test_suffix_dedup_largest_id(spark):
+    """The largest id there is stays itself beside null ids, of equal and of other texts."""
+    last = 2**63 - 1
+    shared = "a passage of more than fifty bytes that several of the rows hold"
+    rows = [(5, f"{shared} of five"), (last, f"{shared} of the last"), (None, f"{shared} of none"), (last, "only here " * 9), (None, "only here " * 9)]
+    got = suffix_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    size = len(shared) + 4
+    assert order((r.doc_id, r.n_removed) for r in got) == order([(5, 0), (last, size), (None, size), (last, 0), (None, 0)])
+    kept = suffix_dedup.dedup_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert order((r.doc_id, len(r.text.encode()) - len(r.kept)) for r in kept) == order((r.doc_id, r.n_removed) for r in got)
+
+
 def test_suffix_array():
     rng = np.random.default_rng(0)
     for _ in range(200):
@@ -288,6 +306,33 @@ def test_lines(spark, odd, odd_rows, empty):
     assert texts[200] == base + "\n" and texts[203] == "kept kept kept " and texts[205] == "kept " * 5
 
 
+def test_long_lines(spark, monkeypatch):
+    """Blocks instead of halves: an edit at each place, and lines of lengths about the first block cut."""
+    monkeypatch.setattr(line_dedup, "LONG", 24)
+    monkeypatch.setattr(line_dedup, "BLOCK", 7)
+    rng = np.random.default_rng(11)
+    lines = []
+    for size in (23, 24, 25, 35, 36, 48, 49, 50):
+        line = "".join(rng.choice(list("abcé😀"), size))
+        for at in range(0, size + 1, 3 if size > 25 else 1):
+            lines += [line[:at] + "Z" + line[at:], line[:at] + "Y" + line[at + 1 :], line[:at] + line[at + 1 :]]
+        lines += [line, line[2:], line[:5] + "!!" + line[5:], line[:7][::-1] + line[7:]]
+    lines = [lines[i] for i in rng.permutation(len(lines))]
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in line_dedup.digest(rows).where("n_removed = 1").collect()}
+    near = lambda a, b: a == b or (abs(len(a) - len(b)) < 2 and min(len(a), len(b)) >= 20 and edits(a, b) <= 1)
+    assert got == {i for i, line in enumerate(lines) if any(near(line, other) for other in lines[:i])}
+
+
+def test_lines_of_a_megabyte(spark):
+    """The work grows with a line's length: blocks are of its root."""
+    rng = np.random.default_rng(12)
+    line = "".join(rng.choice(list("abcdefgh é"), 1_000_000))
+    texts = [line, line[:700_000] + line[700_001:], line[:999_999] + "Z", line[:10] + "ZZ" + line[12:]]
+    got = line_dedup.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {0: 0, 1: 1, 2: 1, 3: 0}
+
+
 # --- 8 paragraphs
 
 
