@@ -604,7 +604,8 @@ def processing_run(spark, sf_dir):
 def embed_documents_stream(spark, sf_dir):
     """The embedding job as a stream that works off the files it finds."""
     base = f"{shared_dir(spark)}/sparkvec_streams/{uuid.uuid4().hex}"
-    docs = document_stream(spark, sf_dir, files="documents.parquet")
+    # as a glob the table may be a file or a folder of files
+    docs = document_stream(spark, f"{sf_dir}/documents.parque[t]")
     embed_stream(
         docs,
         sample.ENCODER,

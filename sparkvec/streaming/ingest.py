@@ -31,7 +31,8 @@ def document_stream(
     files: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New document files of a folder; ``files`` is a glob on their names."""
+    """New document files of a folder; ``files`` is a glob on their names. ``path`` may be a glob itself,
+    of files or of folders of files."""
     reader = spark.readStream.schema(schema).format(source_format)
     if files:
         reader = reader.option("pathGlobFilter", files)

@@ -11,6 +11,7 @@ from sparkvec.operators import encoding as en
 from sparkvec.operators.chunking import chunk_documents
 from sparkvec.plans import embed
 from sparkvec.plans.embed import embed_table, packed_id
+from sparkvec.plans.registered import QUERIES
 from sparkvec.sources import store as st
 from sparkvec.sources.documents import documents_from_list, spread
 from sparkvec.streaming import ingest
@@ -197,3 +198,18 @@ def test_stream_into_a_store(spark, tmp_path, monkeypatch):
     }
     assert sorted(r.reason for r in spark.read.parquet(bad).collect()) == ["empty", "not a string"]
     st.drop_table(spark, "streamed")
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_stream_query_of_a_file_or_a_folder_of_files(spark, tmp_path, folder):
+    docs = [(0, "short"), (1, LONG), (2, None), (3, " ")]
+    written, target = tmp_path / "written", tmp_path / "in" / "documents.parquet"
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3 if folder else 1).write.parquet(str(written))
+    target.parent.mkdir()
+    if folder:
+        written.rename(target)
+    else:
+        next(written.glob("*.parquet")).rename(target)
+    rows = QUERIES["embed_documents_stream"](spark, str(target.parent)).collect()
+    assert len(rows) == 1 + (-(-(len(LONG) - 500) // 450) + 1)
+    assert {r.id >> 20 for r in rows} == {0, 1}
