@@ -3,8 +3,8 @@
 Every task streams its part of the store through a matrix product against a
 block of queries and keeps a running top-k per query, so a task emits at most
 ``queries x k`` narrow rows and the store itself is never shuffled. The query
-block is broadcast only while its size is within a bound; a larger query set is
-cut into blocks within that bound, which are broadcast in turn. Then the distances
+set is broadcast at once only while its size is within a bound; a larger one is
+cut into blocks of ``BLOCK_BYTES``, which are broadcast in turn. Then the distances
 to some rows of the store are known first, and a task returns only what is as near
 as a query's k-th of those.
 """
@@ -23,10 +23,14 @@ from sparkvec.functions.vectors import TIE_DECIMALS, as_matrix, check_metric
 from sparkvec.operators.checks import check_top_k
 from sparkvec.session import ensure_checkpoint_dir, shared_dir
 
-BROADCAST_BYTES = 64 << 20  # vectors and running lists of the queries one task holds
+BROADCAST_BYTES = 64 << 20  # vectors and running lists of a query set that may be broadcast at once
+#: Vectors and running lists of the queries one task holds. The store is read once per block, so a smaller
+#: one would read it more often, and a larger one is held by every Python worker.
+BLOCK_BYTES = 16 << 20
 LIST_BYTES = 24  # one place of a running list
 WINNER_BYTES = 64  # one (query, rank, id, distance) row in a broadcast relation
-PRODUCT_CELLS = 1 << 23  # floats in one (queries x rows) product, 32 MB
+PRODUCT_CELLS = 1 << 21  # floats in one (queries x rows) product, 8 MB
+EXACT_PAIRS = 8192  # pairs whose distance is computed at a time in double precision
 
 BLOCKS_PER_JOB = (4, 16)  # query blocks that one job searches, by their size; the driver holds them together
 BOUND_ROWS = 4096  # rows of the store that bound the distances of a query set in blocks
@@ -59,7 +63,7 @@ class RunningTopK:
         self.norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
         self.defined = valid & (self.norms > 0) if metric == "cosine" else valid
         self.screen = self._screen_form(queries, self.norms, 1.0)
-        self.bound = np.full(len(queries), np.inf)  # rank key of the k-th best so far
+        self.bound = np.full(len(queries), np.inf)  # rank key of the last place held so far
         self.count = np.zeros(len(queries), dtype=np.int64)
         # Best rows in rank order; the first `count` places of a query are filled.
         self.ids = np.zeros((len(queries), k), dtype=np.int64)
@@ -100,17 +104,21 @@ class RunningTopK:
         with np.errstate(over="ignore", invalid="ignore"):
             product = self.screen[numbers] @ screen.T
         # beyond the range of single precision the screen says nothing: such pairs are decided in double
-        unsure = ~np.isfinite(product)
+        unsure = None
         large = self.metric != "cosine" and max(self.norms[numbers].max(initial=0), norms.max()) > SCREEN_NORM
         if large:
+            unsure = ~np.isfinite(product)
             unsure |= (norms > SCREEN_NORM)[None, :] | (self.norms[numbers] > SCREEN_NORM)[:, None]
-        own = np.zeros(product.shape, dtype=bool)
+            product[unsure] = -np.inf
+        own = None
         if skip_own_id is not None:
             _, own_q, own_r = np.intersect1d(skip_own_id[numbers], ids, return_indices=True)
-            own[own_q, own_r] = True
-        product[unsure | own] = -np.inf
-        limit = np.minimum(self.bound[numbers], self.ceiling[numbers])
-        full = np.isfinite(self.ceiling[numbers]) | ((self.count[numbers] >= self.k) & np.isfinite(limit))
+            own = own_q * len(ids) + own_r
+            product[own_q, own_r] = -np.inf
+        # the last key of a list that is not full bounds nothing
+        reached = np.where(self.count[numbers] >= self.k, self.bound[numbers], np.inf)
+        limit = np.minimum(reached, self.ceiling[numbers])
+        full = np.isfinite(limit)
         tie = 2 * 10.0**-TIE_DECIMALS
         # Rounding of the inputs and of the sum, both ways.
         unit_error = 2.0 * (screen.shape[1] + 4) * np.finfo(np.float32).eps
@@ -128,10 +136,15 @@ class RunningTopK:
             kth = np.partition(product[open_], len(ids) - self.k, axis=1)[:, len(ids) - self.k]
             floor[open_] = kth - 2 * slack[open_]
         floor = np.nextafter(floor.astype(np.float32), np.float32(-np.inf))
-        q, r = np.nonzero(((product >= floor[:, None]) | unsure) & ~own)
+        may = product >= floor[:, None]
+        if unsure is not None:
+            may |= unsure
+        if own is not None:
+            may.reshape(-1)[own] = False
+        q, r = np.divmod(np.flatnonzero(may), len(ids))
         exact = np.empty(q.size)
-        for start in range(0, q.size, 65536):
-            piece = slice(start, start + 65536)
+        for start in range(0, q.size, EXACT_PAIRS):
+            piece = slice(start, start + EXACT_PAIRS)
             exact[piece] = self._distance(numbers[q[piece]], rows[r[piece]], norms[r[piece]])
         key = np.round(exact, TIE_DECIMALS)
         enter = key <= np.where(full, limit, np.inf)[q]
@@ -253,9 +266,9 @@ def batch_topk(
 ) -> DataFrame:
     """The ``top_k`` nearest store rows of every query: ``qid, rn, id, distance``.
 
-    Queries beyond ``broadcast_bytes`` are searched at once, in jobs of a few blocks,
-    each of which reads the store's ids and vectors; ``checkpoint_store`` writes these
-    down before, for a store that is not files but is computed by an encoder.
+    Queries beyond ``broadcast_bytes`` or ``BLOCK_BYTES`` are searched at once, in jobs of a few
+    blocks of ``BLOCK_BYTES``, each of which reads the store's ids and vectors; ``checkpoint_store``
+    writes these down before, for a store that is not files but is computed by an encoder.
 
     ``keep`` names further store columns to add. The search itself moves ids and
     distances only; the columns are fetched afterwards for the rows that won, by
@@ -276,15 +289,13 @@ def batch_topk(
     if probes is not None:
         columns.append(F.col("cell").cast("int").alias("cell"))
     rows = store.select(*columns)
-    table, asked = _bounded_queries(asked, top_k, broadcast_bytes)
+    table, asked = _bounded_queries(asked, top_k, min(broadcast_bytes, BLOCK_BYTES))
     if table is not None:
         merged = _broadcast_topk(spark, rows, table, top_k, metric, exclude_same_id, probes)
     else:
         if checkpoint_store:
             rows = rows.checkpoint()
-        merged = _blocked_topk(
-            spark, rows, asked, top_k, metric, exclude_same_id, probes, broadcast_bytes
-        )
+        merged = _blocked_topk(spark, rows, asked, top_k, metric, exclude_same_id, probes, BLOCK_BYTES)
     found = merged.select(F.col("_q").alias(qid_col), "rn", "id", "distance")
     if not keep:
         return found

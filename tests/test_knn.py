@@ -1,10 +1,12 @@
 """Many-query top-k against a brute-force ranking, on every execution path."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkvec.operators import cells
+from sparkvec.operators import cells, knn
 from sparkvec.operators.encoding import HashEncoder, HashEncoderFactory, encode_text
 from sparkvec.operators.knn import RunningTopK, batch_topk
 
@@ -230,3 +232,56 @@ def test_cells_are_read_until_there_are_k_rows(spark, frames):
         assert {r["count"] for r in found.groupBy("qid").count().collect()} == {25}
     every = cells.approximate_topk(placed, asked, index, probes=1, top_k=1000)
     assert collect(every) == brute(rows, queries, 1000, "cosine")
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("block", [300, 1200])
+def test_blocks_of_queries_are_exact(frames, metric, block, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_BYTES", block)
+    rows, queries, store, asked = frames
+    got = collect(batch_topk(store, asked, top_k=10, metric=metric))
+    assert got == brute(rows, queries, 10, metric)
+
+
+def test_the_store_is_read_once_per_block_that_a_task_can_hold(frames, monkeypatch):
+    """However small the bound of what is broadcast at once."""
+    _, _, store, asked = frames
+    scans = []
+    partial = knn._partial_topk
+    monkeypatch.setattr(knn, "_partial_topk", lambda *a, **b: scans.append(1) or partial(*a, **b))
+    assert batch_topk(store, asked, top_k=10, broadcast_bytes=300).count() == 10 * QUERIES
+    assert len(scans) == 1
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_memory_beside_the_queries_is_bounded(metric):
+    rng = np.random.default_rng(8)
+    queries, rows = rng.standard_normal((4000, 64)), rng.standard_normal((10_000, 64))
+    running = RunningTopK(queries, np.ones(4000, bool), 10, metric)
+    tracemalloc.start()
+    running.add(np.arange(10_000), rows, np.ones(10_000, bool), skip_own_id=np.arange(4000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_a_list_that_is_not_full_yet_bounds_nothing(metric):
+    """Few rows of a batch may be under the ceiling; those of later batches that are farther still count."""
+    rows, _ = _data()
+    rows = rows.astype(np.float64)
+    valid, own = np.ones(40, bool), np.arange(40)
+
+    def searched(low, high, ceiling):
+        running = RunningTopK(rows[:40], valid, 6, metric, ceiling)
+        for start in range(low, high, 37):
+            part = rows[start : min(start + 37, high)]
+            running.add(np.arange(start, start + len(part)), part, np.ones(len(part), bool), skip_own_id=own)
+        return running
+
+    ceiling = searched(0, ROWS, None).bound
+    tasks = [searched(low, low + 140, ceiling) for low in range(0, ROWS, 140)]
+    want = brute(rows, rows[:40], 6, metric, own=True)
+    for q in range(40):
+        found = sorted((t.keys[q, i], t.ids[q, i]) for t in tasks for i in range(t.count[q]))
+        assert [number for _, number in found[:6]] == want[q]
