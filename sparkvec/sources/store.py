@@ -40,6 +40,7 @@ SLICE = "vector_slice"
 PROMOTED_TYPES = {"string": "STRING", "number": "DOUBLE", "boolean": "BOOLEAN"}
 PREVIEW_ROWS, PREVIEW_LENGTH = 5, 100
 ROWS_PER_FILE = 250_000
+BYTES_PER_FILE = 128 << 20  # of texts, metadata and vectors, uncompressed
 _INSERT = re.compile(
     r"insert\s+(?P<kind>into|overwrite)\s+(?:table\s+)?(?P<table>[\w.`]+)\s*(?:\((?P<columns>[\w\s,`]+)\)(?=\s*(?:select|values|table|from|with|\()\b))?",
     re.IGNORECASE,
@@ -665,15 +666,20 @@ def update_metadata_bulk(spark: SparkSession, table: str, updates: DataFrame) ->
 def optimize_table(
     spark: SparkSession, table: str, rows_per_file: int = ROWS_PER_FILE
 ) -> dict:
-    """Rewrite into evenly sized slices of one file, ordered by id: lookups skip the others, and changes leave them."""
+    """Rewrite into evenly sized slices of one file, ordered by id: lookups skip the others, and changes leave them.
+
+    A file is of ``rows_per_file`` rows and about ``BYTES_PER_FILE``, whichever is less, as one task writes it.
+    """
     _require(spark, table)
     df = spark.table(table)
-    rows = df.count()
+    held = [F.octet_length("document_text"), F.octet_length("metadata"), F.size("embedding") * 4]
+    weight = sum((F.coalesce(size.cast("long"), F.lit(0)) for size in held), F.lit(0))
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).head()
     old = _folders(_with_folder(df))
     if old:
         staged = f"{_folder(spark, table)}/{uuid.uuid4().hex}"
         try:
-            _write_slices(df.drop(SLICE), staged, max(1, -(-rows // rows_per_file)))
+            _write_slices(df.drop(SLICE), staged, max(1, -(-rows // rows_per_file), -(-total // BYTES_PER_FILE)))
             add = _named_slices(spark, staged)
         except BaseException:
             _delete_folder(spark, staged)

@@ -266,6 +266,16 @@ def test_optimize_keeps_rows_and_one_generation(spark, table):
     assert len(os.listdir(folder)) == 1
 
 
+def test_files_are_bounded_by_bytes_too(spark, table, monkeypatch):
+    monkeypatch.setattr(st, "BYTES_PER_FILE", 5000)
+    long = rows(spark).withColumn("document_text", F.repeat(F.col("document_text"), 250))
+    st.insert_embeddings(spark, table, long.repartition(3), order_by="pos")
+    before = {tuple(r[:3]) for r in spark.table(table).collect()}
+    assert st.optimize_table(spark, table)["row_count"] == 10
+    assert {tuple(r[:3]) for r in spark.table(table).collect()} == before
+    assert len(spark.table(table).inputFiles()) > 1
+
+
 def test_search_by_table_name(spark, table):
     """The table's own metric, and winners fetched by id."""
     st.insert_embeddings(spark, table, rows(spark, 30), order_by="pos")
