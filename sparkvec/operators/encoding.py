@@ -20,6 +20,8 @@ from sparkvec.functions import text as tx
 from sparkvec.operators.checks import check_dimensions, check_query_text
 
 BATCH_SIZE = 32
+#: Texts of an Arrow batch that are Python strings at a time.
+HELD_TEXTS = 256
 EncoderFactory = Callable[[], Any]
 
 _built: dict[str, Any] = {}
@@ -40,7 +42,7 @@ def build_once(key: str, factory: Callable[[], Any]) -> Any:
 class _Slots(dict):
     """word -> 2 * bucket + (1 if its sign is negative), filled in on demand."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 17
 
     def __init__(self, dimension: int):
         super().__init__()
@@ -93,6 +95,16 @@ def _as_arrow(matrix: np.ndarray, rows: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
 
 
+def _encoded(encoder: Any, batch: pa.Array, batch_size: int) -> pa.Array:
+    """The vectors of a batch, a few of its texts at a time."""
+    step = max(batch_size, HELD_TEXTS - HELD_TEXTS % batch_size)
+    parts = []
+    for start in range(0, len(batch), step):
+        texts = batch.slice(start, step).to_pylist()
+        parts.append(_as_arrow(encoder.encode(texts, batch_size), len(texts)))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+
+
 def encode_text(
     text: Column, encoder_factory: EncoderFactory, batch_size: int = BATCH_SIZE
 ) -> Column:
@@ -108,10 +120,7 @@ def encode_text(
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = build_once(key, encoder_factory)
         for batch in batches:
-            if len(batch) == 0:
-                yield pa.array([], pa.list_(pa.float32()))
-                continue
-            yield _as_arrow(encoder.encode(batch.to_pylist(), batch_size), len(batch))
+            yield _encoded(encoder, batch, batch_size)
 
     # Declared nondeterministic only so that Catalyst neither repeats the call
     # nor moves it when a later filter or projection mentions the vector.

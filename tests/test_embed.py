@@ -4,6 +4,7 @@ import json
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +52,20 @@ def test_query_encoding(spark):
     assert en.embedding_dimension(en.encode_documents(docs, ENCODER, text_col="text")) == 16
 
 
+class FewAtATime(en.HashEncoder):
+    def encode(self, texts, batch_size=32):
+        assert len(texts) <= 512
+        return super().encode(texts, batch_size)
+
+
+@pytest.mark.parametrize("batch_size", [32, 100, 300])
+def test_a_batch_is_encoded_a_few_texts_at_a_time(batch_size):
+    texts = [f"word{i} and word{i // 2}" for i in range(1300)]
+    got = en._encoded(FewAtATime(16), pa.array(texts), batch_size)
+    assert np.allclose(got.to_pylist(), en.HashEncoder(16).encode(texts), atol=1e-6)
+    assert en._encoded(FewAtATime(16), pa.array([], pa.string()), batch_size).to_pylist() == []
+
+
 def test_wrong_encoder_output(spark):
     docs = documents_from_list(spark, ["a", "b", "c"]).coalesce(1)
     with pytest.raises(Exception, match="returned shape"):
