@@ -17,15 +17,20 @@ from sparkvec.functions import text as tx
 WORDS_PER_FILE = 5_000_000
 
 
+def _counted(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Words of each id and how often; the texts are dealt by id before they are cut, so that words are counted where they lie."""
+    dealt = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).repartition("id")
+    words = dealt.select("id", F.explode(tx.words(F.col("_text"))).alias("word"))
+    return words.groupBy("word", "id").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def write_postings(rows: DataFrame, path: str, *, id_col: str = "id", text_col: str = "document_text") -> None:
     """Cut all texts into lower-cased words at white space, count, and write the three tables below ``path``.
 
-    Ids must be distinct. Texts are read once; repeated words of a document are counted before the shuffle.
+    Ids must be distinct. Texts are read once; of the words only the counted ones are moved, once, in order.
     """
     spark = rows.sparkSession
-    words = rows.select(F.col(id_col).cast("long").alias("id"), F.explode(tx.words(F.col(text_col))).alias("word"))
-    counted = words.groupBy("word", "id").agg(F.count(F.lit(1)).alias("tf"))
-    counted.write.parquet(f"{path}/counted")
+    _counted(rows, id_col, text_col).write.parquet(f"{path}/counted")
     counted = spark.read.parquet(f"{path}/counted")
     files = max(1, -(-counted.count() // WORDS_PER_FILE))
     ordered = counted.repartitionByRange(files, "word", "id").sortWithinPartitions("word", "id")
