@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from sparkvec.operators import cells, knn, search
+from sparkvec.operators import cells, knn, postings, search
 from sparkvec.operators import stats as ss
 from sparkvec.operators.encoding import HashEncoderFactory, encode_documents
 from sparkvec.operators.postings import matches, write_postings
@@ -271,3 +271,28 @@ def test_postings_score_as_the_texts_do(spark, store, tmp_path):
 
 def _rounded(found):
     return found.select("id", "document_text", "metadata", F.round("combined_score", 9))
+
+
+def test_words_are_counted_without_being_moved(spark):
+    rows = spark.createDataFrame([(1, "a b a"), (2, "b"), (2, "b c"), (3, None)], "id long, document_text string")
+    counted = postings._counted(rows, "id", "document_text")
+    assert sorted(map(tuple, counted.collect())) == [("a", 1, 2), ("b", 1, 1), ("b", 2, 2), ("c", 2, 1)]
+    plan = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
+
+
+def test_cells_searched_in_blocks_of_queries(spark, store, monkeypatch):
+    index = cells.fit_cells(store, cells=3)
+    placed = cells.assign_cells(store, index)
+    asked = store.select(F.col("id").alias("qid"), "embedding")
+
+    def found():
+        rows = cells.approximate_topk(placed, asked, index, probes=2, top_k=2, exclude_same_id=True)
+        return sorted((r.qid, r.rn, r.id) for r in rows.collect())
+
+    whole, blocks = found(), []
+    partial = knn._partial_topk
+    monkeypatch.setattr(knn, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(knn, "_partial_topk", lambda *a, **b: blocks.append(a[2].num_rows) or partial(*a, **b))
+    assert found() == whole
+    assert len(blocks) > 1 and sum(blocks) == len(TEXTS)
