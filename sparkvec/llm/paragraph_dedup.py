@@ -3,8 +3,8 @@
 A paragraph is a line, compared as a whole. For passages inside lines there is a second
 level: lines are cut where a word's hash is the least of the ``REACH`` words on either
 side. Such cuts depend on the words around them only, so that a passage is cut alike
-wherever it stands. The fragments, and lines without a cut, are compared with each other
-like the lines, and never with whole lines, as a fragment may be nearly all of its own.
+wherever it stands. The fragments are paragraphs like the lines; a line without a cut is one
+paragraph, not two.
 Lines of any length are compared, those of fewer than ``SHINGLE`` words for equality only;
 fragments that a cut made are not if they have fewer than ``MIN_WORDS`` words.
 
@@ -51,11 +51,16 @@ MIN_WORDS = 9
 WINDOW = 51
 GRAM = 16
 TILE = 1000
+PAIRWISE = 6
 FILTER = 1 << 26
 _ONES = (1 << 64) - 1
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[65:91] += 32
-_POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+_PRIME = 0x9E3779B97F4A7C15
+_BASES = np.cumprod(np.full(1 << 16, _PRIME, np.uint64), dtype=np.uint64)
+_POWERS = _BASES[:4096]
+_SHIFTS = np.cumprod(np.append(np.uint64(1), np.full((1 << 16) - 1, pow(_PRIME, -1, 1 << 64), np.uint64)), dtype=np.uint64)
+_VALUES = np.where(SPACE, np.uint64(0), _FOLD + np.uint64(1))
 
 
 def tune(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -70,6 +75,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _long_sums(block: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The sum of each word's bytes, each times a power of its place in the word."""
+    place = np.zeros(len(block), np.int64)
+    place[at[0] :] = np.arange(at[0], len(block)) - np.repeat(at, length)
+    return np.add.reduceat(_VALUES[block] * _POWERS[place & 4095], at)
+
+
+def _sums(block: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The same where words begin at most 4,096 bytes apart: powers of the place in 64 KB, divided by those of the word's."""
+    out, word = np.empty(len(at), np.uint64), 0
+    while word < len(at):
+        low = int(at[word])
+        stop = int(np.searchsorted(at, low + (1 << 16) - 4096, "right"))
+        value = _VALUES[block[low : min(int(at[stop - 1]) + 4096, len(block))]]
+        value *= _BASES[: len(value)]
+        heads = at[word:stop] - low
+        if stop < len(at):  # the last word ends before the next one
+            value[int(at[stop]) - low :] = 0
+        out[word:stop] = np.add.reduceat(value, heads) * _SHIFTS[heads]
+        word = stop
+    return out
+
+
 def _words(block: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words of rows of text that lie side by side: where they begin, hash, row, and whether one is its line's first."""
     gap = SPACE[block]
@@ -81,11 +109,7 @@ def _words(block: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if not len(at):
         return at, np.zeros(0, np.uint64), at, np.zeros(0, bool)
     length = np.diff(np.append(at, len(block)))
-    place = np.zeros(len(block), np.int64)
-    place[at[0] :] = np.arange(at[0], len(block)) - np.repeat(at, length)
-    value = (_FOLD[block] + np.uint64(1)) * _POWERS[place & 4095]
-    value[gap] = 0
-    words = _mixed(np.add.reduceat(value, at))
+    words = _mixed(_sums(block, at) if length.max() <= 4096 else _long_sums(block, at, length))
     row = np.searchsorted(bounds, at, "right") - 1
     breaks = np.searchsorted(np.flatnonzero(block == 10), at)
     fresh = np.ones(len(at), bool)
@@ -183,8 +207,9 @@ class Paragraphs:
             name = _mixed(np.add.reduceat(words * _POWERS[inside & 4095], first) + count.astype(np.uint64))
             keep = np.ones(len(first), bool)
             if level:
+                # a line without a cut has the shingles of its line, so it would meet it in every bucket
                 uncut = fresh[first] & np.append(fresh[first[1:]], True)
-                keep = np.where(uncut, count >= SHINGLE, count >= MIN_WORDS)
+                keep = ~uncut & (count >= MIN_WORDS)
             parts.append((first[keep], count[keep], _mixed(name[keep] + np.uint64(level))))
         first, count, name = (np.concatenate(x) for x in zip(*parts))
         self.size = len(first)
@@ -213,14 +238,14 @@ class Paragraphs:
         size = (self.high - self.low)[which]
         edges = np.append(0, np.cumsum(size))
         take = np.arange(edges[-1]) + np.repeat(self.low[which] - edges[:-1], size)
-        of, value = np.repeat(np.arange(len(which)), size), self.shingles[take]
-        order = np.lexsort((value, of))
-        of, value = of[order], value[order]
-        new = np.append(True, (np.diff(of) != 0) | (np.diff(value) != 0))
+        # told apart by 44 bits, and sorted as one number with their paragraph's
+        of = np.repeat(np.arange(len(which), dtype=np.uint64), size)
+        value = np.sort(of << np.uint64(44) | self.shingles[take] & np.uint64((1 << 44) - 1))
+        new = np.append(True, np.diff(value) != 0)
         bit = np.where(new, np.uint64(1) << (value & np.uint64(63)), np.uint64(0))
         upper = (value >> np.uint64(6) & np.uint64(1)).astype(bool)
         halves = [np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), edges[:-1]).view(np.int64) for half in (~upper, upper)]
-        return np.add.reduceat(new.astype(np.int32), edges[:-1]), *halves
+        return np.add.reduceat(new, edges[:-1], dtype=np.int32), *halves
 
     def sets(self, which: np.ndarray) -> pa.ListArray:
         """The shingles of these paragraphs."""
@@ -243,14 +268,17 @@ def _paragraphs(text: pa.Array, kind: type = Paragraphs) -> Iterator[tuple[np.nd
             yield rows, cut[found.row] - offsets[rows], found
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """One row per compared paragraph: row (key of its document), place (of its first byte), name, start and end (bytes)."""
+def occurrences(docs: DataFrame, may: np.ndarray | None = None) -> DataFrame:
+    """One row per compared paragraph: row (key of its document), place (of its first byte), name, start and end (bytes).
+    ``may`` is a map of bits of names (and others) to be looked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, first, found in _paragraphs(batch["text"]):
-                at = pa.array(rows)
-                columns = [batch["row"].take(at), batch["doc_id"].take(at).cast(pa.int64()), found.name, found.start + first, found.end + first]
+                some = slice(None) if may is None else np.flatnonzero(_passes(may, found.name))
+                at = pa.array(rows[some])
+                spans = (found.name[some], (found.start + first)[some], (found.end + first)[some])
+                columns = [batch["row"].take(at), batch["doc_id"].take(at).cast(pa.int64()), *spans]
                 yield pa.record_batch([pa.array(c) for c in columns], names=["row", "doc_id", "name", "start", "end"])
 
     rows = docs.select(F.unhex(row_key()).alias("row"), "doc_id", "text").where(F.col("text").isNotNull())
@@ -258,85 +286,163 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.select("row", place(F.col("doc_id"), F.col("start")).alias("place"), "name", "start", "end")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, list]]:
-    """The rows of each group of batches sorted by ``names``, as lists of columns."""
-    held, held_key = None, None
+def _whole(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by a number, dealt anew so that all rows of one number are in one batch."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        keys = list(zip(*(columns[batch.schema.get_field_index(n)] for n in names)))
-        low = 0
-        for i in range(1, len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[low]:
-                part = [c[low:i] for c in columns]
-                if held_key == keys[low]:
-                    held = [a + b for a, b in zip(held, part)]
-                else:
-                    if held is not None:
-                        yield held_key, held
-                    held, held_key = part, keys[low]
-                low = i
-    if held is not None:
-        yield held_key, held
+        values = batch[key].to_numpy()
+        if not len(values):
+            continue
+        cut = int(np.searchsorted(values, values[-1], "left"))
+        if held and (cut or values[0] != held[0][key][0].as_py()):
+            yield pa.concat_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield batch.slice(0, cut)
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _followers(first: np.ndarray, size: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows within groups that begin at ``first`` (and have at most ``most``), those as far apart at a time."""
+    left = np.repeat(first + size, size) - np.arange(int(size.sum())) - 1
+    if most is not None:
+        left[np.repeat(size, size) > most] = 0
+    at, step = np.flatnonzero(left > 0), 1
+    while len(at):
+        yield at, at + step
+        step += 1
+        at = at[left[at] >= step]
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
 
 
 def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Links that connect the similar paragraphs of each tile pair: pairs already linked are not compared."""
-    for _, (_, _, _, names, shingles) in _groups(batches, ["bucket", "a", "b"]):
-        a, b, clusters = [], [], []
-        for name, mine in sorted(zip(names, map(frozenset, shingles)), key=lambda x: x[0]):
-            joined = [(name, mine)]
-            apart = []
-            for cluster in clusters:
-                for other, theirs in cluster:
-                    if min(len(mine), len(theirs)) < threshold * max(len(mine), len(theirs)):
-                        continue
-                    common = len(mine & theirs)
-                    if common >= threshold * (len(mine) + len(theirs) - common):
-                        a.append(name)
-                        b.append(other)
-                        joined += cluster
-                        break
-                else:
-                    apart.append(cluster)
-            clusters = [*apart, joined]
+    """Links that connect the similar paragraphs of each group: in groups over ``PAIRWISE``, pairs already linked are not compared."""
+    for batch in _whole(batches, "bucket"):
+        name, lists = batch["name"].to_numpy(), batch["shingles"]
+        # sets as runs of sorted codes
+        code = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1].astype(np.int64)
+        width = int(code.max(initial=0)) + 1
+        code = np.unique(np.repeat(np.arange(len(name)), lists.value_lengths().to_numpy()) * width + code)
+        row, code = np.divmod(code, width)
+        size = np.bincount(row, minlength=len(name))
+        low = np.append(0, np.cumsum(size))
+        first = _heads(batch["bucket"].to_numpy())
+        count = np.diff(np.append(first, len(name)))
+        a, b = [], []
+        for i, j in _followers(first, count, PAIRWISE):
+            fit = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j])
+            i, j = i[fit], j[fit]
+            if not len(i):
+                continue
+            both = []
+            for side in (i, j):
+                edges = np.append(0, np.cumsum(size[side]))
+                of = np.repeat(np.arange(len(side)), size[side])
+                both.append(of * width + code[np.arange(edges[-1]) - edges[:-1][of] + low[side][of]])
+            met = np.sort(np.concatenate(both))
+            common = np.bincount(met[1:][met[1:] == met[:-1]] // width, minlength=len(i))
+            linked = common >= threshold * (size[i] + size[j] - common)
+            a += name[i[linked]].tolist()
+            b += name[j[linked]].tolist()
+        for g in np.flatnonzero(count > PAIRWISE):
+            clusters: list[list] = []
+            for r in range(first[g], first[g] + count[g]):
+                mine = frozenset(code[low[r] : low[r + 1]].tolist())
+                joined, apart = [(r, mine)], []
+                for cluster in clusters:
+                    for other, theirs in cluster:
+                        if min(len(mine), len(theirs)) < threshold * max(len(mine), len(theirs)):
+                            continue
+                        common = len(mine & theirs)
+                        if common >= threshold * (len(mine) + len(theirs) - common):
+                            a.append(int(name[r]))
+                            b.append(int(name[other]))
+                            joined += cluster
+                            break
+                    else:
+                        apart.append(cluster)
+                clusters = [*apart, joined]
         if a:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _screened(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """The members of each tile pair that may be similar to another one, by size and sketch."""
+def _screened(batches: Iterator[pa.RecordBatch], threshold: float, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: the members of each that may be similar to another one, by size and sketch.
+
+    Buckets left with the same members get the same new number. Those of more than ``limit`` members are given
+    out as they are, with their sketches.
+    """
     share = (1 - threshold) / (1 + threshold) * (1 + 1e-9)  # of both sizes that similar sets may differ in
-    keep: list[list] = [[], [], [], []]
-
-    def out() -> pa.RecordBatch:
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
-        return pa.record_batch([pa.array(k, t) for k, t in zip(keep, types)], names=["bucket", "a", "b", "name"])
-
-    for key, (_, _, _, names, sizes, low, high) in _groups(batches, ["bucket", "a", "b"]):
-        if len(names) <= 16:
-            maybe = [False] * len(names)
-            for i in range(len(names)):
-                for j in range(i):
-                    differ = (low[i] ^ low[j]) & _ONES, (high[i] ^ high[j]) & _ONES
-                    if differ[0].bit_count() + differ[1].bit_count() <= share * (sizes[i] + sizes[j]):
-                        maybe[i] = maybe[j] = True
-            kept = [n for n, m in zip(names, maybe) if m]
-        else:
-            n, x, y = np.array(sizes), np.array(low, np.int64).view(np.uint64), np.array(high, np.int64).view(np.uint64)
-            found = np.zeros(len(names), bool)
-            for i in range(1, len(names)):
-                differ = np.bitwise_count(x[:i] ^ x[i]) + np.bitwise_count(y[:i] ^ y[i])
-                near = differ <= share * (n[:i] + n[i])
-                found[:i] |= near
-                found[i] = near.any()
-            kept = [names[i] for i in np.flatnonzero(found)]
-        for column, values in zip(keep, ([key[0]] * len(kept), [key[1]] * len(kept), [key[2]] * len(kept), kept)):
-            column += values
-        if len(keep[0]) >= 10_000:
-            yield out()
-            keep = [[], [], [], []]
-    if keep[0]:
-        yield out()
+    fields = ["bucket", "name", "size", "low", "high"]
+
+    def distinct(rows: list[np.ndarray]) -> list[np.ndarray]:
+        rows = [c[np.lexsort((rows[1], rows[0]))] for c in rows]
+        once = _heads(rows[0], rows[1])
+        return [c[once] for c in rows]
+
+    def kept(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        bucket, name, size, low, high = rows
+        first = _heads(bucket)
+        count = np.diff(np.append(first, len(bucket)))
+        if limit is not None and count.max(initial=0) > limit:
+            big = np.repeat(count > limit, count)
+            yield large([c[big] for c in rows])
+            yield from kept([c[~big] for c in rows])
+            return
+        maybe = np.zeros(len(name), bool)
+        for i, j in _followers(first, count):
+            differ = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
+            near = differ <= share * (size[i] + size[j])
+            maybe[i[near]] = maybe[j[near]] = True
+        bucket, name = bucket[maybe], name[maybe]
+        if len(name):
+            first = _heads(bucket)
+            members = _mixed(np.add.reduceat(_mixed(name.view(np.uint64)), first))
+            group = np.repeat(members.view(np.int64), np.diff(np.append(first, len(name))))
+            nothing = [pa.nulls(len(name), t) for t in (pa.int32(), pa.int64(), pa.int64())]
+            yield pa.record_batch([pa.array(group), pa.array(name), *nothing], names=fields)
+
+    def large(rows: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, name, size, low, high = rows
+        columns = [bucket, name, size.astype(np.int32), low.view(np.int64), high.view(np.int64)]
+        return pa.record_batch([pa.array(c) for c in columns], names=fields)
+
+    held: list[np.ndarray] | None = None
+    crowd = None  # the bucket that is being given out
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch[f].to_numpy() for f in fields]
+        rows = [rows[0], rows[1], rows[2].astype(np.int64), rows[3].view(np.uint64), rows[4].view(np.uint64)]
+        if held is not None:
+            rows = [np.concatenate(c) for c in zip(held, rows)]
+        rows = distinct(rows)
+        if crowd is not None:
+            stop = int(np.searchsorted(rows[0], crowd, "right"))
+            if stop:
+                yield large([c[:stop] for c in rows])
+                rows = [c[stop:] for c in rows]
+            if not len(rows[0]):
+                held = None
+                continue
+            crowd = None
+        cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))
+        if cut:
+            yield from kept([c[:cut] for c in rows])
+        held = [c[cut:] for c in rows]
+        if limit is not None and len(held[0]) > limit:
+            yield large(held)
+            held, crowd = None, rows[0][-1]
+    if held is not None:
+        yield from kept(held)
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -417,92 +523,48 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, hashes = [], []
+            names, hashes, sketches = [], [], []
             for _, _, found in _paragraphs(batch["text"]):
                 once = np.sort(np.unique(found.name, return_index=True)[1])  # in order, for ``bands``
                 once = once[found.high[once] > found.low[once]]
                 if len(once):
                     names.append(found.name[once])
                     hashes.append(found.bands(once, bands, rows))
+                    sketches.append(found.sketches(once))
             if names:
                 name, once = np.unique(np.concatenate(names), return_index=True)
                 bucket = np.concatenate(hashes)[once]
-                yield pa.record_batch([pa.array(bucket.reshape(-1)), pa.array(np.repeat(name, bands))], names=["bucket", "name"])
-
-    def crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by bucket and name: distinct members of buckets that have several, and their tiles."""
-
-        def members(bucket: np.ndarray, name: np.ndarray, tile: int, more: bool) -> tuple[pa.RecordBatch, int]:
-            new = np.append(True, (np.diff(bucket) != 0) | (np.diff(name) != 0))
-            bucket, name = bucket[new], name[new]
-            first = np.flatnonzero(np.append(True, np.diff(bucket) != 0))
-            size = np.diff(np.append(first, len(bucket)))
-            rank = np.arange(len(bucket)) - np.repeat(first, size)
-            rank[: size[0]] += tile
-            many = np.repeat(size, size) > 1
-            many[: size[0]] |= tile > 0
-            if more:
-                many[first[-1] :] = True
-            columns = [pa.array(c[many]) for c in (bucket, name, (rank // TILE).astype(np.int32))]
-            return pa.record_batch(columns, names=["bucket", "name", "tile"]), int(rank[-1]) + 1
-
-        held, seen = (np.zeros(0, np.int64), np.zeros(0, np.int64)), 0
-        for batch in batches:
-            bucket = np.concatenate([held[0], batch["bucket"].to_numpy()])
-            name = np.concatenate([held[1], batch["name"].to_numpy()])
-            if not len(bucket):
-                continue
-            cut = int(np.searchsorted(bucket, bucket[-1], "left"))
-            if cut:
-                out, _ = members(bucket[:cut], name[:cut], seen, False)
-                seen = 0
-                yield out
-            last = np.unique(name[cut:])
-            if len(last) > TILE:  # a large bucket: all but its last member can go
-                out, seen = members(np.full(len(last) - 1, bucket[-1]), last[:-1], seen, True)
-                yield out
-                last = last[-1:]
-            held = (np.full(len(last), bucket[-1]), last)
-        if len(held[0]):
-            yield members(*held, seen, False)[0]
-
-    rows_ = texts.mapInArrow(banded, "bucket long, name long").repartition("bucket").sortWithinPartitions("bucket", "name")
-    met = written(rows_.mapInArrow(crowded, "bucket long, name long, tile int"))
+                columns = [name, *(np.concatenate(c)[once] for c in zip(*sketches))]
+                columns = [pa.array(bucket.reshape(-1)), *(pa.array(np.repeat(c, bands)) for c in columns)]
+                yield pa.record_batch(columns, names=["bucket", "name", "size", "low", "high"])
+
+    kind = "bucket long, name long, size int, low long, high long"
+    sized = texts.mapInArrow(banded, kind).repartition("bucket").sortWithinPartitions("bucket")
+    near = written(sized.mapInArrow(lambda batches: _screened(batches, threshold, TILE), kind))
+    # buckets of many members: every two tiles meet in a task of their own
+    large = near.where("size IS NOT NULL").dropDuplicates(["bucket", "name"])
     # buckets of the same members would be compared alike: the first of them is enough
     mixed = F.xxhash64("name", F.lit(1)).cast("decimal(20,0)")
-    tiles = met.groupBy("bucket").agg(F.max("tile").alias("tiles"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("name")).alias("x"), F.sum(mixed).alias("y"))
-    tiles = written(tiles.groupBy("n", "x", "y").agg(F.min_by("tiles", "bucket").alias("tiles"), F.min("bucket").alias("bucket")).select("bucket", "tiles"))
-
-    def once(columns, kind: str, names: DataFrame) -> DataFrame:
-        """One row for each of ``names``: its paragraph's ``columns``."""
-        may = _filter(names)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for _, _, found in _paragraphs(batch["text"]):
-                    _, first = np.unique(found.name, return_index=True)
-                    first = first[_passes(may, found.name[first])]
-                    first = first[found.high[first] > found.low[first]]
-                    if len(first):
-                        yield pa.record_batch([pa.array(found.name[first]), *columns(found, first)], schema=schema)
-
-        schema = pa.schema([("name", pa.int64()), *fields[kind]])
-        return texts.mapInArrow(run, f"name long, {kind}").join(names, "name", "left_semi").dropDuplicates(["name"])
-
-    sketch, shingles = "size int, low long, high long", "shingles array<long>"
-    fields = {
-        sketch: [("size", pa.int32()), ("low", pa.int64()), ("high", pa.int64())],
-        shingles: [("shingles", pa.list_(pa.int64()))],
-    }
-    sketches = once(lambda found, which: map(pa.array, found.sketches(which)), sketch, written(met.select("name").distinct()))
-    pairs = met.join(tiles, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), "tiles")))
-    pairs = pairs.select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "name")
-    near = pairs.join(sketches, "name").select("bucket", "a", "b", "name", "size", "low", "high")
-    near = near.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
-    near = written(near.mapInArrow(lambda batches: _screened(batches, threshold), "bucket long, a int, b int, name long"))
-    sets = once(lambda found, which: [found.sets(which)], shingles, written(near.select("name").distinct()))
-    pairs = near.join(sets, "name").select("bucket", "a", "b", "name", "shingles")
-    pairs = pairs.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
+    tiles = large.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("name")).alias("x"), F.sum(mixed).alias("y"))
+    tiles = tiles.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / TILE).alias("tiles"))
+    pairs = large.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("name"), "tiles"))
+    pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    pairs = pairs.select(F.xxhash64("bucket", F.least("tile", "other"), F.greatest("tile", "other")).alias("bucket"), "name", "size", "low", "high")
+    pairs = pairs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda batches: _screened(batches, threshold), kind)
+    near = written(near.where("size IS NULL").select("bucket", "name").union(pairs.select("bucket", "name")).distinct())
+    may = _filter(near)
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, found in _paragraphs(batch["text"]):
+                _, first = np.unique(found.name, return_index=True)
+                first = first[_passes(may, found.name[first])]
+                first = first[found.high[first] > found.low[first]]
+                if len(first):
+                    yield pa.record_batch([pa.array(found.name[first]), found.sets(first)], names=["name", "shingles"])
+
+    sets = texts.mapInArrow(shingled, "name long, shingles array<long>").dropDuplicates(["name"])
+    pairs = near.join(sets, "name").select("bucket", "name", "shingles").repartition("bucket").sortWithinPartitions("bucket")
     return written(pairs.mapInArrow(lambda batches: _verified(batches, threshold), "a long, b long"))
 
 
@@ -518,7 +580,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
 
 def repeats(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per paragraph or piece of a passage that occurs again: row, place, start, end, ``first`` and whether it is ``removed``."""
-    found = occurrences(docs).join(classes(docs, threshold, recall), "name")
+    known = written(classes(docs, threshold, recall))
+    found = occurrences(docs, _filter(known)).join(known, "name")
     found = found.select("row", "place", "start", "end", "first", (F.col("first") < F.col("place")).alias("removed"))
     return found.unionByName(passages(docs))
 
@@ -547,14 +610,61 @@ def dedup_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: floa
     return rows.select(*(F.col("cut").alias(c) if c == "text" else F.col(f"packed.`{c}`") for c in docs.columns))
 
 
-def _stretches(spans: list[tuple[int, int]]) -> tuple[int, int]:
-    """The number of spans, those that overlap counted as one, and the bytes under them."""
-    number, size, at = 0, 0, -1
-    for start, end in sorted(spans):
-        number += start >= at
-        size += max(end - max(start, at), 0)
-        at = max(at, end)
-    return number, size
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by the document's key: per document, the stretches under its spans and under its removed ones,
+    those that overlap counted as one, the bytes under the latter, and the sources.
+    """
+
+    def stretches(of: np.ndarray, start: np.ndarray, end: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((start, of))
+        of, start, end = of[order], start[order], end[order]
+        before = np.zeros(len(of), np.int64)  # the furthest end so far in the document
+        before[1:] = np.maximum.accumulate((of << 32) + end)[:-1] - (of[1:] << 32)
+        number = np.bincount(of, start >= np.maximum(before, 0), groups)
+        size = np.bincount(of, np.maximum(end - np.maximum(start, before), 0), groups)
+        return number.astype(np.int64), size.astype(np.int64)
+
+    for batch in _whole_documents(batches):
+        key = _key(batch)
+        first = _heads(*key)
+        of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key[0]))))
+        start, end, removed = (batch[c].to_numpy(zero_copy_only=False) for c in ("start", "end", "removed"))
+        shared, _ = stretches(of, start, end, len(first))
+        gone, size = stretches(of[removed], start[removed], end[removed], len(first))
+        known = batch["source"].is_valid().to_numpy(zero_copy_only=False)
+        owner, source = of[known], batch["source"].drop_null().to_numpy()
+        order = np.lexsort((source, owner))
+        owner, source = owner[order], source[order]
+        once = _heads(owner, source)
+        edges = np.searchsorted(owner[once], np.arange(len(first) + 1)).astype(np.int32)
+        sources = pa.ListArray.from_arrays(pa.array(edges), pa.array(source[once]))
+        columns = [batch["row"].take(pa.array(first)), *map(pa.array, (shared, gone, size)), sources]
+        yield pa.record_batch(columns, names=["row", "n_shared", "n_removed", "removed_bytes", "sources"])
+
+
+def _key(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The 16 bytes of each document's key as two numbers."""
+    data, _ = utf8(batch["row"].cast(pa.large_binary()).view(pa.large_string()))
+    halves = data.copy().view(np.uint64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
+def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by the document's key, dealt anew so that all rows of a document are in one batch, equal ones once."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        batch = batch if held is None else pa.concat_batches([held, batch])
+        cut = int(_heads(*_key(batch))[-1])
+        if cut:
+            yield batch.slice(0, cut)
+        held = batch.slice(cut)
+        if not cut:  # copies of a row at one place say the same
+            once = pa.Table.from_batches([held]).group_by(held.schema.names).aggregate([])
+            held = once.combine_chunks().to_batches()[0]
+    if held is not None:
+        yield held
 
 
 def digest(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -562,21 +672,9 @@ def digest(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL
     ``removed_bytes``, and ``sources``: the ids of the documents in which the shared ones are first, its own included.
     A line and what occurs again inside it are counted once.
     """
-    kind = "n_shared long, n_removed long, removed_bytes long"
-
-    def counted(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for spans in lists:
-            out = []
-            for row in spans.to_pylist():
-                shared, _ = _stretches([(x["start"], x["end"]) for x in row or ()])
-                removed, size = _stretches([(x["start"], x["end"]) for x in row or () if x["removed"]])
-                out.append({"n_shared": shared, "n_removed": removed, "removed_bytes": size})
-            yield pa.array(out, pa.struct([(n, pa.int64()) for n in ("n_shared", "n_removed", "removed_bytes")]))
-
-    found = repeats(docs, threshold, recall).groupBy("row").agg(
-        F.collect_set(F.struct("start", "end", "removed")).alias("spans"),
-        F.sort_array(F.collect_set(place_id(F.col("first")))).alias("sources"),
-    )
+    found = repeats(docs, threshold, recall).select("row", "start", "end", "removed", place_id(F.col("first")).alias("source"))
+    found = found.repartition("row").sortWithinPartitions("row")
+    found = found.mapInArrow(_counted, "row binary, n_shared long, n_removed long, removed_bytes long, sources array<long>")
     rows = docs.select("doc_id", F.unhex(row_key()).alias("row")).join(found, "row", "left")
-    rows = rows.select("doc_id", F.arrow_udf(counted, kind)("spans").alias("x"), F.coalesce("sources", F.array().cast("array<bigint>")).alias("sources"))
-    return rows.select("doc_id", "x.*", "sources")
+    counts = (F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in ("n_shared", "n_removed", "removed_bytes"))
+    return rows.select("doc_id", *counts, F.coalesce("sources", F.array().cast("array<bigint>")).alias("sources"))

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -397,6 +398,49 @@ def test_sketches_rule_out_no_similar_pair():
     assert similar > 30 and ruled_out > 0.95 * len(sets) * (len(sets) - 1) / 2
 
 
+def test_a_line_is_no_pair_with_itself(spark):
+    """A line without a cut was a paragraph twice, as a line and as a fragment, and the two were always linked."""
+    rng = np.random.default_rng(10)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 10**6, 12))) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert paragraph_dedup.links(docs).count() == 0
+    assert paragraph_dedup.occurrences(docs.withColumn("lang", F.lit(None))).count() == 50
+
+
+def test_links_are_those_of_all_pairs():
+    """Small groups are compared pair by pair, larger ones by clusters; a group may come in several batches."""
+    rng = np.random.default_rng(11)
+    buckets, names, sets = [], [], []
+    for bucket, size in enumerate([2, 3, 6, 7, 30, 1, 2]):
+        base = rng.integers(0, 2**62, 40)
+        for _ in range(size):
+            mine = base.copy()
+            mine[rng.choice(40, int(rng.integers(0, 9)), replace=False)] = rng.integers(0, 2**62)
+            buckets, names, sets = [*buckets, bucket], [*names, len(names)], [*sets, [*mine.tolist(), int(mine[0])]]
+    batch = pa.record_batch([pa.array(buckets), pa.array(names), pa.array(sets, pa.list_(pa.int64()))], names=["bucket", "name", "shingles"])
+    parts = iter([batch.slice(0, 4), batch.slice(4, 0), batch.slice(4, 20), batch.slice(24)])
+    got = [(x["a"], x["b"]) for out in paragraph_dedup._verified(parts, 0.8) for x in out.to_pylist()]
+
+    def classes(pairs):
+        root = list(range(len(names)))
+        for _ in names:
+            for x, y in pairs:
+                root[x] = root[y] = min(root[x], root[y])
+        return root
+
+    whole = [frozenset(s) for s in sets]
+    want = [(x, y) for x in names for y in range(x) if buckets[x] == buckets[y] and len(whole[x] & whole[y]) >= 0.8 * len(whole[x] | whole[y])]
+    assert set(map(frozenset, got)) <= set(map(frozenset, want)) and 5 < len(want) and classes(got) == classes(want)
+
+
+def test_sums_of_words_by_blocks():
+    text = " ".join("x" * n for n in [*range(1, 300), 4000, 4095, *range(1, 300)]) + "\n" + " " * 3000 + "end "
+    data = np.frombuffer(text.encode(), np.uint8)
+    at = np.flatnonzero((data > 32) & (np.append(32, data[:-1]) <= 32))
+    length = np.diff(np.append(at, len(data)))
+    assert len(data) > 1 << 16 and (paragraph_dedup._sums(data, at) == paragraph_dedup._long_sums(data, at, length)).all()
+
+
 def test_paragraphs_with_an_edit_inside(spark):
     """Whole lines against brute force: one word changed anywhere leaves a Jaccard index over 0.8 or under it."""
     rng = np.random.default_rng(8)
