@@ -168,6 +168,7 @@ def approximate_topk(
     qid_col: str = "qid",
     query_vector_col: str = "embedding",
     broadcast_bytes: int = BROADCAST_BYTES,
+    checkpoint_store: bool = False,
 ) -> DataFrame:
     """Top-k among the ``probes`` cells nearest to each query: ``qid, rn, id, distance``.
 
@@ -175,6 +176,9 @@ def approximate_topk(
     rows of cells that were not probed can be missed. A query whose cells hold
     fewer than ``top_k`` rows probes further ones, so that it gets ``top_k`` rows
     if the store has them; the rows of each cell are counted for that.
+
+    ``checkpoint_store`` is for a store that :func:`assign_cells` computes: a query set in blocks reads it once
+    per block, and its cells would be computed each time, in a second Python worker beside each task's own.
     """
     check_probes(probes, index.cells)
     sizes = np.zeros(index.cells, dtype=np.int64)
@@ -197,4 +201,5 @@ def approximate_topk(
             "nearest": lambda matrix: index.filled_cells(matrix, probes, sizes, least),
         },
         broadcast_bytes=broadcast_bytes,
+        checkpoint_store=checkpoint_store,
     )

@@ -284,6 +284,7 @@ def ann_topk_all_cells(spark, sf_dir):
         probes=8,
         top_k=TOP_K,
         exclude_same_id=True,
+        checkpoint_store=True,
     )
     return _rounded(found, "distance")
 
@@ -299,6 +300,7 @@ def ann_topk(spark, sf_dir):
         probes=3,
         top_k=TOP_K,
         exclude_same_id=True,
+        checkpoint_store=True,
     )
     return _rounded(found, "distance")
 
@@ -333,6 +335,7 @@ def ann_topk_filled(spark, sf_dir):
         probes=1,
         top_k=TOP_K,
         exclude_same_id=True,
+        checkpoint_store=True,
     )
     return _rounded(found, "distance")
 

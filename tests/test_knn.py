@@ -285,3 +285,26 @@ def test_a_list_that_is_not_full_yet_bounds_nothing(metric):
     for q in range(40):
         found = sorted((t.keys[q, i], t.ids[q, i]) for t in tasks for i in range(t.count[q]))
         assert [number for _, number in found[:6]] == want[q]
+
+
+def test_cells_of_a_store_are_computed_once_for_all_blocks(spark, monkeypatch):
+    """Blocks of queries read the cells that were written down; they computed them once per block before."""
+    monkeypatch.setattr(knn, "BLOCK_BYTES", 4 << 10)
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(200)]
+    store = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(2)
+    index = cells.CellIndex(np.eye(8)[:4], "cosine")
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def cell(vector):
+        computed.add(1)
+        return int(np.argmax(vector[:4]))
+
+    placed = store.withColumn("cell", cell.asNondeterministic()("embedding"))
+    queries = store.withColumnRenamed("id", "qid")
+    found = cells.approximate_topk(placed, queries, index, probes=4, top_k=3, checkpoint_store=True)
+    exact = knn.batch_topk(store, queries, top_k=3)
+    pairs = [sorted((r.qid, r.rn, r.id) for r in x.collect()) for x in (found, exact)]
+    assert pairs[0] == pairs[1] and len(pairs[0]) == 600
+    assert computed.value == 2 * 200  # counted by cell, and written down
