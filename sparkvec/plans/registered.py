@@ -101,7 +101,7 @@ def similar_documents_all_blocked(spark, sf_dir):
 @query
 def similar_pairs(spark, sf_dir):
     """All pairs of stored vectors with a cosine similarity of 0.35 or more."""
-    pairs, _ = simjoin.similar_pairs(sample.read(spark, sf_dir, "embeddings"), 0.35, id_col="vec_id")
+    pairs, _ = simjoin.similar_pairs(sample.read(spark, sf_dir, "embeddings"), 0.35, every_id=True, id_col="vec_id")
     return _rounded(pairs, "similarity")
 
 
