@@ -111,6 +111,52 @@ def test_suffix_dedup(odd, odd_rows, empty, crowd, monkeypatch):
     assert suffix_dedup.digest(empty).collect() == []
 
 
+def test_suffix_dedup_copies_are_no_crowd(spark, monkeypatch):
+    """A passage that many documents hold goes as segments, and not window by window, unless these differ."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", 30)
+    passage = " ".join(f"shared{k}" for k in range(30))
+    rows = [(i, f"{i * 7919} begins {passage} and ends {i * 104729}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = suffix_dedup.shared_anchors(suffix_dedup._rows(docs), 50, 16).collect()
+    crowded = [sum(m % 2 for m in r.marks) / len(r.marks) for r in marks]
+    assert len(marks) == 120 and max(crowded) < 0.5  # at both ends all segments differ
+    assert order(tuple(r) for r in suffix_dedup.digest(docs).collect()) == order(covered(rows))
+
+
+@pytest.mark.parametrize("hot", [200, 1000, 1 << 24])
+def test_suffix_dedup_hot_anchor_in_pieces(monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 100)
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
+    monkeypatch.setattr(suffix_dedup, "HELD_WINDOWS", 20)
+    rng = np.random.default_rng(8)
+    text = bytes(rng.integers(97, 123, 40, np.uint8))
+    rows = []
+    for route in (3, 4, 9):
+        for i in np.sort(rng.integers(0, 60, 80)).tolist():
+            low, high = int(rng.integers(0, 15)), int(rng.integers(25, 41))
+            segment = bytearray(text[low:high])
+            segment[int(rng.integers(len(segment)))] ^= int(rng.integers(2))  # few are distinct, and windows are shared
+            rows.append((route, bytes(segment), i, len(rows), 1000))
+    least = {}
+    for route, segment, i, *_ in rows:
+        for k in range(len(segment) - 9):
+            least.setdefault((route, segment[k : k + 10]), i)
+    want = set()
+    for route, segment, i, row, _ in rows:
+        for k in range(len(segment) - 9):
+            if least[route, segment[k : k + 10]] < i:
+                want |= {(row, k + j) for j in range(10)}
+    table = pa.Table.from_arrays(
+        [pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()))],
+        names=["route", "segment", "id", "salt", "at"],
+    )
+    got = set()
+    for batch in suffix_dedup._shards(iter(table.to_batches(max_chunksize=7)), 10):
+        for span in batch.to_pylist():
+            got |= {(span["salt"], at - 1000) for at in range(span["start"], span["end"])}
+    assert got == want != set()
+
+
 def test_suffix_dedup_rows_of_one_id(spark):
     """Two texts of one id that agree in the last 24 bits of the hash of their rows, of which one is a later copy."""
     seen = {}
